@@ -1,0 +1 @@
+"""Intentionally empty: every input of this toolkit is a static batch table."""
