@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -46,65 +46,68 @@ def _quotient(a: tuple[str, str], b: tuple[str, str]) -> Measure:
     return Measure(parts, divide_or(F.col(f"sum_{col_a}"), F.col(f"sum_{col_b}")))
 
 
-_READINESS = row_mean(
-    F.col("literacy_rate"), F.col("smartphone_penetration"), F.col("internet_penetration")
-)
+def _mean_of(fact: str, column: str) -> Measure:
+    return _mean(fact, column, F.col(column))
 
-MEASURES: dict[str, Measure] = {
-    "total_copies_printed": _sum(PRINT, "copies_printed"),
-    "total_copies_sold": _sum(PRINT, "copies_sold"),
-    "total_copies_returned": _sum(PRINT, "copies_returned"),
-    "total_net_circulation": _sum(PRINT, "net_circulation"),
-    "print_return_waste_rate": _quotient((PRINT, "copies_returned"), (PRINT, "copies_printed")),
-    "print_efficiency": _quotient((PRINT, "net_circulation"), (PRINT, "copies_printed")),
-    "total_ad_revenue": _sum(ADS, "ad_revenue_in_inr"),
-    "ad_revenue_per_circulated_copy": _quotient(
+
+def _readiness() -> Measure:
+    rates = ("literacy_rate", "smartphone_penetration", "internet_penetration")
+    return _mean(READY, "readiness", row_mean(*[F.col(c) for c in rates]))
+
+
+# Columns need a running session, so a measure is made when it is asked for.
+MEASURES: dict[str, Callable[[], Measure]] = {
+    "total_copies_printed": lambda: _sum(PRINT, "copies_printed"),
+    "total_copies_sold": lambda: _sum(PRINT, "copies_sold"),
+    "total_copies_returned": lambda: _sum(PRINT, "copies_returned"),
+    "total_net_circulation": lambda: _sum(PRINT, "net_circulation"),
+    "print_return_waste_rate": lambda: _quotient(
+        (PRINT, "copies_returned"), (PRINT, "copies_printed")
+    ),
+    "print_efficiency": lambda: _quotient((PRINT, "net_circulation"), (PRINT, "copies_printed")),
+    "total_ad_revenue": lambda: _sum(ADS, "ad_revenue_in_inr"),
+    "ad_revenue_per_circulated_copy": lambda: _quotient(
         (ADS, "ad_revenue_in_inr"), (PRINT, "net_circulation")
     ),
-    "avg_smartphone_penetration": _mean(READY, "smartphone", F.col("smartphone_penetration")),
-    "avg_internet_penetration": _mean(READY, "internet", F.col("internet_penetration")),
-    "composite_digital_readiness": _mean(READY, "readiness", _READINESS),
-    "total_dev_cost": _sum(PILOT, "dev_cost"),
-    "total_marketing_cost": _sum(PILOT, "marketing_cost"),
-    "total_downloads": _sum(PILOT, "downloads_or_accesses"),
-    "digital_pilot_engagement_rate": _quotient(
+    "avg_smartphone_penetration": lambda: _mean_of(READY, "smartphone_penetration"),
+    "avg_internet_penetration": lambda: _mean_of(READY, "internet_penetration"),
+    "composite_digital_readiness": _readiness,
+    "total_dev_cost": lambda: _sum(PILOT, "dev_cost"),
+    "total_marketing_cost": lambda: _sum(PILOT, "marketing_cost"),
+    "total_downloads": lambda: _sum(PILOT, "downloads_or_accesses"),
+    "digital_pilot_engagement_rate": lambda: _quotient(
         (PILOT, "downloads_or_accesses"), (PILOT, "users_reached")
     ),
-    "avg_bounce_rate": _mean(PILOT, "bounce", F.col("avg_bounce_rate")),
+    "avg_bounce_rate": lambda: _mean_of(PILOT, "avg_bounce_rate"),
 }
 
-
-@dataclass(frozen=True)
-class _Groupings:
-    """Where a grouping column comes from, per fact."""
-
-    own: Mapping[str, Mapping[str, Column]] = field(
-        default_factory=lambda: {
-            PRINT: {
-                "year": F.year("month"),
-                "month": F.col("month"),
-                "language": F.col("language"),
-            },
-            ADS: {"year": quarter_year(F.col("quarter")), "quarter": F.col("quarter")},
-            READY: {"year": quarter_year(F.col("quarter")), "quarter": F.col("quarter")},
-            PILOT: {
-                "year": quarter_year(F.col("launch_month")),
-                "platform": F.col("platform"),
-            },
-        }
-    )
-    city: tuple[str, ...] = ("city_id", "city", "tier")
-    category: tuple[str, ...] = (
-        "ad_category_id", "standard_ad_category", "category_group",
-    )
+_CITY_COLUMNS = ("city_id", "city", "state", "tier")
+_CATEGORY_COLUMNS = ("ad_category_id", "standard_ad_category", "category_group")
 
 
-GROUPINGS = _Groupings()
-_WITH_CATEGORY = (ADS, PILOT)
+def _own_groupings(fact: str) -> dict[str, Column]:
+    """Grouping columns that a fact has itself, without a dimension."""
+    if fact == PRINT:
+        return {
+            "year": F.year("month"),
+            "month": F.col("month"),
+            "language": F.col("language"),
+            "edition_id": F.col("edition_id"),
+        }
+    if fact == PILOT:
+        return {
+            "year": quarter_year(F.col("launch_month")),
+            "launch_month": F.col("launch_month"),
+            "platform": F.col("platform"),
+        }
+    return {"year": quarter_year(F.col("quarter")), "quarter": F.col("quarter")}
 
 
 def evaluate(
-    star, names: Sequence[str], by: Sequence[str] = (), measures: Mapping[str, Measure] = MEASURES
+    star,
+    names: Sequence[str],
+    by: Sequence[str] = (),
+    registry: Mapping[str, Callable[[], Measure]] = MEASURES,
 ) -> DataFrame:
     """One row per combination of ``by`` with the named measures as columns.
 
@@ -112,32 +115,33 @@ def evaluate(
     and shuffled once, whatever the number of measures. Facts are put under one
     another and added up, so a combination found in one fact only is kept.
     """
+    measures = {n: registry[n]() for n in names}
     parts: dict[str, tuple[str, Column]] = {}
-    for n in names:
-        parts.update(measures[n].parts)
+    for m in measures.values():
+        parts.update(m.parts)
     per_fact = [
         _fact_sums(star, fact, by, {p: c for p, (f, c) in parts.items() if f == fact})
         for fact in dict.fromkeys(f for f, _ in parts.values())
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), per_fact)
     combined = stacked.groupBy(*by).agg(*[F.sum(p).alias(p) for p in parts])
-    return combined.select(*by, *[measures[n].result.alias(n) for n in names])
+    return combined.select(*by, *[m.result.alias(n) for n, m in measures.items()])
 
 
 def _fact_sums(star, fact: str, by: Sequence[str], parts: Mapping[str, Column]) -> DataFrame:
     rows: DataFrame = getattr(star, fact)
-    own = GROUPINGS.own[fact]
+    own = _own_groupings(fact)
     keys: dict[str, Column] = {}
-    dims: list[tuple[str, DataFrame]] = []
+    dims: dict[str, DataFrame] = {}
     for b in by:
         if b in own:
             keys[b] = own[b]
-        elif b in GROUPINGS.city:
+        elif b in _CITY_COLUMNS:
             keys["city_id"] = F.col("city_id")
-            dims.append(("city_id", star.dim_city))
-        elif b in GROUPINGS.category and fact in _WITH_CATEGORY:
+            dims["city_id"] = star.dim_city
+        elif b in _CATEGORY_COLUMNS and fact in (ADS, PILOT):
             keys["ad_category_id"] = F.col("ad_category_id")
-            dims.append(("ad_category_id", star.dim_ad_category))
+            dims["ad_category_id"] = star.dim_ad_category
         else:
             raise ValueError(f"{fact} cannot be grouped by {b}")
     sums = rows.select(
@@ -145,7 +149,7 @@ def _fact_sums(star, fact: str, by: Sequence[str], parts: Mapping[str, Column])
         *[c.alias(p) for p, c in parts.items()],
     )
     sums = sums.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in parts])
-    for key, dim in {k: d for k, d in dims}.items():
+    for key, dim in dims.items():
         wanted = [b for b in by if b in dim.columns and b not in keys]
         if wanted:
             sums = sums.join(dim.select(key, *wanted), key)

@@ -75,6 +75,8 @@ def export_csv(df: DataFrame, folder: str) -> int:
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(folder)
     )
     return audit.get["rows"]
