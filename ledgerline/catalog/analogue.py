@@ -12,6 +12,8 @@ in ``CTES``.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,6 @@ from ledgerline.functions.arithmetic import divide_or_null
 from ledgerline.functions.money import to_base_currency
 from ledgerline.functions.periods import month_text, quarter_text
 from ledgerline.functions.text import title_case
-from ledgerline.plans.star import Star
 
 
 def _two_digits(c: Column) -> Column:
@@ -188,16 +189,42 @@ def pilot(t: Tables) -> DataFrame:
     )
 
 
-def star(t: Tables, year: int | None = None) -> Star:
-    """``year`` limits print, revenue and readiness already at the scan."""
-    return Star(
-        dim_city=dim_city(t),
-        dim_ad_category=dim_ad_category(t),
-        print_sales=print_sales(t, year),
-        ad_revenue=ad_revenue(t, year),
-        readiness=readiness(t, year),
-        pilot=pilot(t),
-    )
+class LazyStar:
+    """The star schema with tables made when a report asks for them.
+
+    ``year`` limits print, revenue and readiness already at the scan.
+    """
+
+    def __init__(self, t: Tables, year: int | None = None) -> None:
+        self._t = t
+        self._year = year
+
+    @cached_property
+    def dim_city(self) -> DataFrame:
+        return dim_city(self._t)
+
+    @cached_property
+    def dim_ad_category(self) -> DataFrame:
+        return dim_ad_category(self._t)
+
+    @cached_property
+    def print_sales(self) -> DataFrame:
+        return print_sales(self._t, self._year)
+
+    @cached_property
+    def ad_revenue(self) -> DataFrame:
+        return ad_revenue(self._t, self._year)
+
+    @cached_property
+    def readiness(self) -> DataFrame:
+        return readiness(self._t, self._year)
+
+    @cached_property
+    def pilot(self) -> DataFrame:
+        return pilot(self._t)
+
+
+star = LazyStar
 
 
 # --- raw tables ----------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,17 +14,27 @@ from ledgerline.session import new_shared_path
 from ledgerline.sources.layers import Layers
 
 
-@dataclass(frozen=True)
+@lru_cache(maxsize=None)
+def _schema(application: str, path: str, spark: SparkSession) -> T.StructType:
+    """Reading footers costs a job, so it is done once per table and session."""
+    return spark.read.parquet(path).schema
+
+
 class Tables:
     """The test tables of one folder, read on first use."""
 
-    spark: SparkSession
-    folder: str
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
+        self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        schema = _schema(self.spark.sparkContext.applicationId, path, self.spark)
+        df = self.spark.read.schema(schema).parquet(path)
+        setattr(self, name, df)
+        return df
 
     def scratch(self, name: str) -> str:
         """A new folder that all executors can reach."""

@@ -11,28 +11,30 @@ from pyspark.sql import functions as F
 from ledgerline.functions.text import strip
 
 # All decimal digits of all scripts and their ASCII values, by rule.
-_NON_ASCII_DIGITS = "".join(
+_OTHER_DIGITS = "".join(
     chr(i) for i in range(128, sys.maxunicode + 1) if unicodedata.category(chr(i)) == "Nd"
 )
-_THEIR_VALUES = "".join(str(unicodedata.digit(d)) for d in _NON_ASCII_DIGITS)
+_THEIR_VALUES = "".join(str(unicodedata.digit(d)) for d in _OTHER_DIGITS)
 
-_PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_WIDE = "decimal(38,6)"
+# try_cast of other text costs an exception per row, so casts are guarded by these.
+_WHOLE_NUMBER = "^-?[0-9]{1,18}$"
+_NUMBER = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"
+_NUMBER_LITERAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def _ascii_digits(c: Column) -> Column:
-    ascii_only = F.length(c) == F.octet_length(c)
-    return F.when(ascii_only, c).otherwise(F.translate(c, _NON_ASCII_DIGITS, _THEIR_VALUES))
-
-
-def _keep(c: Column, extra: str) -> Column:
-    return _ascii_digits(F.regexp_replace(c, rf"[^\p{{Nd}}{extra}]", ""))
+def _kept(c: Column, marks: str) -> Column:
+    """The digits (as ASCII) and ``marks`` of a text. Only text that is not
+    ASCII has its digits looked up."""
+    ascii_digits = F.when(F.length(c) == F.octet_length(c), c).otherwise(
+        F.translate(c, _OTHER_DIGITS, _THEIR_VALUES)
+    )
+    return F.regexp_replace(ascii_digits, f"[^0-9{marks}]", "")
 
 
-def _or_plain(c: Column, typed: Column, from_text: Column, plain_numbers: bool) -> Column:
-    if not plain_numbers:
-        return from_text
-    return F.when(strip(c).rlike(_PLAIN_NUMBER), typed).otherwise(from_text)
+def _literal_or(c: Column, target: str, from_text: Column) -> Column:
+    """A number literal as such, also where it is too wide (NULL); else the text."""
+    s = strip(c)
+    return F.when(s.rlike(_NUMBER_LITERAL), s.try_cast(target)).otherwise(from_text)
 
 
 def clean_int(c: Column, on_bad: str = "raise", plain_numbers: bool = False) -> Column:
@@ -43,16 +45,27 @@ def clean_int(c: Column, on_bad: str = "raise", plain_numbers: bool = False) ->
     and truncated instead, which is what a loader that types cells does.
     ``on_bad`` says what a remainder such as ``1-2`` does: ``raise``, ``null``
     (so a NOT NULL rule catches it) or ``zero``.
+
+    Clean text takes the cast alone; the regexp only sees the rest.
     """
-    kept = _keep(c, r"\-")
-    number = kept.cast("bigint") if on_bad == "raise" else kept.try_cast("bigint")
-    if on_bad == "zero":
-        number = F.coalesce(number, F.lit(0))
-    elif on_bad not in ("raise", "null"):
+    digits = F.regexp_replace(_kept(c, r"\-"), "^$", "0")
+    if on_bad == "raise":
+        from_text = digits.cast("bigint")
+    elif on_bad == "null":
+        from_text = digits.try_cast("bigint")
+    elif on_bad == "zero":
+        from_text = F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
+    else:
         raise ValueError(f"on_bad must be raise, null or zero, not {on_bad!r}")
-    from_text = F.when(kept == "", F.lit(0)).otherwise(number)
-    typed = strip(c).try_cast(_WIDE).cast("bigint")
-    return F.when(c.isNull(), F.lit(0)).otherwise(_or_plain(c, typed, from_text, plain_numbers)).cast("bigint")
+    if plain_numbers:
+        from_text = _literal_or(c, "decimal(38,6)", from_text.cast("decimal(38,6)")).try_cast(
+            "bigint"
+        )
+    return (
+        F.when(c.isNull(), F.lit(0).cast("bigint"))
+        .when(c.rlike(_WHOLE_NUMBER), c.try_cast("bigint"))
+        .otherwise(from_text)
+    )
 
 
 def int_from_number(c: Column) -> Column:
@@ -65,9 +78,11 @@ def int_from_number(c: Column) -> Column:
 
 def clean_float(c: Column, plain_numbers: bool = False) -> Column:
     """Double from text; NULL, no digits and unparsable remainders give 0.0."""
-    from_text = _keep(c, r".\-").try_cast("double")
-    typed = strip(c).try_cast("double")
-    return F.coalesce(_or_plain(c, typed, from_text, plain_numbers), F.lit(0.0))
+    kept = _kept(c, r".\-")
+    number = F.when(kept.rlike(_NUMBER), kept.try_cast("double")).otherwise(F.lit(0.0))
+    if plain_numbers:
+        number = _literal_or(c, "double", number)
+    return F.coalesce(number, F.lit(0.0))
 
 
 def clean_decimal(
@@ -76,13 +91,12 @@ def clean_decimal(
     """Like :func:`clean_float` but exact. A number too wide for the target is
     NULL, not 0, so that a NOT NULL rule can catch it."""
     target = f"decimal({precision},{scale})"
-    kept = _keep(c, r".\-")
-    readable = kept.try_cast("double").isNotNull()
-    from_text = F.when(readable, kept.try_cast(target)).otherwise(F.lit(0).cast(target))
-    typed = strip(c).try_cast(target)
-    return F.when(c.isNull(), F.lit(0).cast(target)).otherwise(
-        _or_plain(c, typed, from_text, plain_numbers)
-    )
+    zero = F.lit(0).cast(target)
+    kept = _kept(c, r".\-")
+    number = F.when(kept.rlike(_NUMBER), kept.try_cast(target)).otherwise(zero)
+    if plain_numbers:
+        number = _literal_or(c, target, number)
+    return F.when(c.isNull(), zero).otherwise(number)
 
 
 def parse_grouped(c: Column, target: str = "double") -> Column:

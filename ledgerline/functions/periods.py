@@ -9,16 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import strip
 
-# Spellings of a month or day accepted by parse_month, tried in this order.
-MONTH_FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy-MM",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy/MM/dd",
-    "yyyy/MM",
-    "MMM-yyyy",
-    "MMM yyyy",
-)
+# Further spellings of a month accepted by parse_month, tried in this order.
+MONTH_FORMATS = ("yyyy/MM/dd", "yyyy/MM", "MMM-yyyy", "MMM yyyy")
 
 
 def normalize_quarter(c: Column) -> Column:
@@ -56,8 +48,11 @@ def in_year(c: Column, year: int) -> Column:
 
 
 def parse_month(c: Column, formats: Sequence[str] = MONTH_FORMATS) -> Column:
+    """Date of a month or day. ISO spellings, with or without a day and a time,
+    are a plain cast; the formats are only tried on what that leaves."""
     s = strip(c)
-    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
+    iso = F.when(F.length(s) >= len("yyyy-MM"), s.try_cast("date"))
+    return F.coalesce(iso, *[F.try_to_date(s, f) for f in formats])
 
 
 def month_text(c: Column) -> Column:

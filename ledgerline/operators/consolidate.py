@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import has_text
@@ -13,22 +13,11 @@ from ledgerline.functions.text import has_text
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first in ``order``. NULL keys count as equal.
 
-    An aggregate rather than ``row_number``: each task keeps one candidate per
-    key before the shuffle, so a key with very many copies stays cheap.
+    Spark limits each task to one candidate per key before the shuffle, so a
+    key with very many copies reaches its reducer as one row per task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.select(*keys).distinct()
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
-    return (
-        df.groupBy(*keys)
-        .agg(first)
-        .select(*[F.col(f"`{c}`") if c in keys else F.col(f"_first.`{c}`") for c in df.columns])
-    )
-
-
-def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(keys))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
 
 
 def joined_notes(

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import has_text
-from ledgerline.operators.consolidate import drop_null_keys
-from ledgerline.operators.share import share_of_group
+from ledgerline.operators.share import with_group_total
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -31,15 +30,42 @@ def null_counts(df: DataFrame, columns: Sequence[str], rows: str = "total_rows")
 
 
 def sums_by_key(df: DataFrame, keys: Sequence[str], amount: str, name: str) -> DataFrame:
-    """SUM per key; rows with a missing key belong to no group."""
-    return drop_null_keys(df, keys).groupBy(*keys).agg(F.sum(amount).alias(name))
+    """SUM per key; rows with a missing key belong to no group.
+
+    Groups with a missing key are told by a count and dropped at the end. A
+    filter on the keys would be pushed to the scan and there parse raw text
+    a second time.
+    """
+    known = [F.count(k).alias(f"_{k}") for k in keys]
+    sums = df.groupBy(*keys).agg(F.sum(amount).alias(name), *known)
+    return _with_known(sums, keys)
+
+
+def _with_known(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    flags = [f"_{k}" for k in keys]
+    return df.where(" and ".join(f"`{f}` > 0" for f in flags)).drop(*flags)
 
 
 def raw_share(
     df: DataFrame, derived: Mapping[str, Column], group: str, part: str, amount: str, total: str
 ) -> DataFrame:
-    """Unrounded percentage of the group total, on columns derived from raw text."""
-    rows = drop_null_keys(df.withColumns(dict(derived)), [group, part])
-    shares = share_of_group(rows, [group], [part], amount, total, "pct")
+    """Unrounded percentage of the group total, on columns derived from raw text.
+
+    Rows without a part count in the total of their group but are not shown.
+    """
+    sums = (
+        df.select(*_needed(derived, [group, part, amount]))
+        .groupBy(group, part)
+        .agg(
+            F.sum(amount).alias(amount),
+            F.count(group).alias(f"_{group}"),
+            F.count(part).alias(f"_{part}"),
+        )
+    )
+    shares = _with_known(with_group_total(sums, [group], amount, total), [group, part])
     pct = F.col(amount).cast("double") / F.col(total).cast("double") * 100
     return shares.withColumn("pct", pct)
+
+
+def _needed(derived: Mapping[str, Column], names: Sequence[str]) -> list[Column]:
+    return [derived[n].alias(n) if n in derived else F.col(n) for n in names]

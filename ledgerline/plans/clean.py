@@ -48,20 +48,26 @@ def dim_ad_category(raw: DataFrame) -> DataFrame:
 def fact_print_sales(raw: DataFrame, order: Sequence[str] = ORDINAL) -> DataFrame:
     """The column ``Copies Sold`` holds the printed run; what was sold is the net
     circulation. Of rows with equal keys the first in ``order`` is kept."""
-    net = _count(F.col("Net_Circulation"))
+    copies = ["Copies Sold", "copies_returned", "Net_Circulation"]
     rows = raw.select(
         strip(F.col("edition_ID")).alias("edition_id"),
         strip(F.col("City_ID")).alias("city_id"),
         title_case(strip(F.col("Language"))).alias("language"),
         state_name(F.col("State")).alias("state"),
         parse_month(F.col("Month")).alias("month"),
+        *copies,
+        *order,
+    )
+    # Only the rows that stay have their numbers parsed.
+    net = _count(F.col("Net_Circulation"))
+    return keep_first(rows, PRINT_KEYS, order).select(
+        *PRINT_KEYS,
         net.alias("copies_sold"),
         _count(F.col("Copies Sold")).alias("copies_printed"),
         _count(F.col("copies_returned")).alias("copies_returned"),
         net.alias("net_circulation"),
         *order,
     )
-    return keep_first(rows, PRINT_KEYS, order)
 
 
 def ad_revenue_rows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

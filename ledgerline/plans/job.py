@@ -12,7 +12,7 @@ from ledgerline import schemas
 from ledgerline.operators import quality as q
 from ledgerline.operators.ordered import number_rows
 from ledgerline.plans import clean, reports
-from ledgerline.plans.star import Star
+from ledgerline.plans.star import StoredStar
 from ledgerline.session import build_session, new_shared_path
 from ledgerline.sources.layers import Layers, export_csv
 from ledgerline.sources.raw import ORDINAL, read_raw
@@ -67,6 +67,12 @@ def _rules(layers: Layers, table: str) -> list[q.Rule]:
     return clean.fact_digital_pilot_rules(cities, categories)
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    path = new_shared_path(df.sparkSession, f"checked-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def load_cleaned(
     layers: Layers, paths: Mapping[str, str], on_violation: str = "fail"
 ) -> dict[str, int]:
@@ -82,26 +88,24 @@ def load_cleaned(
     counts = {}
     for table in tables:
         rows, order = _cleaned(read_raw(layers.spark, paths[table], table), table)
-        # Parsed, merged and checked once; the table and the quarantine read this.
-        staged = new_shared_path(layers.spark, f"checked-{table}")
-        q.mark_violations(rows, _rules(layers, table), VIOLATIONS).write.parquet(staged)
-        checked = layers.spark.read.parquet(staged)
+        marked = q.mark_violations(rows, _rules(layers, table), VIOLATIONS)
+        # Parsed, merged, checked and written once; what follows reads that. Ids
+        # are given to all rows, so rejected ones leave a gap, as in a sequence.
+        checked = number_rows(marked, order) if order else _staged(marked, table)
         bad = checked.where(F.size(VIOLATIONS) > 0)
-        rejected = layers.replace(bad.drop(*ORDINAL), "quarantine", table)
+        rejected = layers.replace(bad.drop("id", *ORDINAL), "quarantine", table)
         if rejected and on_violation == "fail":
             raise RuleViolation(
                 f"{table}: {rejected} rows, see {layers.path('quarantine', table)}"
             )
-        good = checked.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
-        if order:
-            good = number_rows(good, order)
+        good = checked.where(F.size(VIOLATIONS) == 0)
         counts[table] = layers.append(good, "cleaned", table, schemas.cleaned_schema(table))
     return counts
 
 
 def load_analytics(layers: Layers) -> dict[str, int]:
     """Run all reports on the cleaned layer and store each as a table."""
-    star = Star.from_layer(layers)
+    star = StoredStar.from_layer(layers)
     counts = {}
     for name, report in reports.REPORTS.items():
         counts[name] = layers.replace(report(star), "analytics", name)

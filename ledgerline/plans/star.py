@@ -3,14 +3,34 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 
 from ledgerline.sources.layers import Layers
 
 
+class Star(Protocol):
+    """Two dimensions and four facts, with the columns of the cleaned layer."""
+
+    @property
+    def dim_city(self) -> DataFrame: ...
+    @property
+    def dim_ad_category(self) -> DataFrame: ...
+    @property
+    def print_sales(self) -> DataFrame: ...
+    @property
+    def ad_revenue(self) -> DataFrame: ...
+    @property
+    def readiness(self) -> DataFrame: ...
+    @property
+    def pilot(self) -> DataFrame: ...
+
+
 @dataclass(frozen=True)
-class Star:
+class StoredStar:
+    """A star schema of given tables, as a rule those of the cleaned layer."""
+
     dim_city: DataFrame
     dim_ad_category: DataFrame
     print_sales: DataFrame
@@ -19,7 +39,7 @@ class Star:
     pilot: DataFrame
 
     @classmethod
-    def from_layer(cls, layers: Layers, layer: str = "cleaned") -> Star:
+    def from_layer(cls, layers: Layers, layer: str = "cleaned") -> StoredStar:
         return cls(
             dim_city=layers.read(layer, "dim_city"),
             dim_ad_category=layers.read(layer, "dim_ad_category"),
