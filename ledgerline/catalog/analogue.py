@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerline.catalog.base import Tables
 from ledgerline.functions.arithmetic import divide_or_null
 from ledgerline.functions.money import to_base_currency
-from ledgerline.functions.periods import month_text, quarter_text
+from ledgerline.functions.periods import in_year, month_text, quarter_text
 from ledgerline.functions.text import title_case
 
 
@@ -37,12 +37,7 @@ def _category_id() -> Column:
 
 
 def _within(df: DataFrame, ts: str, year: int | None) -> DataFrame:
-    """One year of a table as a range the Parquet scan can use."""
-    if year is None:
-        return df
-    start, end = (F.lit(f"{y:04d}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
-    kind = df.schema[ts].dataType.simpleString()
-    return df.where((F.col(ts) >= start.cast(kind)) & (F.col(ts) < end.cast(kind)))
+    return df if year is None else df.where(in_year(F.col(ts), year))
 
 
 # --- dimensions ----------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.catalog.analogue import star, with_ctes
 from ledgerline.catalog.base import Tables, entry
+from ledgerline.catalog.report_checks import PRIORITIES_SQL
 from ledgerline.functions.arithmetic import percent, rounded
 from ledgerline.operators.measures import evaluate
 from ledgerline.operators.period import date_dimension
@@ -246,19 +247,9 @@ def g6(t: Tables) -> DataFrame:
     return _ratios(evaluate(star(t), names, ["city"]), names[:1])
 
 
-@entry(
-    "g7_relaunch_scorecard",
-    with_ctes(
-        """SELECT city AS city_name,
-                  round(avg((literacy_rate + smartphone_penetration + internet_penetration) / 3), 2)
-                      AS readiness_score
-           FROM readiness JOIN dim_city USING (city_id) GROUP BY 1""",
-        "readiness",
-        "dim_city",
-    ),
-)
+@entry("g7_relaunch_scorecard", f"SELECT * EXCLUDE (priority_rank) FROM ({PRIORITIES_SQL})")
 def g7(t: Tables) -> DataFrame:
-    return reports.relaunch_priorities(star(t)).select("city_name", "readiness_score")
+    return reports.relaunch_priorities(star(t)).drop("priority_rank")
 
 
 @entry(

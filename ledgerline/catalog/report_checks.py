@@ -308,7 +308,7 @@ def q7(t: Tables) -> DataFrame:
     return reports.revenue_per_copy(star(t))
 
 
-_Q8 = with_ctes(
+PRIORITIES_SQL = with_ctes(
     f"""WITH inputs AS (
           SELECT city AS city_name, readiness_score, engagement_rate, print_decline_pct
           FROM dim_city
@@ -333,7 +333,7 @@ _Q8 = with_ctes(
 )
 
 
-@entry("q8_relaunch_priorities", _Q8)
+@entry("q8_relaunch_priorities", PRIORITIES_SQL)
 def q8(t: Tables) -> DataFrame:
     return reports.relaunch_priorities(star(t))
 
@@ -409,7 +409,7 @@ def c3(t: Tables) -> DataFrame:
     return reports.chart_roi(star(t), 1995, 2000)
 
 
-@entry("c4_chart_priorities", f"SELECT city_name, priority_score FROM ({_Q8})")
+@entry("c4_chart_priorities", f"SELECT city_name, priority_score FROM ({PRIORITIES_SQL})")
 def c4(t: Tables) -> DataFrame:
     t.layers.replace(reports.relaunch_priorities(star(t)), "analytics", "primary_analysis_q8")
     return reports.chart_priorities(t.layers.read("analytics", "primary_analysis_q8"))

@@ -41,10 +41,9 @@ def in_quarters_of(c: Column, year: int) -> Column:
 
 
 def in_year(c: Column, year: int) -> Column:
-    """Half-open date range. Unlike ``year(c) = y`` it reaches the scan."""
-    return (c >= F.lit(f"{year:04d}-01-01").cast("date")) & (
-        c < F.lit(f"{year + 1:04d}-01-01").cast("date")
-    )
+    """Half-open range of a date or timestamp. Unlike ``year(c) = y`` it reaches
+    the scan: the text bounds take the type of the column."""
+    return (c >= F.lit(f"{year:04d}-01-01")) & (c < F.lit(f"{year + 1:04d}-01-01"))
 
 
 def parse_month(c: Column, formats: Sequence[str] = MONTH_FORMATS) -> Column:

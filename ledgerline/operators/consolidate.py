@@ -61,13 +61,16 @@ def consolidate(
     """Merge duplicate keys: amounts are summed, non-blank notes joined in order.
 
     The sums stay a plain hash aggregate; notes are usually sparse and are
-    joined on afterwards. Where nobody reads the notes, the optimizer drops
-    that join.
+    joined on afterwards. Both sides are grouped by the keys as one struct.
+    Structs with NULL fields are equal, so keys with NULLs find each other,
+    both sides are already partitioned for the join, and where nobody reads
+    the notes the optimizer drops it.
     """
-    totals = df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
     if note is None:
-        return totals
-    notes = joined_notes(df, keys, note, order, chunk, separator)
-    on = [F.col(f"t.`{k}`").eqNullSafe(F.col(f"n.`{k}`")) for k in keys]
-    columns = [F.col(f"t.`{c}`") for c in totals.columns]
-    return totals.alias("t").join(notes.alias("n"), on, "left").select(*columns, F.col(f"n.`{note}`"))
+        return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    keyed = df.withColumn("_key", F.struct(*keys))
+    totals = keyed.groupBy("_key").agg(*[F.sum(c).alias(c) for c in sums])
+    notes = joined_notes(keyed, ["_key"], note, order, chunk, separator)
+    return totals.join(notes, "_key", "left").select(
+        *[F.col(f"_key.`{k}`").alias(k) for k in keys], *sums, note
+    )

@@ -43,7 +43,13 @@ def sums_by_member(
 
 
 def fan_out_mean(
-    left: DataFrame, right: DataFrame, key: str, group: Sequence[str], value: Column, name: str
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    group: Sequence[str],
+    value: Column,
+    name: str,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
     """AVG(``value`` of right) per ``group`` of left over left JOIN right ON key.
 
@@ -51,13 +57,18 @@ def fan_out_mean(
     each side is reduced first - left rows counted per key and group, values
     summed and counted per key - and the mean is sum(n * s) / sum(n * c).
     That equals the mean over all pairs, also when a group spans keys.
+    ``labels`` (one row per key) supplies group columns that left lacks.
     """
     value = value.cast("decimal(16,10)")
-    lefts = left.groupBy(key, *group).agg(F.count(F.lit(1)).cast("decimal(11,0)").alias("_n"))
+    own = [c for c in group if c in left.columns]
+    lefts = left.groupBy(key, *own).agg(F.count(F.lit(1)).cast("decimal(11,0)").alias("_n"))
     rights = right.groupBy(key).agg(
         F.sum(value).cast("decimal(26,10)").alias("_s"),
         F.count(value).cast("decimal(18,0)").alias("_c"),
     )
+    paired = lefts.join(rights, key)
+    if labels is not None:
+        paired = paired.join(labels, key)
     n = F.col("_n")
     mean = mean_of_sums(F.sum(n * F.col("_s")), F.sum(n * F.col("_c")))
-    return lefts.join(rights, key).groupBy(*group).agg(mean.alias(name))
+    return paired.groupBy(*group).agg(mean.alias(name))

@@ -129,10 +129,16 @@ def run(
     root: str,
     on_violation: str = "fail",
     export_dir: str | None = None,
+    paths: Mapping[str, str] | None = None,
 ) -> dict[str, dict[str, int]]:
-    """Build all layers from ``raw_dir/<table>.csv`` and return the row counts."""
+    """Build all layers and return the row counts.
+
+    A table is read from ``raw_dir/<table>.csv`` (a file or a folder of files)
+    unless ``paths`` names another place, which may be Parquet.
+    """
     layers = Layers(spark, root)
-    paths = {t: f"{raw_dir.rstrip('/')}/{t}.csv" for t in schemas.TABLES}
+    base = raw_dir.rstrip("/")
+    paths = {t: f"{base}/{t}.csv" for t in schemas.TABLES} | dict(paths or {})
     counts = {
         "raw": load_raw(layers, paths),
         "cleaned": load_cleaned(layers, paths, on_violation),

@@ -364,11 +364,14 @@ def readiness_vs_pilot(
 ) -> DataFrame:
     """Q6: readiness of each city and quarter next to the city's pilot engagement."""
     rates = ["smartphone_penetration", "internet_penetration", "literacy_rate"]
-    ready = star.readiness.join(
-        star.dim_city.select("city_id", F.col("city").alias("city_name")), "city_id"
-    )
     combined = fan_out_mean(
-        ready, star.pilot, "city_id", ["city_name", *rates], _engagement_pct(), "engagement"
+        star.readiness,
+        star.pilot,
+        "city_id",
+        ["city_name", *rates],
+        _engagement_pct(),
+        "engagement",
+        labels=star.dim_city.select("city_id", F.col("city").alias("city_name")),
     )
     score, engagement = F.col("score"), F.col("engagement")
     is_ready = score >= F.lit(ready_at).cast("decimal(9,4)")

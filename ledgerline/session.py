@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Set unless the session was started with something else.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -14,16 +15,21 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.statistics.fallBackToHdfs": "false",
 }
 
 
-def build_session(app_name: str = "ledgerline", **extra: str) -> SparkSession:
-    """A session with the defaults above; ``extra`` and spark-submit win over them."""
+def build_session(app_name: str = "ledgerline", **settings: str) -> SparkSession:
+    """A session with the given settings; what neither they nor spark-submit
+    set is taken from ``DEFAULTS``."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**DEFAULTS, **extra}.items():
+    for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    started_with = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if started_with.get(key) is None:
+            spark.conf.set(key, value)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:

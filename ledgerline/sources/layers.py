@@ -48,7 +48,7 @@ class Layers:
     def rebuild(self, layer: str, tables: Mapping[str, StructType]) -> None:
         """Put empty typed tables in place of whatever the layer held."""
         for table, schema in tables.items():
-            empty = self.spark.createDataFrame([], schema)
+            empty = self.spark.createDataFrame([], schema).coalesce(1)
             empty.write.mode("overwrite").parquet(self.path(layer, table))
 
     def register(self, layer: str, tables: Sequence[str]) -> None:

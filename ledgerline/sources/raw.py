@@ -37,6 +37,7 @@ def read_csv(
     No inference pass and no loss: ``0012`` and ``3709860`` stay what they are,
     and a blank header cell gets the name given here. ``multi_line`` allows line
     breaks in quoted fields; such files are not split, so give many files.
+    Empty fields and the texts in ``missing`` are NULL.
     """
     schema = StructType([StructField(c, StringType()) for c in columns])
     df = (
@@ -64,19 +65,36 @@ def _null_if_missing(name: str, missing: Sequence[str]) -> Column:
 
 
 def read_raw(spark: SparkSession, path: str, table: str, ordinal: bool = True) -> DataFrame:
-    """One of the known raw tables from its CSV export."""
+    """One of the known raw tables, from CSV or from a Parquet export."""
+    columns = schemas.RAW_COLUMNS[table]
+    if path.rstrip("/").endswith(".parquet"):
+        return read_export(spark, path, columns, ordinal)
     return read_csv(
         spark,
         path,
-        schemas.RAW_COLUMNS[table],
+        columns,
         multi_line=table in schemas.MULTI_LINE_TABLES,
         ordinal=ordinal,
     )
 
 
-def read_export(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """A workbook sheet that was exported to Parquet or CSV, taken in as text."""
-    if path.rstrip("/").endswith(".csv"):
-        return read_csv(spark, path, columns)
+def read_export(
+    spark: SparkSession, path: str, columns: Sequence[str], ordinal: bool = False
+) -> DataFrame:
+    """A workbook sheet that was exported to Parquet, taken in as text.
+
+    Columns are matched by position, as for CSV.
+    """
     df = spark.read.parquet(path)
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
+    if len(df.columns) != len(columns):
+        raise ValueError(f"{path} has {len(df.columns)} columns, expected {len(columns)}")
+    selected = [
+        F.col(f"`{have}`").cast("string").alias(want) for have, want in zip(df.columns, columns)
+    ]
+    if ordinal:
+        selected += [
+            F.col("_metadata.file_path").alias("_file"),
+            F.lit(0).cast("bigint").alias("_split"),
+            F.col("_metadata.row_index").alias("_row"),
+        ]
+    return df.select(*selected)

@@ -12,7 +12,7 @@ from collections import Counter
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -49,10 +49,10 @@ def _value(v: object) -> object:
     return (type(v).__name__, v)
 
 
-def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, folder: str, e) -> str:
+def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str:
     """Empty if both results agree, else what differs first."""
-    columns, got = spark_rows(e(spark, folder))
-    expected_columns, expected = sql_rows(con, e.sql)
+    columns, got = spark_rows(df)
+    expected_columns, expected = sql_rows(con, sql)
     if columns != expected_columns:
         return f"columns {columns} != {expected_columns}"
     if got == expected:
@@ -85,10 +85,11 @@ def main() -> int:
     for key in keys:
         start = time.time()
         try:
-            if entries[key].sql is None:
-                found = "" if entries[key](spark, folder).count() else "no rows"
+            df, sql = entries[key](spark, folder), entries[key].sql
+            if sql is None:
+                found = "" if df.count() else "no rows"
             else:
-                found = differences(spark, con, folder, entries[key])
+                found = differences(df, con, sql)
         except Exception as e:  # noqa: BLE001
             found = f"{type(e).__name__}: {str(e)[:1500]}"
         failed += bool(found)
