@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerline.catalog.analogue import star, with_ctes
 from ledgerline.catalog.base import Tables, entry
@@ -27,7 +26,7 @@ _SCORE = "(smartphone_penetration + internet_penetration + literacy_rate) / 3"
     "br1_largest_monthly_drops",
     with_ctes(
         """WITH steps AS (
-             SELECT city_id, month, net_circulation,
+             SELECT city_id, month, edition_id, net_circulation,
                     lag(net_circulation) OVER (PARTITION BY city_id ORDER BY month, edition_id)
                         AS before
              FROM print_sales)
@@ -36,7 +35,7 @@ _SCORE = "(smartphone_penetration + internet_penetration + literacy_rate) / 3"
                   before - net_circulation AS circulation_drop
            FROM steps JOIN dim_city USING (city_id)
            WHERE net_circulation < before
-           QUALIFY row_number() OVER (ORDER BY before - net_circulation DESC) <= 3""",
+           ORDER BY before - net_circulation DESC, city_id, steps.month, edition_id LIMIT 3""",
         "print_sales",
         "dim_city",
     ),
@@ -351,14 +350,14 @@ def q8(t: Tables) -> DataFrame:
             SELECT year, city_name, category_name, revenue::DOUBLE AS category_revenue,
                    total::DOUBLE AS total_revenue_year,
                    round(revenue::DOUBLE / total::DOUBLE * 100, 2) AS pct_of_year_total
-            FROM totals WHERE revenue::DOUBLE / total::DOUBLE > 0.3""",
+            FROM totals WHERE revenue::DOUBLE / total::DOUBLE > 0.25""",
         "ad_revenue",
         "dim_city",
         "dim_ad_category",
     ),
 )
 def x1(t: Tables) -> DataFrame:
-    return reports.city_category_concentration(star(t), min_share=0.3)
+    return reports.city_category_concentration(star(t), min_share=0.25)
 
 
 @entry(

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 def dense_rank_by(*order: Column) -> Column:
     """DENSE_RANK over all rows. It runs in one task, so aggregate first: the
-    input is to be one row per member of a dimension, never detail rows."""
+    input is to be one narrow row per member of a dimension, never detail rows.
+    Where only the best matter, :func:`leaderboard` ranks k rows."""
     return F.dense_rank().over(Window.orderBy(*order))
 
 

@@ -39,15 +39,19 @@ def load_raw(layers: Layers, paths: Mapping[str, str]) -> dict[str, int]:
 
 
 def _cleaned(raw: DataFrame, table: str) -> tuple[DataFrame, tuple[str, ...]]:
-    """The cleaned rows and the columns that give their ids an order."""
+    """The cleaned rows and the order that their ids and files follow.
+
+    The period comes first, so that files hold neighbouring periods and a
+    report on one year skips the others by their statistics.
+    """
     if table == "fact_print_sales":
-        return clean.fact_print_sales(raw), ORDINAL
+        return clean.fact_print_sales(raw), ("month", *ORDINAL)
     if table == "fact_ad_revenue":
-        return clean.fact_ad_revenue(raw), clean.REVENUE_KEYS
+        return clean.fact_ad_revenue(raw), ("quarter", *clean.REVENUE_KEYS[:3])
     if table == "fact_city_readiness":
-        return clean.fact_city_readiness(raw, ORDINAL), ORDINAL
+        return clean.fact_city_readiness(raw, ORDINAL), ("quarter", *ORDINAL)
     if table == "fact_digital_pilot":
-        return clean.fact_digital_pilot(raw, ORDINAL), ORDINAL
+        return clean.fact_digital_pilot(raw, ORDINAL), ("launch_month", *ORDINAL)
     return clean.CLEANERS[table](raw), ()
 
 

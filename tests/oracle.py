@@ -1,11 +1,14 @@
 """Run a catalog entry on Spark and its SQL on DuckDB and compare the results.
 
     python tests/oracle.py [scale folder] [key ...]
+
+SPARK_SETTINGS may hold further settings, as key=value separated by blanks.
 """
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -78,6 +81,9 @@ def main() -> int:
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
     }
+    for pair in os.environ.get("SPARK_SETTINGS", "").split():
+        name, _, value = pair.partition("=")
+        settings[name] = value
     spark = build_session(**settings)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
