@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.session import new_shared_path
@@ -61,29 +61,26 @@ def lag_in_order(
 
     ``entity + order`` should be unique, otherwise the order among equals is open.
     """
-    laid_out = range_layout(df, [*entity, *order])
-    in_range = Window.partitionBy(PART, *entity).orderBy(POS)
-    lasts = laid_out.groupBy(PART, *entity).agg(
-        *[F.max_by(v, POS).alias(f"_last_{v}") for v in values]
-    )
+    # The entity's rows within one range, as one column: windowed, summarised and
+    # joined by it, the rows are shuffled once. It also joins NULL entities.
+    laid_out = range_layout(df, [*entity, *order]).withColumn("_run", F.struct(PART, *entity))
+    in_run = Window.partitionBy("_run").orderBy(POS)
+    lasts = laid_out.groupBy("_run").agg(*[F.max_by(v, POS).alias(f"_last_{v}") for v in values])
     # per entity one row for each range it reaches into
-    over_ranges = Window.partitionBy(*entity).orderBy(PART)
+    over_runs = Window.partitionBy(*[F.col(f"_run.`{k}`") for k in entity]).orderBy(f"_run.{PART}")
     carried = lasts.select(
-        PART, *entity, *[F.lag(f"_last_{v}").over(over_ranges).alias(f"_carry_{v}") for v in values]
-    )
-    inside = laid_out.select(
-        "*",
-        F.row_number().over(in_range).alias("_nth"),
-        *[F.lag(v).over(in_range).alias(f"_lag_{v}") for v in values],
+        "_run", *[F.lag(f"_last_{v}").over(over_runs).alias(f"_carry_{v}") for v in values]
     )
-    joined = inside.alias("i").join(
-        carried.alias("c"),
-        [F.col(f"i.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (PART, *entity)],
-        "left",
+    inside = laid_out.withColumns(
+        {
+            "_nth": F.row_number().over(in_run),
+            **{f"_lag_{v}": F.lag(v).over(in_run) for v in values},
+        }
     )
-    previous = [_first_or(v).alias(f"prev_{v}") for v in values]
-    return joined.select(*[F.col(f"i.`{c}`") for c in df.columns], *previous)
-
-
-def _first_or(value: str) -> Column:
-    return F.when(F.col("_nth") == 1, F.col(f"_carry_{value}")).otherwise(F.col(f"_lag_{value}"))
+    previous = [
+        F.when(F.col("_nth") == 1, F.col(f"_carry_{v}"))
+        .otherwise(F.col(f"_lag_{v}"))
+        .alias(f"prev_{v}")
+        for v in values
+    ]
+    return inside.join(carried, "_run", "left").select(*df.columns, *previous)

@@ -83,9 +83,8 @@ def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def orphans(df: DataFrame, rule: ReferenceRule) -> DataFrame:
     """Rows whose complete key has no parent row."""
-    parents = rule.parent.select(*rule.target).distinct()
-    on = [df[c] == parents[t] for c, t in zip(rule.columns, rule.target)]
-    return df.dropna(subset=list(rule.columns)).join(parents, on, "left_anti")
+    on = [df[c] == rule.parent[t] for c, t in zip(rule.columns, rule.target)]
+    return df.dropna(subset=list(rule.columns)).join(rule.parent, on, "left_anti")
 
 
 def count_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -121,42 +120,42 @@ def count_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 
 
+def _key(columns: Sequence[str], like: DataFrame, names: Sequence[str]) -> Column:
+    """The columns as one struct, typed as ``names`` are in ``like``."""
+    kinds = [like.schema[n].dataType for n in names]
+    fields = [F.col(f"`{c}`").try_cast(k) for c, k in zip(columns, kinds)]
+    return F.struct(*[f.alias(f"k{i}") for i, f in enumerate(fields)])
+
+
 def mark_violations(df: DataFrame, rules: Sequence[Rule], name: str = "violations") -> DataFrame:
-    """Add an array with the names of the rules each row breaks."""
+    """Add an array with the names of the rules each row breaks.
+
+    Keys are joined as structs. Fields that are NULL then match each other, and
+    the distinct keys are shuffled for the join rather than left as they were
+    grouped, which is what lets adaptive execution split a skewed key.
+    """
     marked = df
     flags: list[tuple[str, Column]] = []
     helpers: list[str] = []
     for i, rule in enumerate(rules):
-        flag = f"_rule{i}"
         if isinstance(rule, RowRule):
             flags.append((rule.name, rule.violated))
             continue
-        if isinstance(rule, UniqueRule):
-            found = duplicate_keys(df, rule.columns).select(*rule.columns)
-            pairs = [(c, c) for c in rule.columns]
-        else:
-            found = rule.parent.select(*rule.target).distinct()
-            pairs = list(zip(rule.columns, rule.target))
-        found = found.select(
-            *[F.col(t).alias(f"_k{i}_{j}") for j, (_, t) in enumerate(pairs)],
-            F.lit(True).alias(flag),
-        )
-        on = reduce(
-            Column.__and__,
-            [
-                F.col(c).eqNullSafe(F.col(f"_k{i}_{j}"))
-                if isinstance(rule, UniqueRule)
-                else F.col(c) == F.col(f"_k{i}_{j}")
-                for j, (c, _) in enumerate(pairs)
-            ],
-        )
-        marked = marked.join(found, on, "left").drop(*[f"_k{i}_{j}" for j in range(len(pairs))])
+        flag, key = f"_rule{i}", f"_key{i}"
         helpers.append(flag)
+        found = F.col(flag).isNotNull()
         if isinstance(rule, UniqueRule):
-            flags.append((rule.name, F.col(flag).isNotNull()))
+            known, columns = duplicate_keys(df, rule.columns), rule.columns
+            flags.append((rule.name, found))
         else:
+            known, columns = rule.parent.select(*rule.target).distinct(), rule.target
             complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in rule.columns])
-            flags.append((rule.name, complete & F.col(flag).isNull()))
+            flags.append((rule.name, complete & ~found))
+        known = known.select(
+            _key(columns, df, rule.columns).alias(key), F.lit(True).alias(flag)
+        )
+        own = _key(rule.columns, df, rule.columns)
+        marked = marked.join(known, own == F.col(key), "left").drop(key)
     broken = F.array_compact(F.array(*[F.when(bad, F.lit(rule)) for rule, bad in flags]))
     return marked.withColumn(name, broken).drop(*helpers)
 

@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 from ledgerline.functions.money import currency_code, to_base_currency
 from ledgerline.functions.numbers import clean_decimal, clean_int
 from ledgerline.functions.periods import normalize_quarter, parse_month
-from ledgerline.functions.text import blank_to_null, key_from_code, state_name, strip, title_case
+from ledgerline.functions.text import (
+    STATE_NAMES,
+    blank_to_null,
+    key_from_code,
+    remap,
+    state_name,
+    strip,
+    title_case,
+)
 from ledgerline.operators import quality as q
 from ledgerline.operators.consolidate import consolidate, keep_first
 from ledgerline.sources.raw import ORDINAL
@@ -53,11 +61,13 @@ def fact_print_sales(raw: DataFrame, order: Sequence[str] = ORDINAL) -> DataFram
         strip(F.col("edition_ID")).alias("edition_id"),
         strip(F.col("City_ID")).alias("city_id"),
         title_case(strip(F.col("Language"))).alias("language"),
-        state_name(F.col("State")).alias("state"),
+        title_case(strip(F.col("State"))).alias("state"),
         parse_month(F.col("Month")).alias("month"),
         *copies,
         *order,
     )
+    # A step of its own, as the lookup reads the column twice.
+    rows = rows.withColumn("state", remap(F.col("state"), STATE_NAMES))
     # Only the rows that stay have their numbers parsed.
     net = _count(F.col("Net_Circulation"))
     return keep_first(rows, PRINT_KEYS, order).select(

@@ -69,11 +69,10 @@ def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str:
 
 def main() -> int:
     sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
-    from __spark_entry__ import queries
+    from ledgerline.catalog.registry import ENTRIES as entries
     from ledgerline.session import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    entries = queries()
     keys = sys.argv[2:] or list(entries)
     settings = {
         "spark.master": "local[8]",

@@ -9,9 +9,9 @@ import oracle
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from ledgerline.catalog.registry import ENTRIES
 
 FOLDER = os.environ.get("CATALOG_SF_DIR", "/root/testdata/sf0.001")
-ENTRIES = queries()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 
@@ -38,7 +38,7 @@ def test_same_result_as_sql(spark, duck, key):
 
 
 def test_entry_points(spark):
-    assert set(oracle_sql()) <= set(queries())
+    assert set(oracle_sql()) <= set(queries()) == set(ENTRIES)
     assert entry(spark).count() > 0
 
 

@@ -295,6 +295,38 @@ def test_split_keeps_every_row_once(rules_and_rows):
     }
 
 
+def test_reference_of_another_type(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "id INT")
+    parent = spark.createDataFrame([(1,), (2**40,)], "key BIGINT")
+    good, bad = q.split(df, [q.references(["id"], parent, ["key"])])
+    assert {r.id for r in good.collect()} == {1, None} and bad.first().id == 2
+
+
+def test_skewed_key_is_split_in_the_rule_join(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 60000, 1, 8).selectExpr(
+            "IF(id % 3 = 0, 7, id % 1000) AS key", "md5(cast(id AS STRING)) AS payload"
+        )
+        parent = spark.range(900).withColumnRenamed("id", "key")
+        marked = q.mark_violations(rows, [q.references(["key"], parent)])
+        assert sum(len(r.violations) for r in marked.collect()) == 4000
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "skew=true" in plan
+
+
 # --- measures ----------------------------------------------------------------------
 
 
