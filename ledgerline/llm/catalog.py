@@ -1,7 +1,10 @@
 """Import point that has all modules of this package register their queries."""
 
 from ledgerline.llm import (  # noqa: F401
+    id_files,
     licenses,
+    mixing,
+    packing,
     warc,
 )
 from ledgerline.llm.registry import ORACLE_SQL, QUERIES

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,12 +14,28 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver has
+    it. On a cluster, pass the package with ``--py-files``."""
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
+
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
-        QUERIES[name] = build
+        @wraps(build)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            find_package(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE_SQL[name] = sql
-        return build
+        return run
 
     return register
