@@ -4,6 +4,7 @@ from ledgerline.llm import (  # noqa: F401
     id_files,
     licenses,
     mixing,
+    near_dup,
     packing,
     warc,
 )
