@@ -6,6 +6,7 @@ from ledgerline.llm import (  # noqa: F401
     mixing,
     near_dup,
     packing,
+    quality,
     warc,
 )
 from ledgerline.llm.registry import ORACLE_SQL, QUERIES
