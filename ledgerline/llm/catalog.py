@@ -7,6 +7,7 @@ from ledgerline.llm import (  # noqa: F401
     near_dup,
     packing,
     quality,
+    repeats,
     warc,
 )
 from ledgerline.llm.registry import ORACLE_SQL, QUERIES
