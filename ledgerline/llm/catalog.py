@@ -1,10 +1,12 @@
 """Import point that has all modules of this package register their queries."""
 
 from ledgerline.llm import (  # noqa: F401
+    embedding_dup,
     id_files,
     licenses,
     mixing,
     near_dup,
+    neighbours,
     packing,
     quality,
     repeats,
