@@ -47,6 +47,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows, written once, with a number for each in ``__row``: unlike an id it is
+    never null and never repeated."""
+    return cut(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+
+
 def release(spark: SparkSession) -> None:
     """Remove the intermediate tables made so far. Results must have been written."""
     context = spark.sparkContext

@@ -103,10 +103,12 @@ def subset_sum(lengths: list[int], counts: list[int], budget: int) -> list[int]:
 
 
 def mix(
-    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = SEED
+    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST, seed: int = SEED,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per document: doc_id, source, size (words), source_size, target (of its
-    source), times (how often the mix takes it), taken (words of it in the mix).
+    source), times (how often the mix takes it), taken (words of it in the mix), and the
+    carried columns.
 
     A null text has no words; documents without words are taken as often as there are
     whole passes over their source. A null source is a source of its own, the last one.
@@ -121,7 +123,7 @@ def mix(
     measured = cut(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-            word_count().alias("size"),
+            word_count().alias("size"), *[F.col(f"`{c}`").alias(c) for c in carry],
         ),
         "sizes",
     )
@@ -149,7 +151,7 @@ def mix(
     bucket = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.ceil(F.coalesce("n", F.lit(1)) / BUCKET)).cast("long")
     dealt = (
         measured.join(chosen, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size")), "left")
-        .select("doc_id", "source", "size", F.coalesce("more", F.lit(0)).alias("more"), bucket.alias("bucket"))
+        .select("doc_id", "source", "size", F.coalesce("more", F.lit(0)).alias("more"), bucket.alias("bucket"), *carry)
     )
     key = ["source", "size", "bucket"]
     running = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -163,7 +165,7 @@ def mix(
     return (
         ranked.join(budgets, F.col("source").eqNullSafe(F.col("b_source")))
         .select("doc_id", "source", "size", "source_size", "target", times.alias("times"),
-                (times * F.col("size")).cast("long").alias("taken"))
+                (times * F.col("size")).cast("long").alias("taken"), *carry)
     )
 
 

@@ -240,6 +240,14 @@ def fit(rows: DataFrame) -> Model:
     return model
 
 
+def learn(stats: DataFrame, labels: DataFrame) -> Model:
+    """``stats``: a written table of doc_id and statistics."""
+    fold = remainder(F.col("doc_id"))
+    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
+    marked = marked.where(fold != HELD_OUT).where(F.col("label").isin(0.0, 1.0)).dropDuplicates()
+    return fit(cut(stats.join(marked, "doc_id").select(fold.alias("fold"), "label", "statistics"), "labelled"))
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: doc_id, held_out, score (0 to 1), predicted.
 
@@ -252,11 +260,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     document; only those with labels are shuffled.
     """
     stats = cut(described(docs), "statistics")
-    fold = remainder(F.col("doc_id"))
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
-    marked = marked.where(fold != HELD_OUT).where(F.col("label").isin(0.0, 1.0)).dropDuplicates()
-    rows = cut(stats.join(marked, "doc_id").select(fold.alias("fold"), "label", "statistics"), "labelled")
-    model = fit(rows)
+    model = learn(stats, labels)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,10 +270,26 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
                 yield pa.record_batch([some.column("doc_id"), pa.array(scores)], names=["doc_id", "score"])
 
     return stats.mapInArrow(score, "doc_id long, score double").select(
-        "doc_id", (fold == HELD_OUT).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+        "doc_id", (remainder(F.col("doc_id")) == HELD_OUT).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
 
 
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, as they are, whose text scores ``threshold`` or more; see
+    ``classify``. The statistics are computed again, so that texts are not written."""
+    model = learn(cut(described(docs), "statistics"), labels)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                values = np.stack([statistics(t or "") for t in some.column("text").to_pylist()])
+                yield some.filter(pa.array(model.score(values) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 @query("op4_quality")
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
