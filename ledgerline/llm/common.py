@@ -56,10 +56,11 @@ def numbered(docs: DataFrame) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Remove the intermediate tables made so far. Results must have been written."""
     context = spark.sparkContext
+    if context._jsc is None:  # stopped
+        return
     for path in _MADE.pop(context.applicationId, []):
-        if context._jsc is not None:
-            place = context._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -4,7 +4,8 @@ Documents of one source and length are alike for the budget, so the choice is ma
 their counts. A source's target is made of whole passes over all its documents and a
 rest. Of the rest, every length gives its share, then one more document of as many
 lengths as fit; a bounded knapsack over the counts that are left closes what remains.
-Which documents of a length are taken follows from a seeded hash of their ids.
+Where that does not meet the target, as with few documents, documents may be repeated
+more unevenly. Which documents of a length are taken follows from a seeded hash of their ids.
 """
 
 from __future__ import annotations
@@ -60,7 +61,9 @@ def fit_lengths(lengths: list[int], counts: list[int], budget: int, knapsack: in
     total = sum(n * c for n, c in zip(lengths, counts))
     if budget >= total:
         return list(counts)
-    use = [c * budget // total for c in counts]
+    if budget <= knapsack:
+        return subset_sum(lengths, counts, budget)
+    use = [c * max(0, budget - knapsack // 2) // total for c in counts]
     left = budget - sum(n * u for n, u in zip(lengths, use))
     order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
     # one more of each length, then as many as there are; half the knapsack stays open
@@ -78,6 +81,27 @@ def fit_lengths(lengths: list[int], counts: list[int], budget: int, knapsack: in
     return [u + a for u, a in zip(use, subset_sum(lengths, rest, min(left, knapsack)))]
 
 
+def fit_target(
+    lengths: list[int], counts: list[int], target: int, most: int, knapsack: int = KNAPSACK
+) -> tuple[int, list[int]]:
+    """Whole passes, and how many documents of each length are taken besides, so that no
+    document is taken more than ``most`` times: the first try that meets the target, or
+    the nearest."""
+    total = sum(n * c for n, c in zip(lengths, counts))
+    passes = min(most, target // total) if total else 0
+    tries = [(passes, 1)] + [(p, most - p) for p in range(passes, -1, -1)]
+    best: tuple[int, int, list[int]] | None = None
+    for base, copies in tries:
+        left = target - base * total
+        more = fit_lengths(lengths, [c * min(copies, most - base) for c in counts], left, knapsack)
+        miss = left - sum(n * m for n, m in zip(lengths, more))
+        if best is None or miss < best[0]:
+            best = (miss, base, more)
+        if miss <= 0:
+            break
+    return best[1], best[2]
+
+
 def subset_sum(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     """Counts whose sum is as near below ``budget`` as can be. Reachable sums are the bits
     of a number; a length is offered in powers of two, so that any count can be made."""
@@ -110,8 +134,7 @@ def mix(
     source), times (how often the mix takes it), taken (words of it in the mix), and the
     carried columns.
 
-    A null text has no words; documents without words are taken as often as there are
-    whole passes over their source. A null source is a source of its own, the last one.
+    A null text has no words; documents without words are taken once. A null source is a source of its own, the last one.
     Rows with the same id are documents of their own; where id and size agree, it does
     not matter which of them is taken. An empty table gives no rows.
 
@@ -132,26 +155,26 @@ def mix(
     wanted = targets(own, weights, most)
     rows = []
     for source, words in own.items():
-        passes = min(most, int(wanted[source] // words)) if words else 0
-        rest = 0 if passes == most or not words else round(wanted[source] - passes * words)
-        rows.append((source, words, wanted[source], passes, rest))
-    budgets = spark.createDataFrame(rows, "b_source string, source_size long, target double, passes int, rest long")
+        rows.append((source, words, wanted[source], min(round(wanted[source]), most * words)))
+    budgets = spark.createDataFrame(rows, "b_source string, source_size long, target double, goal long")
 
     def choose(key: tuple, lengths: pd.DataFrame) -> pd.DataFrame:
         some = lengths[lengths["size"] > 0].sort_values("size")
-        use = fit_lengths(some["size"].tolist(), some["n"].tolist(), int(lengths["rest"].iloc[0]))
-        return some[["source", "size", "n"]].assign(more=use)
+        base, more = fit_target(some["size"].tolist(), some["n"].tolist(), int(lengths["goal"].iloc[0]), most)
+        return some[["source", "size", "n"]].assign(base=base, more=more)
 
     chosen = (
         histogram.join(budgets, F.col("source").eqNullSafe(F.col("b_source")))
-        .select("source", "size", "n", "rest")
-        .groupBy("source").applyInPandas(choose, "source string, size long, n long, more long")
+        .select("source", "size", "n", "goal")
+        .groupBy("source").applyInPandas(choose, "source string, size long, n long, base int, more long")
     )
     chosen = cut(chosen, "lengths").withColumnsRenamed({"source": "c_source", "size": "c_size"})
     bucket = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.ceil(F.coalesce("n", F.lit(1)) / BUCKET)).cast("long")
     dealt = (
         measured.join(chosen, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("size") == F.col("c_size")), "left")
-        .select("doc_id", "source", "size", F.coalesce("more", F.lit(0)).alias("more"), bucket.alias("bucket"), *carry)
+        .select("doc_id", "source", "size", F.coalesce("n", F.lit(1)).alias("n"),
+                F.coalesce("base", F.lit(1)).alias("base"), F.coalesce("more", F.lit(0)).alias("more"),
+                bucket.alias("bucket"), *carry)
     )
     key = ["source", "size", "bucket"]
     running = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -161,7 +184,8 @@ def mix(
     same = F.col("source").eqNullSafe(F.col("k_source")) & (F.col("size") == F.col("k_size")) & (F.col("bucket") == F.col("k_bucket"))
     within = Window.partitionBy(*key).orderBy(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), "doc_id")
     ranked = dealt.withColumn("rank", F.row_number().over(within)).join(counts, same)
-    times = F.col("passes") + (F.col("rank") + F.col("before") <= F.col("more")).cast("int")
+    extra = F.floor(F.col("more") / F.col("n")) + (F.col("rank") + F.col("before") <= F.col("more") % F.col("n")).cast("int")
+    times = (F.col("base") + extra).cast("int")
     return (
         ranked.join(budgets, F.col("source").eqNullSafe(F.col("b_source")))
         .select("doc_id", "source", "size", "source_size", "target", times.alias("times"),
