@@ -247,9 +247,9 @@ def g6(t: Tables) -> DataFrame:
     return _ratios(evaluate(star(t), names, ["city"]), names[:1])
 
 
-@entry("g7_relaunch_scorecard", f"SELECT * EXCLUDE (priority_rank) FROM ({PRIORITIES_SQL})")
+@entry("g7_relaunch_scorecard", PRIORITIES_SQL)
 def g7(t: Tables) -> DataFrame:
-    return reports.relaunch_priorities(star(t)).drop("priority_rank")
+    return reports.relaunch_priorities(star(t))
 
 
 @entry(
@@ -263,3 +263,36 @@ def g7(t: Tables) -> DataFrame:
 )
 def g8(t: Tables) -> DataFrame:
     return date_dimension(t.lineitem, "l_shipdate")
+
+
+@entry(
+    "g9_revenue_and_circulation_by_quarter",
+    with_ctes(
+        """WITH p AS (SELECT year(month) || '-Q' || quarter(month) AS quarter, sum(net_circulation) AS net
+                      FROM print_sales GROUP BY 1),
+                a AS (SELECT quarter, sum(ad_revenue_in_inr) AS revenue FROM ad_revenue GROUP BY 1)
+           SELECT coalesce(p.quarter, a.quarter) AS quarter, revenue::DOUBLE AS total_ad_revenue,
+                  net::BIGINT AS total_net_circulation FROM p FULL JOIN a ON p.quarter = a.quarter""",
+        "print_sales",
+        "ad_revenue",
+    ),
+)
+def g9(t: Tables) -> DataFrame:
+    """Figures of facts with a date and with a quarter, side by side."""
+    return evaluate(star(t), ["total_ad_revenue", "total_net_circulation"], ["quarter"])
+
+
+@entry(
+    "g10_copies_by_calendar_month",
+    with_ctes(
+        """SELECT year(month)::BIGINT AS year, month(month)::BIGINT AS month, sum(copies_sold)::BIGINT AS copies
+           FROM print_sales GROUP BY 1, 2""",
+        "print_sales",
+    ),
+)
+def g10(t: Tables) -> DataFrame:
+    """The date dimension as a grouping: a fact's days looked up in the calendar."""
+    sales = star(t).print_sales
+    days = sales.groupBy(F.col("month").alias("date")).agg(F.sum("copies_sold").alias("copies"))
+    calendar = date_dimension(sales, "month")
+    return days.join(calendar, "date").groupBy("year", "month").agg(F.sum("copies").alias("copies"))

@@ -19,6 +19,26 @@ def _amount():
     return numbers.clean_decimal(F.col("ad_revenue"))
 
 
+# The scripts these two come from only strip commas, so they see what that makes a number.
+_GROUPED = "replace(trim(ad_revenue), ',', '')"
+_READABLE = r"^\s*[0-9][0-9,]*(\.[0-9]+)?\s*$"
+
+
+def _grouped_rows(t: Tables) -> DataFrame:
+    return a.raw_ad_revenue(t).where(F.col("ad_revenue").rlike(_READABLE))
+
+
+def _grouped_amount():
+    return numbers.parse_grouped(F.col("ad_revenue"), "decimal(18,4)")
+
+
+def _grouped_sql(sql: str) -> str:
+    """The same query on the readable rows with the parsed amount."""
+    return sql.replace(_AMOUNT, f"({_GROUPED})::DECIMAL(18,4)").replace(
+        "FROM raw_ad_revenue", f"FROM (SELECT * FROM raw_ad_revenue WHERE regexp_matches(ad_revenue, '{_READABLE}'))"
+    )
+
+
 def _year():
     return periods.find_year(F.col("quarter"))
 
@@ -99,11 +119,11 @@ def pr5_currency(t: Tables) -> DataFrame:
     return profile.sums_by_key(rows, ["currency"], "amount", "ad_revenue")
 
 
-@entry("pr6_unconverted_share", _share_sql(_AMOUNT, "revenue_clean", "total_revenue"))
+@entry("pr6_unconverted_share", _grouped_sql(_share_sql(_AMOUNT, "revenue_clean", "total_revenue")))
 def pr6(t: Tables) -> DataFrame:
     return profile.raw_share(
-        a.raw_ad_revenue(t),
-        {"year": _year(), "revenue_clean": _amount()},
+        _grouped_rows(t),
+        {"year": _year(), "revenue_clean": _grouped_amount()},
         "year",
         "ad_category",
         "revenue_clean",
@@ -113,14 +133,14 @@ def pr6(t: Tables) -> DataFrame:
 
 @entry(
     "pr7_sums_by_year_category_currency",
-    with_ctes(
+    _grouped_sql(with_ctes(
         f"""SELECT * FROM (SELECT {_YEAR} AS year, ad_category, currency,
                                   sum({_AMOUNT})::DOUBLE AS ad_revenue
                            FROM raw_ad_revenue GROUP BY 1, 2, 3)
             WHERE year IS NOT NULL AND currency IS NOT NULL""",
         "raw_ad_revenue",
-    ),
+    )),
 )
 def pr7(t: Tables) -> DataFrame:
-    rows = a.raw_ad_revenue(t).withColumns({"year": _year(), "amount": _amount()})
+    rows = _grouped_rows(t).withColumns({"year": _year(), "amount": _grouped_amount()})
     return profile.sums_by_key(rows, ["year", "ad_category", "currency"], "amount", "ad_revenue")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.catalog import analogue as a
@@ -22,9 +26,10 @@ def _price():
     return F.col("o_totalprice").cast("decimal(18,2)")
 
 
-def _by_nation(t: Tables, *keys) -> DataFrame:
+def _by_nation(t: Tables, *keys, years: Sequence[int] = ()) -> DataFrame:
     """Order value per customer nation: nation_id, keys, amount."""
-    joined = t.orders.join(
+    orders = t.orders.where(_in_years("o_orderdate", *years)) if years else t.orders
+    joined = orders.join(
         t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")
     )
     return joined.groupBy("c_nationkey", *keys).agg(F.sum(_price()).alias("amount"))
@@ -36,8 +41,12 @@ _BY_NATION_YEAR = f"""
     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
 
 
-def _by_nation_year(t: Tables) -> DataFrame:
-    return _by_nation(t, F.year("o_orderdate").alias("year"))
+def _in_years(column: str, *years: int) -> Column:
+    return reduce(or_, [periods.in_year(F.col(column), y) for y in years])
+
+
+def _by_nation_year(t: Tables, *years: int) -> DataFrame:
+    return _by_nation(t, F.year("o_orderdate").alias("year"), years=years)
 
 
 # --- filters -------------------------------------------------------------------
@@ -189,9 +198,11 @@ def fact_category(t: Tables) -> DataFrame:
               FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)
              USING (c_nationkey, year)""",
 )
-def aggregate_join(t: Tables) -> DataFrame:
+def aggregate_join(t: Tables, *years: int) -> DataFrame:
+    """``years``: only these, by a test that reaches both scans."""
+    lines = t.lineitem.where(_in_years("l_shipdate", *years)) if years else t.lineitem
     shipped = (
-        t.lineitem.select(
+        lines.select(
             "l_suppkey", F.year("l_shipdate").alias("year"), F.col("l_quantity").cast("int").alias("n")
         )
         .groupBy("l_suppkey", "year")
@@ -200,7 +211,7 @@ def aggregate_join(t: Tables) -> DataFrame:
         .groupBy(F.col("s_nationkey").alias("c_nationkey"), "year")
         .agg(F.sum("n").alias("copies"))
     )
-    return _by_nation_year(t).join(shipped, ["c_nationkey", "year"])
+    return _by_nation_year(t, *years).join(shipped, ["c_nationkey", "year"])
 
 
 @entry(
@@ -230,7 +241,8 @@ def share_of_total(t: Tables) -> DataFrame:
              ON x.c_nationkey = y.c_nationkey AND x.year = 1995 AND y.year = 2000""",
 )
 def two_period_pivot(t: Tables) -> DataFrame:
-    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+    orders = t.orders.where(_in_years("o_orderdate", 1995, 2000))
+    rows = orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "c_nationkey", F.year("o_orderdate").alias("year"), _price().alias("amount")
     )
     pair = period.two_period_means(
@@ -258,7 +270,7 @@ def two_period_pivot(t: Tables) -> DataFrame:
 )
 def four_way_periods(t: Tables) -> DataFrame:
     at = lambda y, c: F.sum(F.when(F.col("year") == y, F.col(c)))
-    both = aggregate_join(t).where(F.col("year").isin(1995, 2000))
+    both = aggregate_join(t, 1995, 2000).where(F.col("year").isin(1995, 2000))
     wide = (
         both.groupBy("c_nationkey")
         .agg(
@@ -411,10 +423,8 @@ def ratio_of_sums(t: Tables) -> DataFrame:
        FROM lineitem GROUP BY 1""",
 )
 def mean_of_ratios(t: Tables) -> DataFrame:
-    pct = (ar.divide_or_null(F.col("l_discount"), F.col("l_tax")) * 100).cast("decimal(16,10)")
-    return t.lineitem.groupBy("l_suppkey").agg(
-        ar.rounded(ar.mean_of_sums(F.sum(pct), F.count(pct)), 2).alias("mean_pct")
-    )
+    pct = ar.divide_or_null(F.col("l_discount"), F.col("l_tax")) * 100
+    return t.lineitem.groupBy("l_suppkey").agg(ar.rounded(ar.mean(pct), 2).alias("mean_pct"))
 
 
 @entry(
@@ -482,9 +492,10 @@ def null_and_row_counts(t: Tables) -> DataFrame:
        FROM events""",
 )
 def lag_detail_rows(t: Tables) -> DataFrame:
-    """A user may have any number of events, so the order is cut into ranges."""
+    """A user may have any number of events, so the order is cut into days."""
     rows = t.events.select("user_id", "ts", "event_id", "event_type")
-    return lag_in_order(rows, ["user_id"], ["ts", "event_id"], ["event_type"]).drop("ts")
+    day = F.col("ts").cast("date")
+    return lag_in_order(rows, ["user_id"], ["ts", "event_id"], ["event_type"], cut=day).drop("ts")
 
 
 @entry(
@@ -533,7 +544,7 @@ def _scores(t: Tables) -> DataFrame:
     f"""SELECT *, (dense_rank() OVER (ORDER BY score DESC))::BIGINT AS place FROM ({_SCORES})""",
 )
 def dense_rank_desc(t: Tables) -> DataFrame:
-    return _scores(t).withColumn("place", rank.dense_rank_by(F.col("score").desc_nulls_first()))
+    return rank.with_dense_rank(_scores(t), "place", "score")
 
 
 @entry(
@@ -541,7 +552,7 @@ def dense_rank_desc(t: Tables) -> DataFrame:
     f"""SELECT *, (dense_rank() OVER (ORDER BY score ASC))::BIGINT AS place FROM ({_SCORES})""",
 )
 def dense_rank_asc(t: Tables) -> DataFrame:
-    return _scores(t).withColumn("place", rank.dense_rank_by(F.col("score").asc_nulls_last()))
+    return rank.with_dense_rank(_scores(t), "place", "score", descending=False)
 
 
 @entry(
@@ -572,9 +583,9 @@ def rank_predicates(t: Tables) -> DataFrame:
     rows = t.customer.groupBy("c_nationkey").agg(
         score.alias("score"), F.count(F.lit(1)).alias("n")
     )
-    ranked = rows.withColumn(
-        "best", rank.dense_rank_by(F.col("score").desc_nulls_first())
-    ).withColumn("fewest", rank.dense_rank_by(F.col("n").asc_nulls_last()))
+    ranked = rank.with_dense_rank(
+        rank.with_dense_rank(rows, "best", "score"), "fewest", "n", descending=False
+    )
     return ranked.withColumn(
         "picked", ar.yes_no((F.col("best") <= 5) & (F.col("fewest") <= 10))
     )

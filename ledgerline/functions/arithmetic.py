@@ -11,18 +11,29 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Amounts as reports carry them.
 EXACT = "decimal(24,4)"
-FINE = "decimal(24,16)"
+# What is divided: 12 decimals as long as the number has 12 digits before them, else 4.
+FINE, COARSE = "decimal(24,12)", "decimal(28,4)"
+# Amounts on the way to a division.
+WIDE = "decimal(34,12)"
+# Values a mean is taken of; larger ones are added up as DOUBLE.
+VALUE = "decimal(16,10)"
+MEAN = "decimal(38,16)"
 
 
 def exact(c: Column) -> Column:
     return c.cast(EXACT)
 
 
+def _quotient(a: Column, b: Column, kind: str) -> Column:
+    return a.try_cast(kind) / F.nullif(b.try_cast(kind), F.lit(0).cast(kind))
+
+
 def divide_or_null(a: Column, b: Column) -> Column:
-    """Exact quotient, NULL where the divisor is 0."""
-    divisor = exact(b)
-    return exact(a) / F.nullif(divisor, F.lit(0).cast(EXACT))
+    """Exact quotient, NULL where the divisor is 0. Large numbers are divided with
+    fewer decimals, so neither fine nor large input is bent."""
+    return F.coalesce(_quotient(a, b, FINE), _quotient(a, b, COARSE))
 
 
 def divide_or(a: Column, b: Column, default: float = 0) -> Column:
@@ -33,7 +44,18 @@ def divide_or(a: Column, b: Column, default: float = 0) -> Column:
 def mean_of_sums(total: Column, count: Column) -> Column:
     """Mean from a sum and a count that were aggregated (in steps) before."""
     n = count.cast("decimal(18,0)")
-    return total.cast("decimal(34,12)") / F.nullif(n, F.lit(0).cast("decimal(18,0)"))
+    return total.cast(WIDE) / F.nullif(n, F.lit(0).cast("decimal(18,0)"))
+
+
+def mean(value: Column) -> Column:
+    """Aggregate: the exact mean of a group, or the mean as DOUBLE carries it where a
+    value or a sum has too many digits for that."""
+    fine = value.try_cast(VALUE)
+    whole = F.count(fine) == F.count(value)
+    return F.coalesce(
+        F.when(whole, mean_of_sums(F.try_sum(fine), F.count(fine)).try_cast(MEAN)),
+        F.avg(value.cast("double")).try_cast(MEAN),
+    )
 
 
 def rounded(c: Column, digits: int) -> Column:
@@ -47,26 +69,27 @@ def ratio(a: Column, b: Column, digits: int) -> Column:
 
 def percent(a: Column, b: Column, digits: int = 2) -> Column:
     """``a / b`` in percent; scaled before dividing, so no digit is lost."""
-    return rounded(divide_or_null(exact(a) * 100, b), digits)
+    return rounded(divide_or_null(a.cast(WIDE) * 100, b), digits)
 
 
 def percent_change(now: Column, before: Column, digits: int = 2) -> Column:
-    return percent(exact(now) - exact(before), before, digits)
+    return percent(now.cast(WIDE) - before.cast(WIDE), before, digits)
 
 
 def row_mean(*columns: Column) -> Column:
     """Mean of several columns of one row; NULL if any is NULL."""
-    total = columns[0].cast(FINE)
+    kind = "decimal(34,16)"
+    total = columns[0].cast(kind)
     for c in columns[1:]:
-        total = total + c.cast(FINE)
-    return (total.cast(FINE) / F.lit(len(columns))).cast(FINE)
+        total = (total + c.cast(kind)).cast(kind)
+    return (total / F.lit(len(columns))).cast(kind)
 
 
 def weighted_score(terms: Sequence[tuple[Column, str]]) -> Column:
     """Sum of column x weight; weights are decimal texts so they stay exact."""
     score = None
     for c, weight in terms:
-        term = c.cast("decimal(18,6)") * F.lit(weight).cast("decimal(9,6)")
+        term = c.cast("decimal(20,8)") * F.lit(weight).cast("decimal(16,12)")
         score = term if score is None else score + term
     return score
 
@@ -75,7 +98,7 @@ def band(c: Column, cuts: Mapping[str, float | str], otherwise: str) -> Column:
     """Label of the first cut that ``c`` reaches; give the cuts from high to low."""
     label = None
     for name, cut in cuts.items():
-        reached = c >= F.lit(str(cut)).cast("decimal(18,6)")
+        reached = c >= F.lit(str(cut)).cast(FINE)
         label = F.when(reached, name) if label is None else label.when(reached, name)
     return label.otherwise(otherwise)
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.arithmetic import mean_of_sums
+from ledgerline.functions.arithmetic import MEAN, VALUE, WIDE
 
 
 def sums_by(
@@ -59,16 +59,25 @@ def fan_out_mean(
     That equals the mean over all pairs, also when a group spans keys.
     ``labels`` (one row per key) supplies group columns that left lacks.
     """
-    value = value.cast("decimal(16,10)")
+    # Exact as long as the digits suffice, next to it the same as DOUBLE carries it.
+    fine = value.try_cast(VALUE)
     own = [c for c in group if c in left.columns]
-    lefts = left.groupBy(key, *own).agg(F.count(F.lit(1)).cast("decimal(11,0)").alias("_n"))
+    lefts = left.groupBy(key, *own).agg(F.count(F.lit(1)).alias("_n"))
     rights = right.groupBy(key).agg(
-        F.sum(value).cast("decimal(26,10)").alias("_s"),
-        F.count(value).cast("decimal(18,0)").alias("_c"),
+        F.when(F.count(fine) == F.count(value), F.try_sum(fine).try_cast("decimal(26,10)")).alias("_s"),
+        F.sum(value.cast("double")).alias("_d"),
+        F.count(value).alias("_c"),
     )
     paired = lefts.join(rights, key)
     if labels is not None:
         paired = paired.join(labels, key)
-    n = F.col("_n")
-    mean = mean_of_sums(F.sum(n * F.col("_s")), F.sum(n * F.col("_c")))
+    n = F.col("_n").try_cast("decimal(11,0)")
+    part = F.try_multiply(n, F.col("_s"))
+    pairs = F.sum(F.col("_n").cast("decimal(19,0)") * F.col("_c"))
+    # a key without any value adds nothing, so it may lack its sum
+    whole = F.bool_and(part.isNotNull() | (F.col("_c") == 0))
+    mean = F.coalesce(
+        F.when(whole, (F.try_sum(part).try_cast(WIDE) / F.nullif(pairs, F.lit(0).cast("decimal(19,0)"))).try_cast(MEAN)),
+        (F.sum(F.col("_n") * F.col("_d")) / F.nullif(pairs.cast("double"), F.lit(0.0))).try_cast(MEAN),
+    )
     return paired.groupBy(*group).agg(mean.alias(name))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.arithmetic import divide_or, mean_of_sums, row_mean
-from ledgerline.functions.periods import quarter_year
+from ledgerline.functions.periods import quarter_text, quarter_year
 
 PRINT, ADS, READY, PILOT = "print_sales", "ad_revenue", "readiness", "pilot"
 
@@ -90,6 +90,7 @@ def _own_groupings(fact: str) -> dict[str, Column]:
     if fact == PRINT:
         return {
             "year": F.year("month"),
+            "quarter": quarter_text(F.col("month")),
             "month": F.col("month"),
             "language": F.col("language"),
             "edition_id": F.col("edition_id"),

@@ -1,77 +1,83 @@
 """Row numbers and LAG over a total order, without a single-task window.
 
-A window over a whole table, or over one entity that holds a third of it, runs
-in one task. Here the rows are range-partitioned by the *full* order key
-instead, which splits any entity over as many tasks as its rows need, and only
-one summary row per task (and entity) crosses the borders.
+A window over a whole table, or over one entity that holds a third of it, runs in one
+task. Here the order is cut by an expression that grows with it, such as the day of a
+time or a range of a key. Rows are ordered within their cut, and one summary row per cut
+(and entity) carries what crosses its borders. Nothing is written and nothing is sampled:
+the plan is as lazy, and its result as fixed, as any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.session import new_shared_path
+CUT = "_cut"
 
-PART, POS = "_part", "_pos"
 
+def _keys(order: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{c}`").asc_nulls_first() for c in order]
 
-def range_layout(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The rows with range number ``_part`` and position ``_pos`` in the order.
-
-    Range borders come from a sample, so they may differ if Spark computes
-    them twice. The layout is therefore written to the shared folder once and
-    everything downstream reads it from there.
-    """
-    path = new_shared_path(df.sparkSession, "ordered")
-    keys = [F.col(f"`{c}`").asc_nulls_first() for c in order]
-    (
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn(PART, F.spark_partition_id())
-        .withColumn(POS, F.monotonically_increasing_id())
-        .write.parquet(path)
-    )
-    return df.sparkSession.read.parquet(path)
 
+def number_rows(
+    df: DataFrame, order: Sequence[str], name: str = "id", cuts: Sequence[Column] = ()
+) -> DataFrame:
+    """Add 1..n in ``order`` (which should be unique).
 
-def number_rows(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame:
-    """Add 1..n in ``order`` (which should be unique), each range on its own."""
-    laid_out = range_layout(df, order)
-    start = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        laid_out.groupBy(PART)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min(POS).alias("_first"))
-        # one row per range
-        .select(
-            PART, "_first", F.coalesce(F.sum("_rows").over(start), F.lit(0)).alias("_before")
+    ``cuts``: the order is cut by the first, what lies between by the second, and so on;
+    none may fall while ``order`` grows. Without any it is the first column of the order.
+    A task orders the rows of an innermost cut; another the cuts within one of the level
+    above, as a row each.
+    """
+    cuts = list(cuts) or [F.col(f"`{order[0]}`")]
+    names = [f"_cut{i}" for i in range(len(cuts))]
+    rows = df.withColumns(dict(zip(names, cuts)))
+    number = F.row_number().over(Window.partitionBy(*names).orderBy(*_keys(order)))
+    rows = rows.withColumns({"_nth": number, "_of": F.struct(*names)})
+    for depth in range(len(names), 0, -1):
+        outer, last = names[: depth - 1], names[depth - 1]
+        before = (
+            Window.partitionBy(*outer).orderBy(F.col(last).asc_nulls_first())
+            .rowsBetween(Window.unboundedPreceding, -1)
         )
-    )
-    number = F.col("_before") + F.col(POS) - F.col("_first") + 1
-    # Bounded: one narrow row per range, that is per shuffle partition.
-    return laid_out.join(F.broadcast(offsets), PART).select(number.cast("bigint").alias(name), *df.columns)
+        starts = rows.groupBy(*names[:depth]).agg(F.count(F.lit(1)).alias("_rows")).select(
+            F.struct(*names[:depth]).alias("_at"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias(f"_before{depth}")
+        )
+        rows = rows.withColumn("_of", F.struct(*names[:depth])).join(starts, F.col("_of") == F.col("_at")).drop("_at")
+    total = F.col("_nth")
+    for depth in range(1, len(names) + 1):
+        total = total + F.col(f"_before{depth}")
+    return rows.select(total.cast("bigint").alias(name), *df.columns)
 
 
 def lag_in_order(
-    df: DataFrame, entity: Sequence[str], order: Sequence[str], values: Sequence[str]
+    df: DataFrame,
+    entity: Sequence[str],
+    order: Sequence[str],
+    values: Sequence[str],
+    cut: Column | None = None,
 ) -> DataFrame:
     """Add ``prev_<value>``: the value of the entity's previous row in ``order``.
 
     ``entity + order`` should be unique, otherwise the order among equals is open.
+    ``cut`` must not fall while ``order`` grows; without one it is the first column of
+    the order. A task orders an entity's rows of one cut, and a row for each of its cuts.
     """
-    # The entity's rows within one range, as one column: windowed, summarised and
-    # joined by it, the rows are shuffled once. It also joins NULL entities.
-    laid_out = range_layout(df, [*entity, *order]).withColumn("_run", F.struct(PART, *entity))
-    in_run = Window.partitionBy("_run").orderBy(POS)
-    lasts = laid_out.groupBy("_run").agg(*[F.max_by(v, POS).alias(f"_last_{v}") for v in values])
-    # per entity one row for each range it reaches into
-    over_runs = Window.partitionBy(*[F.col(f"_run.`{k}`") for k in entity]).orderBy(f"_run.{PART}")
+    # The entity and the cut as one column, which also joins NULL entities.
+    cut = F.col(f"`{order[0]}`") if cut is None else cut
+    rows = df.withColumn(CUT, cut).withColumn("_run", F.struct(*entity, CUT))
+    in_run = Window.partitionBy("_run").orderBy(*_keys(order))
+    place = F.struct(*[F.col(f"`{c}`") for c in order])
+    lasts = rows.groupBy("_run").agg(*[F.max_by(v, place).alias(f"_last_{v}") for v in values])
+    over_runs = Window.partitionBy(*[F.col(f"_run.`{k}`") for k in entity]).orderBy(
+        F.col(f"_run.{CUT}").asc_nulls_first()
+    )
     carried = lasts.select(
-        "_run", *[F.lag(f"_last_{v}").over(over_runs).alias(f"_carry_{v}") for v in values]
+        F.col("_run").alias("_of"), *[F.lag(f"_last_{v}").over(over_runs).alias(f"_carry_{v}") for v in values]
     )
-    inside = laid_out.withColumns(
+    inside = rows.withColumns(
         {
             "_nth": F.row_number().over(in_run),
             **{f"_lag_{v}": F.lag(v).over(in_run) for v in values},
@@ -83,4 +89,4 @@ def lag_in_order(
         .alias(f"prev_{v}")
         for v in values
     ]
-    return inside.join(carried, "_run", "left").select(*df.columns, *previous)
+    return inside.join(carried, F.col("_run") == F.col("_of"), "left").select(*df.columns, *previous)

@@ -8,11 +8,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dense_rank_by(*order: Column) -> Column:
-    """DENSE_RANK over all rows. It runs in one task, so aggregate first: the
-    input is to be one narrow row per member of a dimension, never detail rows.
-    Where only the best matter, :func:`leaderboard` ranks k rows."""
-    return F.dense_rank().over(Window.orderBy(*order))
+def with_dense_rank(df: DataFrame, name: str, score: str, descending: bool = True) -> DataFrame:
+    """Add the DENSE_RANK of ``score`` over all rows.
+
+    The distinct scores are gathered as one sorted value, in which each row finds its
+    own, so no task orders all rows. Meant for figures that were rounded or counted, of
+    which there are few. NULL scores rank first if descending, else last.
+    """
+    known = df.agg(F.array_sort(F.collect_set(score)).alias("s")).scalar()
+    missing = df.agg(F.coalesce(F.max(F.col(score).isNull().cast("int")), F.lit(0))).scalar()
+    at = F.array_position(known, F.col(score))
+    if descending:
+        place = F.when(F.col(score).isNull(), F.lit(1)).otherwise(F.size(known) - at + 1 + missing)
+    else:
+        place = F.when(F.col(score).isNull(), F.size(known) + 1).otherwise(at)
+    return df.withColumn(name, place.cast("int"))
 
 
 def leaderboard(
@@ -26,7 +36,8 @@ def leaderboard(
     """
     best = F.col(score).desc_nulls_first()
     top = df.orderBy(best, *tie_break).limit(k)
-    return top.withColumn(rank_name, dense_rank_by(best))
+    # k rows
+    return top.withColumn(rank_name, F.dense_rank().over(Window.orderBy(best)))
 
 
 def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

@@ -13,8 +13,11 @@ from ledgerline.functions.arithmetic import divide_or_null, percent
 def with_group_total(df: DataFrame, group: Sequence[str], amount: str, name: str) -> DataFrame:
     """Add the total of ``amount`` per group (of everything for no group).
 
-    Meant for aggregated input - one row per part - where a group is small.
+    Meant for aggregated input - one row per part - where a group is small. The
+    grand total is a scalar of its own, so that no task holds all parts.
     """
+    if not group:
+        return df.withColumn(name, df.agg(F.sum(amount)).scalar())
     return df.withColumn(name, F.sum(amount).over(Window.partitionBy(*group)))
 
 
@@ -40,4 +43,4 @@ def share_of_group(
 
 
 def above_share(amount: str, total: str, share: float):
-    return divide_or_null(F.col(amount), F.col(total)) > F.lit(str(share)).cast("decimal(9,6)")
+    return divide_or_null(F.col(amount), F.col(total)) > F.lit(str(share)).cast("decimal(24,18)")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
@@ -13,7 +14,7 @@ from ledgerline.operators import quality as q
 from ledgerline.operators.ordered import number_rows
 from ledgerline.plans import clean, reports
 from ledgerline.plans.star import StoredStar
-from ledgerline.session import build_session, new_shared_path
+from ledgerline.session import build_session
 from ledgerline.sources.layers import Layers, export_csv
 from ledgerline.sources.raw import ORDINAL, read_raw
 
@@ -55,26 +56,27 @@ def _cleaned(raw: DataFrame, table: str) -> tuple[DataFrame, tuple[str, ...]]:
     return clean.CLEANERS[table](raw), ()
 
 
-def _rules(layers: Layers, table: str) -> list[q.Rule]:
+def _rules(dims: Mapping[str, Layers], table: str) -> list[q.Rule]:
+    """``dims``: where the cleaned dimensions are."""
     if table == "dim_city":
         return clean.dim_city_rules()
     if table == "dim_ad_category":
         return clean.dim_ad_category_rules()
-    cities = layers.read("cleaned", "dim_city")
+    cities = dims["dim_city"].read("cleaned", "dim_city")
     if table == "fact_print_sales":
         return clean.fact_print_sales_rules(cities)
     if table == "fact_city_readiness":
         return clean.fact_city_readiness_rules(cities)
-    categories = layers.read("cleaned", "dim_ad_category")
+    categories = dims["dim_ad_category"].read("cleaned", "dim_ad_category")
     if table == "fact_ad_revenue":
         return clean.fact_ad_revenue_rules(cities, categories)
     return clean.fact_digital_pilot_rules(cities, categories)
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    path = new_shared_path(df.sparkSession, f"checked-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _cuts(order: tuple[str, ...]) -> list[Column]:
+    """The period, then the file split or the first key in it."""
+    inner = ORDINAL[:2] if order[-1] == ORDINAL[-1] else order[1:2]
+    return [F.col(order[0]), F.struct(*inner)]
 
 
 def load_cleaned(
@@ -88,22 +90,33 @@ def load_cleaned(
     if on_violation not in ("fail", "quarantine"):
         raise ValueError(f"on_violation must be fail or quarantine, not {on_violation!r}")
     tables = [t for t in schemas.TABLES if t in paths]
-    layers.rebuild("cleaned", {t: schemas.cleaned_schema(t) for t in tables})
+    staging = Layers(layers.spark, layers.path("_staging", uuid.uuid4().hex))
     counts = {}
-    for table in tables:
-        rows, order = _cleaned(read_raw(layers.spark, paths[table], table), table)
-        marked = q.mark_violations(rows, _rules(layers, table), VIOLATIONS)
-        # Parsed, merged, checked and written once; what follows reads that. Ids
-        # are given to all rows, so rejected ones leave a gap, as in a sequence.
-        checked = number_rows(marked, order) if order else _staged(marked, table)
-        bad = checked.where(F.size(VIOLATIONS) > 0)
-        rejected = layers.replace(bad.drop("id", *ORDINAL), "quarantine", table)
-        if rejected and on_violation == "fail":
-            raise RuleViolation(
-                f"{table}: {rejected} rows, see {layers.path('quarantine', table)}"
-            )
-        good = checked.where(F.size(VIOLATIONS) == 0)
-        counts[table] = layers.append(good, "cleaned", table, schemas.cleaned_schema(table))
+    try:
+        for table in tables:
+            rows, order = _cleaned(read_raw(layers.spark, paths[table], table), table)
+            dims = {d: staging if d in counts else layers for d in ("dim_city", "dim_ad_category")}
+            marked = q.mark_violations(rows, _rules(dims, table), VIOLATIONS)
+            # Ids are given to all rows, so rejected ones leave a gap, as in a sequence.
+            numbered = number_rows(marked, order, cuts=_cuts(order)) if order else marked
+            # Parsed, merged, checked and written once; what follows reads that.
+            staging.replace(numbered, "checked", table)
+            checked = staging.read("checked", table)
+            bad = checked.where(F.size(VIOLATIONS) > 0)
+            rejected = layers.replace(bad.drop("id", *ORDINAL), "quarantine", table)
+            if rejected and on_violation == "fail":
+                raise RuleViolation(
+                    f"{table}: {rejected} rows, see {layers.path('quarantine', table)}"
+                )
+            good = checked.where(F.size(VIOLATIONS) == 0)
+            if order:
+                good = good.repartitionByRange(*order).sortWithinPartitions(*order)
+            counts[table] = staging.append(good, "cleaned", table, schemas.cleaned_schema(table))
+        # Only now the tables of the last run go.
+        for table in tables:
+            layers.put(staging.path("cleaned", table), "cleaned", table)
+    finally:
+        staging.remove()
     return counts
 
 

@@ -8,6 +8,8 @@ carry no broadcast hints: Spark broadcasts a dimension when its size allows.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from ledgerline.functions.arithmetic import (
     band,
     divide_or_null,
     exact,
+    mean,
     mean_of_sums,
     percent,
     ratio,
@@ -34,11 +37,12 @@ from ledgerline.operators.period import (
     two_period_means,
     yearly_change,
 )
-from ledgerline.operators.rank import dense_rank_by, leaderboard
+from ledgerline.operators.rank import leaderboard, with_dense_rank
 from ledgerline.operators.reshape import relabel, unpivot
 from ledgerline.operators.share import above_share, with_group_total
 from ledgerline.plans.star import Star
 
+# The labels of bands and states that reports show.
 PROFITABILITY_CUTS = {"Highly Profitable": "0.95", "Profitable": "0.90", "Moderate": "0.80"}
 PRIORITY_WEIGHTS = {"readiness": "0.4", "disengagement": "0.3", "decline": "0.3"}
 
@@ -240,13 +244,10 @@ def readiness_engagement_outlier(
     joined = per_city.join(engaged, "city_id").join(
         star.dim_city.select("city_id", F.col("city").alias("city_name")), "city_id"
     )
-    ranked = joined.select(
-        "city_name",
-        readiness,
-        engagement,
-        dense_rank_by(F.col(readiness).desc_nulls_first()).alias("readiness_rank_desc"),
-        dense_rank_by(F.col(engagement).asc_nulls_last()).alias("engagement_rank_asc"),
+    ranked = with_dense_rank(
+        joined.select("city_name", readiness, engagement), "readiness_rank_desc", readiness
     )
+    ranked = with_dense_rank(ranked, "engagement_rank_asc", engagement, descending=False)
     outlier = (F.col("readiness_rank_desc") <= top) & (F.col("engagement_rank_asc") <= bottom)
     return ranked.withColumn("is_outlier", yes_no(outlier)).orderBy(
         "readiness_rank_desc", "engagement_rank_asc", "city_name"
@@ -374,8 +375,8 @@ def readiness_vs_pilot(
         labels=star.dim_city.select("city_id", F.col("city").alias("city_name")),
     )
     score, engagement = F.col("score"), F.col("engagement")
-    is_ready = score >= F.lit(ready_at).cast("decimal(9,4)")
-    is_engaged = engagement >= F.lit(engaged_at).cast("decimal(9,4)")
+    is_ready = score >= F.lit(ready_at).cast("decimal(24,12)")
+    is_engaged = engagement >= F.lit(engaged_at).cast("decimal(24,12)")
     status = (
         F.when(is_ready & ~is_engaged, "High Readiness - Low Engagement")
         .when(is_ready & is_engaged, "High Readiness - High Engagement")
@@ -395,15 +396,22 @@ def readiness_vs_pilot(
     )
 
 
-def _city_year_revenue(star: Star) -> DataFrame:
-    """city_id, year, total_ad_revenue, total_net_circulation - one inner join."""
+def _city_year_revenue(star: Star, years: Sequence[int] = ()) -> DataFrame:
+    """city_id, year, total_ad_revenue, total_net_circulation - one inner join.
+
+    ``years``: only these, by tests that reach the scans of both facts.
+    """
+    ad_revenue, print_sales = star.ad_revenue, star.print_sales
+    if years:
+        ad_revenue = ad_revenue.where(reduce(or_, [in_quarters_of(F.col("quarter"), y) for y in years]))
+        print_sales = print_sales.where(reduce(or_, [in_year(F.col("month"), y) for y in years]))
     ads = sums_by(
-        star.ad_revenue,
+        ad_revenue,
         {"city_id": F.col("city_id"), "year": quarter_year(F.col("quarter"))},
         {"total_ad_revenue": "ad_revenue_in_inr"},
     )
     prints = sums_by(
-        star.print_sales,
+        print_sales,
         {"city_id": F.col("city_id"), "year": _print_year()},
         {"total_net_circulation": "net_circulation"},
     )
@@ -434,11 +442,10 @@ def relaunch_priorities(star: Star, weights: Mapping[str, str] = PRIORITY_WEIGHT
         .groupBy("city_id")
         .agg(F.round(mean_of_sums(F.sum("score"), F.count("score")), 2).alias("readiness_score"))
     )
-    rate = _engagement_pct().cast("decimal(16,10)")
     engagement = (
-        star.pilot.select("city_id", rate.alias("rate"))
+        star.pilot.select("city_id", _engagement_pct().alias("rate"))
         .groupBy("city_id")
-        .agg(F.round(mean_of_sums(F.sum("rate"), F.count("rate")), 2).alias("engagement_rate"))
+        .agg(F.round(mean(F.col("rate")), 2).alias("engagement_rate"))
     )
     printed, net = exact(F.sum("copies_printed")), exact(F.sum("net_circulation"))
     decline = star.print_sales.groupBy("city_id").agg(
@@ -458,14 +465,14 @@ def relaunch_priorities(star: Star, weights: Mapping[str, str] = PRIORITY_WEIGHT
         .join(decline, "city_id")
         .withColumn("priority_score", F.round(score, 2))
     )
-    return scored.select(
+    shown = scored.select(
         "city_name",
         *[
             _money(c)
             for c in ("readiness_score", "engagement_rate", "print_decline_pct", "priority_score")
         ],
-        dense_rank_by(F.col("priority_score").desc_nulls_first()).alias("priority_rank"),
-    ).orderBy(F.desc_nulls_first("priority_score"), "city_name")
+    )
+    return with_dense_rank(shown, "priority_rank", "priority_score").orderBy(F.desc_nulls_first("priority_score"), "city_name")
 
 
 # --- further tables ----------------------------------------------------------
@@ -551,7 +558,7 @@ def roi_two_years(star: Star, first: int = 2019, second: int = 2024) -> DataFram
     roi = lambda year: ratio(
         at(year, "total_ad_revenue"), at(year, "total_net_circulation"), 2
     )
-    years = _city_year_revenue(star).where(F.col("year").isin(first, second))
+    years = _city_year_revenue(star, (first, second)).where(F.col("year").isin(first, second))
     per_city = (
         years.groupBy("city_id")
         .agg(
@@ -568,10 +575,14 @@ def roi_two_years(star: Star, first: int = 2019, second: int = 2024) -> DataFram
 
 def chart_roi(star: Star, first: int = 2019, second: int = 2024) -> DataFrame:
     """C3: the two years under one another, labelled by year."""
-    wide = roi_two_years(star, first, second)
+    wide = roi_two_years(star, first, second).withColumn("_latest", F.col(f"roi_{second}"))
     columns = {f"roi_{y}": str(y) for y in (first, second)}
-    long = unpivot(wide, ["city_name"], list(columns), "Year", "Revenue_Per_Copy")
-    return long.withColumn("Year", relabel(F.col("Year"), columns))
+    long = unpivot(wide, ["city_name", "_latest"], list(columns), "Year", "Revenue_Per_Copy")
+    return (
+        long.withColumn("Year", relabel(F.col("Year"), columns))
+        .orderBy(F.desc_nulls_first("_latest"), "city_name", "Year")
+        .drop("_latest")
+    )
 
 
 def chart_priorities(priorities: DataFrame) -> DataFrame:

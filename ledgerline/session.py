@@ -1,8 +1,7 @@
-"""Session defaults and the shared folder for cut lineage."""
+"""Session defaults and the folder that driver and executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,19 +32,12 @@ def build_session(app_name: str = "ledgerline", **settings: str) -> SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting gets a temporary one.
-    """
+    """A folder every executor can reach: the one in ``spark.checkpoint.dir``, else the
+    session's own warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="ledgerline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:

@@ -51,6 +51,23 @@ class Layers:
             empty = self.spark.createDataFrame([], schema).coalesce(1)
             empty.write.mode("overwrite").parquet(self.path(layer, table))
 
+    def put(self, path: str, layer: str, table: str) -> None:
+        """Move a written table into a layer, in place of what is there."""
+        target = self._place(self.path(layer, table))
+        files = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.delete(target, True)
+        files.mkdirs(target.getParent())
+        if not files.rename(self._place(path), target):
+            raise RuntimeError(f"{path} cannot be moved to {target}")
+
+    def remove(self) -> None:
+        """Remove the layers with everything in them."""
+        root = self._place(self.root)
+        root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
+
+    def _place(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
     def register(self, layer: str, tables: Sequence[str]) -> None:
         """Make the tables usable from SQL as ``layer.table``."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")

@@ -167,3 +167,30 @@ def test_row_mean_and_weighted_score(spark):
         ar.rounded(ar.weighted_score([(F.col("a"), "0.4"), (F.col("c"), "0.6")]), 4).alias("score"),
     ).first()
     assert row.mean == 2.433333 and row.score == 2.84
+
+
+def test_large_and_fine_numbers_are_not_bent(spark):
+    rows = [(2e5, 1.0, 0.00002, 0.00006, 2e8, 1e13, 4e13)]
+    df = spark.createDataFrame(rows, "users_in DOUBLE, users DOUBLE, a DOUBLE, b DOUBLE, big DOUBLE, x DOUBLE, y DOUBLE")
+    row = df.select(
+        ar.ratio(F.col("a"), F.col("b"), 4).alias("fine"),
+        ar.ratio(F.col("x"), F.col("y"), 4).alias("large"),
+        ar.rounded(ar.row_mean(F.col("big"), F.col("big")), 2).alias("mean"),
+        ar.percent(F.col("users_in"), F.col("users")).alias("pct"),
+        ar.percent_change(F.col("b"), F.col("a")).alias("change"),
+    ).first()
+    assert tuple(row) == (0.3333, 0.25, 2e8, 2e7, 200.0)
+    means = df.select(ar.rounded(ar.mean(F.col("big")), 2).alias("m"), ar.rounded(ar.mean(F.col("a")), 6).alias("f")).first()
+    assert tuple(means) == (2e8, 0.00002)
+
+
+def test_mean_over_a_join_of_large_values_and_counts(spark):
+    from ledgerline.operators.crossfact import fan_out_mean
+    from ledgerline.operators.share import above_share
+
+    left = spark.createDataFrame([("k", "g"), ("k", "g"), ("m", "g")], "key STRING, grp STRING")
+    right = spark.createDataFrame([("k", 2e6), ("k", 4e6), ("m", 1.5), ("m", None)], "key STRING, v DOUBLE")
+    found = fan_out_mean(left, right, "key", ["grp"], F.col("v"), "mean").first()
+    assert abs(float(found["mean"]) - (2 * 6e6 + 1.5) / 5) < 1e-3
+    shares = spark.createDataFrame([(1, 3), (2, 5)], "a INT, t INT").where(above_share("a", "t", 1 / 3)).collect()
+    assert [tuple(r) for r in shares] == [(2, 5)]
