@@ -23,13 +23,19 @@ def currency_code(c: Column, aliases: Mapping[str, str] = CURRENCY_ALIASES) -> C
     return remap(F.upper(strip(c)), aliases)
 
 
-def exchange_rate(currency: Column, rates: Mapping[str, int] = INR_RATES) -> Column:
-    """Rate of a code, 1 for codes that are unknown or missing."""
-    pairs = [F.lit(x) for kv in rates.items() for x in kv]
-    return F.coalesce(F.create_map(*pairs)[F.upper(strip(currency))], F.lit(1))
+def exchange_rate(currency: Column, rates: Mapping[str, int | str] = INR_RATES) -> Column:
+    """Rate of a code, 1 for codes that are unknown or missing. Rates that are not whole
+    are given as decimal texts, so that money stays exact."""
+    whole = all(isinstance(r, int) for r in rates.values())
+
+    def rate(r: int | str) -> Column:
+        return F.lit(r) if whole else F.lit(str(r)).cast("decimal(18,6)")
+
+    pairs = [x for code, r in rates.items() for x in (F.lit(code), rate(r))]
+    return F.coalesce(F.create_map(*pairs)[F.upper(strip(currency))], rate(1))
 
 
 def to_base_currency(
-    amount: Column, currency: Column, rates: Mapping[str, int] = INR_RATES
+    amount: Column, currency: Column, rates: Mapping[str, int | str] = INR_RATES
 ) -> Column:
     return amount * exchange_rate(currency, rates)

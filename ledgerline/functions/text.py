@@ -22,6 +22,7 @@ BLANK_TEXTS = ("nan", "", "None")
 
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 _JOINT = "\u0001 "
+_PLAIN_WORDS = r"\A[A-Za-z]+(?: [A-Za-z]+)*\z"
 
 
 def strip(c: Column) -> Column:
@@ -37,7 +38,9 @@ def title_case(c: Column) -> Column:
     and replace all stay in generated code.
     """
     marked = F.regexp_replace(c, rf"([^{_CASED}])(?=[{_CASED}])", f"$1{_JOINT}")
-    return F.replace(F.initcap(marked), F.lit(_JOINT), F.lit(""))
+    titled = F.replace(F.initcap(marked), F.lit(_JOINT), F.lit(""))
+    # For plain words, which are most, initcap alone does the same.
+    return F.when(c.rlike(_PLAIN_WORDS), F.initcap(c)).otherwise(titled)
 
 
 def remap(c: Column, mapping: Mapping[str, str]) -> Column:

@@ -43,6 +43,12 @@ def joined_notes(
     return noted.groupBy(*keys).agg(_listagg(note, separator, order).alias(note))
 
 
+def note_rows(df: DataFrame, keys: Sequence[str], note: str, order: Sequence[str]) -> DataFrame:
+    """The non-blank notes as rows (keys, order, note): the form for keys with more notes
+    than one value should hold. Nothing is gathered, and ``order`` tells their places."""
+    return df.where(has_text(F.col(note))).select(*keys, *order, note)
+
+
 def _listagg(value: str, separator: str, order: Sequence[str]) -> Column:
     by = ", ".join(f"`{c}`" for c in order)
     quoted = separator.replace("\\", "\\\\").replace("'", "\\'")

@@ -70,12 +70,12 @@ def fact_print_sales(raw: DataFrame, order: Sequence[str] = ORDINAL) -> DataFram
     rows = rows.withColumn("state", remap(F.col("state"), STATE_NAMES))
     # Only the rows that stay have their numbers parsed.
     net = _count(F.col("Net_Circulation"))
-    return keep_first(rows, PRINT_KEYS, order).select(
+    return keep_first(rows, PRINT_KEYS, order).withColumn("net_circulation", net).select(
         *PRINT_KEYS,
-        net.alias("copies_sold"),
+        F.col("net_circulation").alias("copies_sold"),
         _count(F.col("Copies Sold")).alias("copies_printed"),
         _count(F.col("copies_returned")).alias("copies_returned"),
-        net.alias("net_circulation"),
+        "net_circulation",
         *order,
     )
 
@@ -131,7 +131,7 @@ def fact_city_readiness(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return raw.select(
         strip(F.col("city_id")).alias("city_id"),
         normalize_quarter(F.col("quarter")).alias("quarter"),
-        *[_amount(F.col(c), 9, 4).alias(c) for c in rates],
+        *[_amount(F.col(c), 18, 10).alias(c) for c in rates],
         *keep,
     )
 

@@ -25,12 +25,12 @@ class RuleViolation(RuntimeError):
     """A cleaned table broke its rules and the job was told to stop on that."""
 
 
-def load_raw(layers: Layers, paths: Mapping[str, str]) -> dict[str, int]:
-    """Copy the raw exports into the raw layer, all columns as text."""
+def load_raw(layers: Layers, paths: Mapping[str, str], strict: bool = True) -> dict[str, int]:
+    """Copy the raw exports into the raw layer, all columns as the texts they are."""
     layers.rebuild("raw", {t: schemas.raw_schema(t) for t in paths})
     return {
         table: layers.append(
-            read_raw(layers.spark, path, table, ordinal=False),
+            read_raw(layers.spark, path, table, ordinal=False, missing=(), strict=strict),
             "raw",
             table,
             schemas.raw_schema(table),
@@ -85,7 +85,9 @@ def load_cleaned(
     """Clean, check and store every table; dimensions come first.
 
     With ``on_violation="quarantine"`` rows that break a rule go to the
-    ``quarantine`` layer with the names of the rules; ``fail`` stops instead.
+    ``quarantine`` layer with the names of the rules; ``fail`` stops instead and
+    leaves the tables of the last run as they are. Lines with fields missing are
+    padded in the first case and an error in the second.
     """
     if on_violation not in ("fail", "quarantine"):
         raise ValueError(f"on_violation must be fail or quarantine, not {on_violation!r}")
@@ -94,7 +96,8 @@ def load_cleaned(
     counts = {}
     try:
         for table in tables:
-            rows, order = _cleaned(read_raw(layers.spark, paths[table], table), table)
+            raw = read_raw(layers.spark, paths[table], table, strict=on_violation == "fail")
+            rows, order = _cleaned(raw, table)
             dims = {d: staging if d in counts else layers for d in ("dim_city", "dim_ad_category")}
             marked = q.mark_violations(rows, _rules(dims, table), VIOLATIONS)
             # Ids are given to all rows, so rejected ones leave a gap, as in a sequence.
@@ -157,7 +160,7 @@ def run(
     base = raw_dir.rstrip("/")
     paths = {t: f"{base}/{t}.csv" for t in schemas.TABLES} | dict(paths or {})
     counts = {
-        "raw": load_raw(layers, paths),
+        "raw": load_raw(layers, paths, strict=on_violation == "fail"),
         "cleaned": load_cleaned(layers, paths, on_violation),
         "analytics": load_analytics(layers),
     }

@@ -31,7 +31,7 @@ RAW_COLUMNS = {
 MULTI_LINE_TABLES = frozenset({"fact_digital_pilot"})
 
 _MONEY = "DECIMAL(18,4)"
-_RATE = "DECIMAL(9,4)"
+_RATE = "DECIMAL(18,10)"
 
 _CLEANED_DDL = {
     "dim_city": "city_id STRING, city STRING, state STRING, tier STRING",

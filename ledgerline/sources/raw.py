@@ -31,13 +31,16 @@ def read_csv(
     multi_line: bool = False,
     missing: Sequence[str] = MISSING_TEXTS,
     ordinal: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """Read CSV with an explicit all-text schema, matched to the file by position.
 
     No inference pass and no loss: ``0012`` and ``3709860`` stay what they are,
     and a blank header cell gets the name given here. ``multi_line`` allows line
     breaks in quoted fields; such files are not split, so give many files.
-    Empty fields and the texts in ``missing`` are NULL.
+    Empty fields and the texts in ``missing`` are NULL. A line with too few or too many
+    fields is an error if ``strict``; else it is padded with NULL, or what is too much of
+    it goes.
     """
     schema = StructType([StructField(c, StringType()) for c in columns])
     df = (
@@ -46,7 +49,7 @@ def read_csv(
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
-        .option("mode", "FAILFAST")
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .csv(list(path) if not isinstance(path, str) else path)
     )
     selected = [_null_if_missing(c, missing) for c in columns]
@@ -64,7 +67,14 @@ def _null_if_missing(name: str, missing: Sequence[str]) -> Column:
     return F.when(~c.isin(*missing), c).alias(name) if missing else c
 
 
-def read_raw(spark: SparkSession, path: str, table: str, ordinal: bool = True) -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    ordinal: bool = True,
+    missing: Sequence[str] = MISSING_TEXTS,
+    strict: bool = True,
+) -> DataFrame:
     """One of the known raw tables, from CSV or from a Parquet export."""
     columns = schemas.RAW_COLUMNS[table]
     if path.rstrip("/").endswith(".parquet"):
@@ -74,7 +84,9 @@ def read_raw(spark: SparkSession, path: str, table: str, ordinal: bool = True) -
         path,
         columns,
         multi_line=table in schemas.MULTI_LINE_TABLES,
+        missing=missing,
         ordinal=ordinal,
+        strict=strict,
     )
 
 

@@ -155,6 +155,9 @@ def test_bad_rows_stop_the_job_or_go_to_quarantine(spark, raw_dir, tmp_path):
     layers = Layers(spark, str(tmp_path / "strict"))
     with pytest.raises(job.RuleViolation, match="fact_city_readiness: 3 rows"):
         job.load_cleaned(layers, paths)
+    # nothing was put in place, and nothing is left behind
+    assert not (tmp_path / "strict" / "cleaned").exists()
+    assert not list((tmp_path / "strict" / "_staging").glob("*"))
     layers = Layers(spark, str(tmp_path / "lenient"))
     counts = job.load_cleaned(layers, paths, on_violation="quarantine")
     assert counts["fact_city_readiness"] == 3
