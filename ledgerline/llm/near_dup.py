@@ -3,10 +3,10 @@
 Every permutation of the shingles' hashes gives two values of the signature, the least
 and the greatest, so half as many permutations are evaluated. Bands of the signature name
 buckets; links are confirmed on full sets of shingles. Equal sets are one node from the
-start. Within a bucket, members are compared with a centre, first the smallest node, then
-the one with most links; what then still is in a bucket with members of other components
-is compared member by member, so no pair that meets in a bucket is given up unless both
-are known to be connected.
+start. Within a bucket, members are first compared with the smallest one. Buckets that
+then still have members of several components are compared member by member, in tiles of
+bounded size that return connecting links only. So no pair that meets in a bucket is
+given up unless both are known to be connected, and no table of all pairs is made.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from ledgerline.llm.registry import query
 #: sets with a similarity of 0.8 meet in no bucket with probability 5e-6.
 ROWS = 6
 BANDS = 40
-#: Rounds with a centre before the rest is compared member by member.
-CENTRES = 3
+#: Members of a bucket in one block; blocks are compared two by two.
+BLOCK = 1024
 #: Hashes of words kept by a Python worker.
 MAX_WORDS = 400_000
 
@@ -128,21 +128,23 @@ def signatures(docs: DataFrame, shingle: int, rows: int, bands: int) -> DataFram
 
 
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """(node, packed) to (node, shingles)."""
+    """(node, bands, packed) to (node, bands, shingles)."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decompressor = zstandard.ZstdDecompressor()
         for part in slices(batches):
-            nodes = [node for node, _ in part]
+            nodes, bands, texts_ = zip(*part)
             found = [
                 shingle_set(decompressor.decompress(packed).decode("utf-8", "surrogatepass"), shingle).view(np.int64)
-                for _, packed in part
+                for packed in texts_
             ]
+            longs = pa.list_(pa.int64())
             yield pa.record_batch(
-                [pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"]
+                [pa.array(nodes, pa.int64()), pa.array(bands, longs), pa.array(found, longs)],
+                names=["node", "bands", "shingles"],
             )
 
-    return texts.mapInArrow(unpack, "node long, shingles array<long>")
+    return texts.mapInArrow(unpack, "node long, bands array<long>, shingles array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -159,50 +161,93 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _tile_links(tile: pa.Table, percent: int) -> Iterator[tuple[int, int]]:
+    """Links that connect what the rows of one bucket, or two blocks of it, can connect. A
+    pair is compared in the first bucket it shares, and only if nothing connects it yet."""
+    nodes, roots = tile.column("node").to_numpy(), tile.column("root").to_numpy().copy()
+    sizes, blocks = tile.column("n").to_numpy(), tile.column("block").to_numpy()
+    bands = tile.column("bands").combine_chunks().flatten().to_numpy().reshape(len(nodes), -1)
+    own = int(np.argmax(bands[0] == tile.column("name")[0].as_py()))
+    apart = tile.column("lo")[0].as_py() != tile.column("hi")[0].as_py()
+    bits = None
+    for i in range(len(nodes) - 1):
+        later = slice(i + 1, None)
+        open_ones = (roots[later] != roots[i]) & (
+            np.minimum(sizes[later], sizes[i]) * 100 >= np.maximum(sizes[later], sizes[i]) * percent
+        )
+        if apart:
+            open_ones &= blocks[later] != blocks[i]
+        others = np.nonzero(open_ones)[0] + i + 1
+        if not len(others):
+            continue
+        others = others[np.argmax(bands[others] == bands[i], axis=1) == own]
+        if not len(others):
+            continue
+        if bits is None:
+            bits = _bit_rows(tile.column("shingles").combine_chunks(), len(nodes))
+        common = np.bitwise_count(bits[others] & bits[i]).sum(axis=1, dtype=np.int64)
+        linked = others[common * 100 >= (sizes[others] + sizes[i] - common) * percent]
+        for j in linked.tolist():
+            if roots[j] != roots[i]:
+                yield int(nodes[i]), int(nodes[j])
+                roots[roots == roots[j]] = roots[i]
+
+
+def _bit_rows(sets: pa.ListArray, rows: int) -> np.ndarray:
+    """A row of bits for each set, a bit for each shingle that two sets have."""
+    values = sets.flatten().to_numpy()
+    of = np.repeat(np.arange(rows), np.diff(sets.offsets.to_numpy()))
+    known, at, counts = np.unique(values, return_inverse=True, return_counts=True)
+    place = np.cumsum(counts > 1) - 1
+    shared = (counts > 1)[at]
+    width = -(-max(1, int(place[-1]) + 1) // 64) if len(known) else 1
+    bits = np.zeros((rows, width * 64), bool)
+    bits[of[shared], place[at[shared]]] = True
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
 def links_of(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that connect what the buckets (name, node, n) can connect."""
-    spark = buckets.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    tested = spark.createDataFrame([], "a long, b long")
-    open_buckets = buckets.select("name", "node", "n", F.col("node").alias("root"), F.lit(0).alias("degree"))
-    for turn in range(CENTRES + 1):
-        # what has no centre yet, or only members of one component, has nothing to compare
-        if turn < CENTRES:
-            best = F.min_by(F.struct("node", "root", "n"), F.struct(-F.col("degree"), F.col("node")))
-            centres = cut(open_buckets.groupBy("name").agg(best.alias("c")), "centres")
-            found = open_buckets.join(centres, "name").where(F.col("root") != F.col("c.root"))
-            pairs = found.select(
-                F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"),
-                F.col("n"), F.col("c.n").alias("m"))
-        else:
-            other = open_buckets.select("name", *[F.col(c).alias(f"o_{c}") for c in ("node", "root", "n")])
-            pairs = open_buckets.join(other, "name").where("node < o_node AND root <> o_root").select(
-                F.col("node").alias("a"), F.col("o_node").alias("b"), "n", F.col("o_n").alias("m"))
+    # first every member with the smallest one: for equal-sized families that is all
+    centres = cut(buckets.groupBy("name").agg(F.min(F.struct("node", "n")).alias("c")), "centres")
+    pairs = (
+        buckets.join(centres, "name").where("node <> c.node")
         # a set that is too small for the other cannot reach the similarity
-        pairs = pairs.where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent).select("a", "b").distinct()
-        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = cut(links.union(_confirmed(pairs, sets, percent)), "links")
-        if turn == CENTRES:
-            return links
-        tested = cut(tested.union(pairs), "tested")
-        roots = components(links).withColumnRenamed("node", "of")
-        degrees = (
-            links.select(F.col("a").alias("of")).union(links.select(F.col("b").alias("of")))
-            .groupBy("of").agg(F.count("*").cast("int").alias("links"))
-        )
-        known = cut(roots.join(degrees, "of"), "known")
-        labelled = buckets.join(known, buckets["node"] == known["of"], "left").select(
-            "name", "node", "n", F.coalesce("root", "node").alias("root"),
-            F.coalesce("links", F.lit(0)).alias("degree"))
-        labelled = cut(labelled, "labelled")
-        # a bucket of two has had its only pair compared
-        several = cut(
-            labelled.groupBy("name").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m"))
-            .where("x <> y AND m > 2").select("name"), "several")
-        open_buckets = cut(labelled.join(several, "name"), "open")
-        if open_buckets.isEmpty():
-            return links
-    return links
+        .where(F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * percent)
+        .select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
+    )
+    links = cut(_confirmed(cut(pairs, "pairs"), sets, percent), "links")
+    roots = components(links).withColumnRenamed("node", "of")
+    labelled = cut(
+        buckets.join(roots, buckets["node"] == roots["of"], "left")
+        .select("name", "node", "n", F.coalesce("root", "node").alias("root")),
+        "labelled",
+    )
+    # then what is in a bucket with members of other components; in a bucket of two the
+    # only pair has been compared
+    several = cut(
+        labelled.groupBy("name")
+        .agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m"))
+        .where("x <> y AND m > 2").select("name", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")),
+        "several",
+    )
+    block = F.pmod(F.xxhash64("node", "name"), F.col("blocks")).cast("int")
+    tiles = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.struct(F.least(other, F.col("block")).alias("lo"), F.greatest(other, F.col("block")).alias("hi")),
+    )
+    rows = (
+        labelled.join(several, "name").withColumn("block", block)
+        .withColumn("tile", F.explode(tiles)).select("*", "tile.lo", "tile.hi").drop("tile", "blocks")
+    )
+    rows = cut(rows, "open").join(sets, "node")
+
+    def compare(tile: pa.Table) -> pa.Table:
+        found = list(zip(*_tile_links(tile, percent))) or [(), ()]
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+
+    more = rows.groupBy("name", "lo", "hi").applyInArrow(compare, "a long, b long")
+    return cut(links.union(more), "all_links")
 
 
 def near_duplicates(
@@ -230,7 +275,7 @@ def near_duplicates(
     shared = banded.groupBy("name").agg(F.count("*").alias("members")).where("members > 1").select("name")
     buckets = cut(banded.join(cut(shared, "shared"), "name"), "buckets")
     members = cut(buckets.select(F.col("node").alias("row")).distinct(), "members")
-    texts = signed.select("row", "packed").join(members, "row").select(F.col("row").alias("node"), "packed")
+    texts = signed.select("row", "bands", "packed").join(members, "row").select(F.col("row").alias("node"), "bands", "packed")
     sets = cut(_sets(texts, shingle), "sets")
     roots = components(links_of(buckets, sets, percent)).withColumnRenamed("node", "of")
     grouped = cut(
