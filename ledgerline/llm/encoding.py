@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
 
-#: Words and word stems kept per Python worker; both caches start anew when full.
-MAX_WORDS = 300_000
-MAX_STEMS = 600_000
+#: Words kept per Python worker, and words after line ends, runs of white space with the
+#: word after them, and ends of words.
+MAX_WORDS = 800_000
+MAX_OTHERS = 50_000
 #: Longer words are encoded each time.
 MAX_WORD_CHARS = 64
 #: Texts of more characters are cut into words one at a time.
@@ -18,27 +20,50 @@ LONG_TEXT = 1_000_000
 
 _WORD = re.compile(r"[^ \n\t\r]+")
 _SPACED_WORD = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
-#: White space that byte-level splitting takes together with blanks: such texts are
-#: encoded as a whole.
-_OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_EDGES = " \n\t\r"
 #: A Latin letter or a digit, then signs up to the end: both parts are encoded alone.
 _STEM = re.compile("(.*[0-9A-Za-zÀ-ÖØ-öø-ɏ])([.,;:!?#$%&*|]+)", re.DOTALL)
 
 
-class _Words(dict):
-    """Word to the bytes of its ids; what is missing is encoded."""
+#: Latin letters that stay one character in lower case.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 
-    def __init__(self, encoder: Encoder) -> None:
+
+def _byte_characters() -> dict[int, str]:
+    """The characters by which byte-level tokenizers write bytes: visible ones stand for
+    themselves, the others for those from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_CHARACTERS = _byte_characters()
+
+
+class _SpacesMeet(Exception):
+    """White space at the edge of a word may be one with what stands before or after."""
+
+
+class _Kept(dict):
+    """Bounded memory of a function of a string. When it is full, its entries become the
+    old ones, of which those that are still asked for come back."""
+
+    def __init__(self, function: Callable[[str], bytes], most: int) -> None:
         super().__init__()
-        self.encoder = encoder
+        self.function = function
+        self.most = most // 2
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encoder.encode_word(word)
+        value = self.old.get(word)
+        if value is None:
+            value = self.function(word)
         if len(word) <= MAX_WORD_CHARS:
-            if len(self) >= MAX_WORDS:
+            if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
-            self[word] = ids
-        return ids
+            self[word] = value
+        return value
 
 
 class Encoder:
@@ -46,7 +71,10 @@ class Encoder:
 
     The tokenizers split at white space before they merge, so a text's ids are those of
     its words one after the other. ``spaces_dropped``: the tokenizer drops white space
-    and lower-cases; otherwise the white space before a word belongs to it.
+    and lower-cases; otherwise the white space before a word belongs to it. Texts are cut
+    at single blanks and line ends; where other white space stands next to them, at runs
+    of white space; and where that is of a kind the tokenizer might join with them, not at
+    all.
     """
 
     def __init__(self, path: str, spaces_dropped: bool) -> None:
@@ -56,38 +84,80 @@ class Encoder:
         # the strings of special tokens are ordinary text
         self.tokenizer.encode_special_tokens = True
         self.spaces_dropped = spaces_dropped
-        self.words = _Words(self)
-        self.stems: dict[str, bytes] = {}
+        self.pattern = _WORD if spaces_dropped else _SPACED_WORD
+        self.before = "" if spaces_dropped else " "
+        self.model = self.tokenizer.model
+        self.line_end = self._plain("\n")
+        self.words = _Kept(self._word, MAX_WORDS)
+        self.openings = _Kept(self._opening, MAX_OTHERS)
+        self.runs = _Kept(self._run, MAX_OTHERS)
+        self.tails = _Kept(self._plain, MAX_OTHERS)
 
     def encode(self, text: str) -> bytes:
-        if not self.spaces_dropped and _OTHER_SPACE.search(text):
-            return self._plain(text)
-        pattern = _WORD if self.spaces_dropped else _SPACED_WORD
-        if len(text) > LONG_TEXT:
-            words: Iterator[str] | list[str] = (m[0] for m in pattern.finditer(text))
-        else:
-            words = pattern.findall(text)
-        return b"".join(map(self.words.__getitem__, words))
-
-    def encode_word(self, word: str) -> bytes:
-        parts = _STEM.fullmatch(word)
-        return self._stem(parts[1]) + self._stem(parts[2]) if parts else self._stem(word)
-
-    def _stem(self, word: str) -> bytes:
-        if self.spaces_dropped and word.isascii():
+        try:
+            if not text:
+                return b""
+            if len(text) > LONG_TEXT:
+                return b"".join(self.runs[m[0]] for m in self.pattern.finditer(text))
+            word = self.words.__getitem__
+            if self.spaces_dropped:
+                for space in "\n\t\r":
+                    text = text.replace(space, " ")
+                return b"".join(map(word, text.split(" ")))
+            first, *lines = text.split("\n")
+            start, *others = first.split(" ")
+            found = [self._opening(start)[len(self.line_end):], *map(word, others)]
+            for line in lines:
+                start, *others = line.split(" ")
+                found.append(self.openings[start])
+                found.extend(map(word, others))
+            return b"".join(found)
+        except _SpacesMeet:
+            try:
+                return b"".join(map(self.runs.__getitem__, self.pattern.findall(text)))
+            except _SpacesMeet:
+                return self._plain(text)
+
+    def _parted(self, word: str) -> tuple[str, bytes]:
+        """A word without the signs at its end, and their ids."""
+        if not self.spaces_dropped and (not word or word[0].isspace() or word[-1].isspace()):
+            raise _SpacesMeet
+        parts = None if word.isalpha() else _STEM.fullmatch(word)
+        return (parts[1], self.tails[parts[2]]) if parts else (word, b"")
+
+    def _word(self, word: str) -> bytes:
+        """A word with the blank before it, where blanks count."""
+        stem, tail = self._parted(word)
+        return self.words[stem] + tail if tail else self._piece(self.before + stem)
+
+    def _opening(self, word: str) -> bytes:
+        """A line end and the first word after it."""
+        stem, tail = self._parted(word)
+        return self.line_end + self._piece(stem) + tail
+
+    def _run(self, word: str) -> bytes:
+        """A word with all the white space before it, or white space alone."""
+        inner = word.strip(_EDGES)
+        if not self.spaces_dropped and inner and (inner[0].isspace() or inner[-1].isspace()):
+            raise _SpacesMeet
+        return self._plain(word)
+
+    def _piece(self, word: str) -> bytes:
+        """Letters with at most a blank before them are one piece to the tokenizers, so
+        their merges are asked for directly, which is several times faster."""
+        letters = word[1:] if word.startswith(" ") else word
+        if not _LETTERS.fullmatch(letters):
+            return self._plain(word)
+        if self.spaces_dropped:
             word = word.lower()
-        ids = self.stems.get(word)
-        if ids is None:
-            ids = self._plain(word)
-            if len(word) <= MAX_WORD_CHARS:
-                if len(self.stems) >= MAX_STEMS:
-                    self.stems.clear()
-                self.stems[word] = ids
-        return ids
+        if not letters.isascii():
+            word = word.encode().decode("latin-1")
+        ids = [token.id for token in self.model.tokenize(word.translate(_BYTE_CHARACTERS))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _plain(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=4)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.llm.common import new_path, table, text_or_empty
+from ledgerline.llm.common import cut, new_path, table, text_or_empty
 from ledgerline.llm.encoding import encoder, slices
 from ledgerline.llm.registry import query
 
@@ -138,9 +138,11 @@ def write(
             yield close()
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # dealing by range looks at the ids first, so without a written table all texts would
+    # be encoded twice
+    framed = cut(chosen.mapInArrow(frames, "doc_id long, n long, crc long, frame binary"), "frames")
     ordered = (
-        chosen.mapInArrow(frames, "doc_id long, n long, crc long, frame binary")
-        .repartitionByRange(tasks, "doc_id")
+        framed.repartitionByRange(tasks, "doc_id")
         .sortWithinPartitions("doc_id", "crc", "n")
         .select(F.spark_partition_id().alias("run"), "doc_id", "n", "frame")
         .mapInArrow(shards, "run int, shard long, n_ids long, first_id long, last_id long, block binary")
