@@ -253,6 +253,19 @@ def test_embedding_lists_in_many_tiles(spark, monkeypatch):
     assert got == {i: (int(near[i].sum()), groups[i]) for i in range(400)} and near.sum() > 1000
 
 
+def test_embedding_links_of_a_dense_third(spark):
+    n = 10_000
+    draw = np.random.default_rng(4)
+    rows = draw.normal(size=(n, 64))
+    centre = draw.normal(size=64)
+    rows[: n // 3] = centre / np.linalg.norm(centre) + draw.normal(size=(n // 3, 64)) * draw.choice([0.02, 0.035], (n // 3, 1))
+    units = rows / np.linalg.norm(rows, axis=1)[:, None]
+    links = (units @ units.T >= 0.9).sum(axis=1) - 1
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dup.near_duplicate_vectors(table).collect()}
+    assert got == dict(enumerate(links.tolist())) and links.sum() > n * n // 30
+
+
 def test_nearest_neighbours(spark, monkeypatch):
     vectors = _vectors(spark)
     got = sorted(map(tuple, neighbours.nearest(vectors, vectors.where("vec_id IN (1, 4, 9)"), k=3).collect()))
