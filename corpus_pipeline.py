@@ -19,6 +19,9 @@ from ledgerline.llm.quality import good_documents
 from ledgerline.llm.registry import find_package
 from ledgerline.llm.repeats import without_repeats
 
+#: Words from which on a repeated passage goes.
+PASSAGE_WORDS = 51
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier rejects go."""
@@ -42,13 +45,14 @@ def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes or more that also start elsewhere go, whole characters only;
-    a document that consists of them stays as an empty one."""
+    """Passages of over 50 words, and strings of 400 bytes or more, that also start
+    elsewhere go, whole characters only; a document that consists of them stays as an
+    empty one."""
     find_package(spark)
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
     aliases = tuple(f"__in{i}" for i in range(len(others)))
     named = docs.select("text", *[F.col(f"`{c}`").alias(a) for c, a in zip(others, aliases)])
-    left = without_repeats(named, carry=aliases, keep_text=True)
+    left = without_repeats(named, carry=aliases, keep_text=True, words=PASSAGE_WORDS)
     own = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
     own |= {c: F.col(a) for c, a in zip(others, aliases)}
     return left.select(*[own[c].alias(c) for c in docs.columns])

@@ -12,11 +12,16 @@ repeat, which is reported for all occurrences that have it.
 A group with very many classes is never gathered. For it, ranges of window starts are
 halved by counting hashes: a range is dropped if the bytes that all its windows share
 occur once, and settled if all the bytes it covers occur elsewhere too.
+
+Passages of so many words are found in the same way in the texts' words, each written as
+a checksum of fixed width.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,9 +42,12 @@ GRAM = 128
 SHARE, FEWEST, MOST = 512, 256, 4096
 #: Texts are searched for anchors in overlapping segments of so many bytes.
 SEGMENT = 1 << 20
+#: Bytes a word is written as, and words of a gram.
+WORD_BYTES, WORD_GRAM = 4, 16
 #: Parts a range of window starts is cut into, level by level, and then into single ones.
 PARTS = (3, 7)
 
+_WORD = re.compile(rb"[^ \t-\r]+")
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _PLACE = np.uint64(SEGMENT - 1)
 
@@ -140,6 +148,16 @@ def extents(before: list[bytes], after: list[bytes], length: int) -> list[tuple[
     return found
 
 
+def _named(raw: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the anchors, names of their grams and of their surroundings."""
+    places, names = anchors(raw, length, gram)
+    around = [
+        xxhash.xxh3_64_intdigest(raw[max(0, p + gram - length) : p + length], min(p, length - gram))
+        for p in places.tolist()
+    ]
+    return places, names.view(np.int64), np.array(around, np.uint64).view(np.int64)
+
+
 def _anchored(docs: DataFrame, carry: list[str], length: int, gram: int, keep: bool) -> DataFrame:
     """A row per document: its bytes, compressed, and its anchors (place, name of the gram,
     name of the surroundings)."""
@@ -152,14 +170,9 @@ def _anchored(docs: DataFrame, carry: list[str], length: int, gram: int, keep: b
                 out = []
                 for text in part.column("__text").to_pylist():
                     raw = text.encode("utf-8", "surrogatepass")
-                    places, names = anchors(raw, length, gram)
-                    around = [
-                        xxhash.xxh3_64_intdigest(raw[max(0, p + gram - length) : p + length], min(p, length - gram))
-                        for p in places.tolist()
-                    ]
-                    packed = compressor.compress(raw) if keep or len(places) else None
-                    out.append((len(raw), hashlib.sha256(raw).hexdigest(), packed, places, names.view(np.int64),
-                                np.array(around, np.uint64).view(np.int64)))
+                    found = _named(raw, length, gram)
+                    packed = compressor.compress(raw) if keep or len(found[0]) else None
+                    out.append((len(raw), hashlib.sha256(raw).hexdigest(), packed, *found))
                 columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
                 kept = [part.column(c) for c in ["__row", *carried]]
                 yield pa.record_batch([*kept, *columns], names=["__row", *carried, *names_])
@@ -177,6 +190,31 @@ def _anchored(docs: DataFrame, carry: list[str], length: int, gram: int, keep: b
     return chosen.mapInArrow(find, schema + ", ".join(f"{n} {k}" for n, k in zip(names_, kinds)))
 
 
+def _in_words(stored: DataFrame, words: int) -> DataFrame:
+    """The stored texts as checksums of their words, with the anchors of all windows of so
+    many words; texts with fewer are left out."""
+    length, gram = words * WORD_BYTES, min(WORD_GRAM, words - 1) * WORD_BYTES
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor, decompressor = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        for part in slices(batches):
+            out = []
+            for row, packed in part:
+                sums = [zlib.crc32(w) for w in _WORD.findall(decompressor.decompress(packed))]
+                if len(sums) >= words:
+                    raw = np.array(sums, "<u4").tobytes()
+                    out.append((row, len(raw), compressor.compress(raw), *_named(raw, length, gram)))
+            if out:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+    names = ["__row", "__size", "__packed", "__place", "__name", "__around"]
+    longs = pa.list_(pa.int64())
+    types = [pa.int64(), pa.int64(), pa.binary(), longs, longs, longs]
+    return stored.select("__row", "__packed").where("__packed IS NOT NULL").mapInArrow(
+        find, "__row long, __size long, __packed binary, __place array<long>, __name array<long>, __around array<long>"
+    )
+
+
 def _bucketed(df: DataFrame, key: str) -> DataFrame:
     """Write ``df`` once, dealt by ``key``, so that later joins do not move it again."""
     spark = df.sparkSession
@@ -373,7 +411,7 @@ def whole_characters(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int,
 
 def without_repeats(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, carry: tuple[str, ...] = ("doc_id",),
-    keep_text: bool = False,
+    keep_text: bool = False, words: int | None = None,
 ) -> DataFrame:
     """One row per input row: the carried columns, n_bytes, n_removed, n_spans,
     kept_sha256, spans (start, end of the maximal removed runs) and, with ``keep_text``,
@@ -383,16 +421,23 @@ def without_repeats(
     else in the table, in the same text too; strings are judged on the input. A null text
     is empty; texts shorter than ``length`` keep everything; rows with the same id are
     texts of their own, so repeated rows lose everything. An empty table gives no rows.
+    With ``words``, passages of so many words that also start elsewhere go too, from the
+    first word's start to the last one's end, whatever white space is between the words.
 
     The texts are moved once, compressed, and written dealt by row; then a narrow row per
     anchor, and the surroundings of one occurrence of each class in groups of several.
     """
     if length <= gram:
         raise ValueError("a gram must be shorter than the strings looked for")
-    stored = _bucketed(_anchored(docs, list(carry), length, gram, keep_text), "__row")
-    spans = _spans(stored, length, gram)
+    stored = _bucketed(_anchored(docs, list(carry), length, gram, keep_text or words is not None), "__row")
+    spans = _spans(stored, length, gram).withColumn("by_word", F.lit(False))
+    if words is not None:
+        coded = _bucketed(_in_words(stored, words), "__row")
+        passages = _spans(coded, words * WORD_BYTES, min(WORD_GRAM, words - 1) * WORD_BYTES)
+        spans = spans.union(passages.select(
+            "row", F.ceil(F.col("start") / WORD_BYTES), F.floor(F.col("end") / WORD_BYTES), F.lit(True)))
     lists = spans.distinct().groupBy(F.col("row").alias("__row")).agg(
-        F.collect_list(F.struct("start", "end")).alias("__spans")
+        F.collect_list(F.struct("start", "end", "by_word")).alias("__spans")
     )
     carried = [f"__c{i}" for i in range(len(carry))]
 
@@ -403,10 +448,15 @@ def without_repeats(
                 part = batch.slice(at, 256)
                 out = []
                 for size, sha, packed, spans in zip(*[part.column(c).to_pylist() for c in own]):
-                    runs = merged([(x["start"], x["end"]) for x in spans or []])
                     text = None
+                    raw = decompressor.decompress(packed) if spans or keep_text else b""
+                    found = [(x["start"], x["end"]) for x in spans or [] if not x["by_word"]]
+                    passages = merged([(x["start"], x["end"]) for x in spans or [] if x["by_word"]])
+                    if passages:
+                        places = [m.span() for m in _WORD.finditer(raw)]
+                        found += [(places[x][0], places[y - 1][1]) for x, y in passages]
+                    runs = merged(found)
                     if runs or keep_text:
-                        raw = decompressor.decompress(packed)
                         if runs:
                             sha = hashlib.sha256(_kept(raw, runs)).hexdigest()
                         if keep_text:

@@ -108,6 +108,18 @@ def test_prefix_tree_of_a_sorted_list():
     assert repeats.whole_characters(raw, [(0, 2)]) == [(0, 1)] and repeats.whole_characters(raw, [(2, 4)]) == [(3, 4)]
 
 
+def test_pipeline_passages_of_over_50_words(spark):
+    for words in (51, 50):
+        passage = " ".join(_words(60, words).split())
+        assert len(passage) < 400
+        texts = [f"{_words(61 + i, 70)} {passage if i != 2 else passage.replace(' ', chr(10))} {_words(71 + i, 70)}" for i in range(3)]
+        table = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], DOCS)
+        got = {r.doc_id: r for r in corpus_pipeline.repeats(spark, table, "").collect()}
+        for i, text in enumerate(texts):
+            expected = f"{_words(61 + i, 70)}  {_words(71 + i, 70)}" if words == 51 else text
+            assert got[i].text == expected and got[i].n_chars == len(expected)
+
+
 def test_near_duplicates(docs, clashing, empty):
     for table in (docs, clashing):
         got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dup.near_duplicates(table, shingle=2).collect()}
