@@ -29,7 +29,7 @@ CAPACITY = 4096
 END_ID = 1
 #: Plans that are made, of which the one with the fewest sequences is used: lengths over
 #: capacity / part are large and are put into so many groups.
-PLANS = ((2, 1), (4, 64), (8, 64), (8, 128), (8, 512))
+PLANS = ((8, 4096), (4, 64), (8, 64), (8, 128), (8, 512))
 
 
 def pieces_of(

@@ -204,6 +204,14 @@ def test_plans_hold_every_piece_once(seed):
     assert plan.sequences <= len(gaps)
 
 
+def test_rows_come_from_grouped_plans(monkeypatch):
+    made = []
+    plan_lengths = packing.plan_lengths
+    monkeypatch.setattr(packing, "plan_lengths", lambda c, n, part, groups: made.append(groups) or plan_lengths(c, n, part, groups))
+    packing.best_plan({3000: 4, 1000: 4, 90: 5})
+    assert made and min(made) > 1
+
+
 def test_quality(spark, docs, clashing, empty, rows):
     for table in (docs, clashing):
         got = quality.classify(table, _labels(spark)).collect()
