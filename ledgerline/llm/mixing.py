@@ -10,6 +10,8 @@ more unevenly. Which documents of a length are taken follows from a seeded hash
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +25,10 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: No source and no document is taken more often than this.
 MOST = 3
 SEED = 17
-#: Largest budget in words that the knapsack closes.
+#: Largest budget in words that the knapsack closes, where it holds four of the longest
+#: documents; a larger one if its sums take at most so many bytes, as with few documents.
 KNAPSACK = 1 << 15
+SUMS_BYTES = 1 << 26
 #: Documents of one source and length that are ordered in one group.
 BUCKET = 256
 
@@ -61,7 +65,8 @@ def fit_lengths(lengths: list[int], counts: list[int], budget: int, knapsack: in
     total = sum(n * c for n, c in zip(lengths, counts))
     if budget >= total:
         return list(counts)
-    if budget <= knapsack:
+    knapsack = max(knapsack, 4 * max(lengths))
+    if budget <= knapsack or budget // 8 * sum(c.bit_length() for c in counts) <= SUMS_BYTES:
         return subset_sum(lengths, counts, budget)
     use = [c * max(0, budget - knapsack // 2) // total for c in counts]
     left = budget - sum(n * u for n, u in zip(lengths, use))
@@ -72,13 +77,8 @@ def fit_lengths(lengths: list[int], counts: list[int], budget: int, knapsack: in
             more = min(most, counts[i] - use[i], max(0, left - knapsack // 2) // lengths[i])
             use[i] += more
             left -= more * lengths[i]
-    if left > knapsack:  # only documents longer than half a knapsack are left
-        for i in order:
-            more = min(counts[i] - use[i], left // lengths[i])
-            use[i] += more
-            left -= more * lengths[i]
     rest = [c - u for c, u in zip(counts, use)]
-    return [u + a for u, a in zip(use, subset_sum(lengths, rest, min(left, knapsack)))]
+    return [u + a for u, a in zip(use, subset_sum(lengths, rest, left))]
 
 
 def fit_target(
@@ -105,6 +105,8 @@ def fit_target(
 def subset_sum(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     """Counts whose sum is as near below ``budget`` as can be. Reachable sums are the bits
     of a number; a length is offered in powers of two, so that any count can be made."""
+    unit = math.gcd(*lengths) or 1
+    lengths, budget = [n // unit for n in lengths], budget // unit
     add = [0] * len(lengths)
     mask = (1 << (budget + 1)) - 1
     sums, steps = 1, []

@@ -353,6 +353,13 @@ def test_fitted_lengths_against_all_choices():
         assert sum(n * u for n, u in zip(lengths, use)) == max(s for s in sums if s <= budget)
 
 
+def test_few_long_documents_meet_their_target():
+    for lengths, target in (([50_000, 60_000], 100_000), ([40_000, 60_000, 70_000], 100_000),
+                            ([33_000, 41_001, 52_003, 90_007, 400_000], 175_010)):
+        base, more = mixing.fit_target(lengths, [1] * len(lengths), target, 3)
+        assert sum(n * (base + m) for n, m in zip(lengths, more)) == target
+
+
 def test_warc(spark):
     pages = spark.createDataFrame(
         [(1, "http://x/\r\ny", "<p>a &amp;lt; b</p><script>no</script><!-- no --><br>c  d"), (2, None, None), (3, "u", ""), (3, "u", "")],
