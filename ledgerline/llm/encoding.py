@@ -74,15 +74,20 @@ class Encoder:
     and lower-cases; otherwise the white space before a word belongs to it. Texts are cut
     at single blanks and line ends; where other white space stands next to them, at runs
     of white space; and where that is of a kind the tokenizer might join with them, not at
-    all.
+    all. ``special``: the strings of special tokens are one id each, as the library has it;
+    a text with one is encoded whole. Otherwise they are ordinary text.
     """
 
-    def __init__(self, path: str, spaces_dropped: bool) -> None:
+    def __init__(self, path: str, spaces_dropped: bool, special: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # the strings of special tokens are ordinary text
-        self.tokenizer.encode_special_tokens = True
+        self.special = None
+        if special:
+            added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+            self.special = re.compile("|".join(added), re.IGNORECASE) if added else None
+        else:
+            self.tokenizer.encode_special_tokens = True
         self.spaces_dropped = spaces_dropped
         self.pattern = _WORD if spaces_dropped else _SPACED_WORD
         self.before = "" if spaces_dropped else " "
@@ -97,6 +102,8 @@ class Encoder:
         try:
             if not text:
                 return b""
+            if self.special and self.special.search(text):
+                return self._plain(text)
             if len(text) > LONG_TEXT:
                 return b"".join(self.runs[m[0]] for m in self.pattern.finditer(text))
             word = self.words.__getitem__
@@ -163,7 +170,7 @@ class Encoder:
 @lru_cache(maxsize=4)
 def encoder(path: str, spaces_dropped: bool) -> Encoder:
     """One per Python worker, whichever tasks it runs."""
-    return Encoder(path, spaces_dropped)
+    return Encoder(path, spaces_dropped, special=True)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[list[tuple]]:

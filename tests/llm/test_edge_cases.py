@@ -165,6 +165,19 @@ def test_ids_are_the_tokenizers(path, dropped):
         assert own.encode(text) == struct.pack(f"<{len(ids)}I", *ids), repr(text)
 
 
+@pytest.mark.parametrize("path, dropped", [(WORD, True), (BYTE, False)])
+def test_special_tokens_are_the_tokenizers(path, dropped):
+    tokenizer = Tokenizer.from_file(path)
+    own = encoding.encoder(path, dropped)
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    texts = ["<|endoftext|>", "a b<|endoftext|> c\n", "x <|startoftext|>y", "<|ENDOFTEXT|> a", "a b. c", "<|endof text|>"]
+    for text in texts:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert own.encode(text) == struct.pack(f"<{len(ids)}I", *ids), repr(text)
+    assert any(tokenizer.encode(t, add_special_tokens=False).ids != plain.encode(t, add_special_tokens=False).ids for t in texts)
+
+
 def test_packing(docs, clashing, empty, rows):
     for table in (docs, clashing):
         got = packing.pack(table, WORD, keep_ids=True)
