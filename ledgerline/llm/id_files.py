@@ -82,10 +82,11 @@ def write(
     # SAMPLE rows, chosen by their ids alone, so that no task sends texts that are not used
     ids = chosen.select("doc_id").where("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     sampled = F.col("doc_id").isin([r.doc_id for r in ids.collect()])
-    rows = chosen.where(sampled).select("doc_id", "text").limit(SAMPLE).collect()
+    short = F.length("text") <= 8 * SAMPLE_IDS
+    rows = chosen.where(sampled & short).select("doc_id", "text").limit(SAMPLE).collect()
     rows.sort(key=lambda r: (r.doc_id, r.text))
     encode = encoder(tokenizer, spaces_dropped).encode
-    samples = [_serialized(encode(r.text), width) for r in rows if len(r.text) <= 8 * SAMPLE_IDS]
+    samples = [_serialized(encode(r.text), width) for r in rows]
     shared = train([s for s in samples if len(s) <= width * SAMPLE_IDS])
     digest = hashlib.sha256(shared).digest()
 

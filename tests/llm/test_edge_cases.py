@@ -264,6 +264,23 @@ def _vectors(spark):
         "vec_id long, embedding array<double>")
 
 
+def test_dictionary_collects_no_long_texts(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    seen = []
+    collect = type(spark.range(1)).collect
+
+    def spied(df: DataFrame) -> list:
+        rows = collect(df)
+        seen.extend(len(r.text) for r in rows if "text" in r)
+        return rows
+
+    monkeypatch.setattr(type(spark.range(1)), "collect", spied)
+    table = spark.createDataFrame([(1, "a b c " * 50), (2, "long " * 20_000)], "doc_id long, text string")
+    id_files.write(table, common.new_path(spark, "ids"), BYTE)
+    assert seen == [300]
+
+
 def test_embedding_near_duplicates(spark):
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dup.near_duplicate_vectors(_vectors(spark)).collect()}
     assert got[1] == (3, 1, True) and got[2] == (3, 1, False) and got[3] == (3, 1, False)
