@@ -8,6 +8,7 @@ from ledgerline.llm import (  # noqa: F401
     near_dup,
     neighbours,
     packing,
+    periodic,
     quality,
     repeats,
     warc,

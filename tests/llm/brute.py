@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter
 
+import numpy as np
+
 
 def components(nodes: list, links: list[tuple]) -> dict:
     root = {n: n for n in nodes}
@@ -49,3 +52,37 @@ def without_repeats(texts: list[bytes], length: int) -> list[tuple]:
         runs = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         found.append((len(t), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
     return found
+
+
+def made_periodic(doc_id: int, words: list) -> list:
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def runs(words: list, least: int) -> list[tuple]:
+    """(start, length, period) of the longest stretches by every period, the smallest of
+    each stretch only."""
+    names: dict = {}
+    codes = np.array([names.setdefault(w, len(names)) for w in words], dtype=np.int64)
+    found = []
+    for period in range(1, len(codes) // 2 + 1):
+        equal = np.concatenate([[False], codes[:-period] == codes[period:], [False]])
+        edges = np.nonzero(equal[1:] != equal[:-1])[0].reshape(-1, 2)
+        for start, end in edges.tolist():
+            length = end - start + period
+            if length >= max(least, 2 * period) and not any(
+                period % q == 0 and a <= start and start + length <= a + n for a, n, q in found
+            ):
+                found.append((start, length, period))
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def lyndon_lengths(letters: list) -> list[int]:
+    """The next smaller suffix ends the longest Lyndon word."""
+    n = len(letters)
+    return [next((j for j in range(i + 1, n) if letters[j:] < letters[i:]), n) - i for i in range(n)]

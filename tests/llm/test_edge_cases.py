@@ -16,7 +16,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from ledgerline.llm import (
-    common, embedding_dup, encoding, graph, id_files, licenses, mixing, near_dup, neighbours, packing, quality, repeats, warc,
+    common, embedding_dup, encoding, graph, id_files, licenses, mixing, near_dup, neighbours, packing, periodic,
+    quality, repeats, warc,
 )
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -424,3 +425,43 @@ def test_pipeline_stages(spark, docs, clashing, empty, tmp_path):
     assert Counter(r.doc_id for r in first)[10] == 1 and len(first) == 14 - 2
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_lyndon_words_and_runs_of_small_texts():
+    draw = random.Random(5)
+    for _ in range(600):
+        letters = [draw.randrange(draw.randint(1, 4)) for _ in range(draw.randint(1, 40))]
+        if draw.random() < 0.5:
+            letters = (letters[: draw.randint(1, 8)] * 40)[: len(letters)]
+        assert periodic.lyndon_lengths(letters) == brute.lyndon_lengths(letters)
+        assert periodic.lyndon_lengths(letters, True) == brute.lyndon_lengths([-x for x in letters])
+        words = [bytes([97 + x]) for x in letters]
+        for least in (2, 5, 12):
+            # the second document must not meet the first
+            assert periodic.find_runs([words, words], least) == [brute.runs(words, least)] * 2
+
+
+def test_periodic_runs(spark, docs, clashing, empty, rows):
+    more = [(20, "a b " * 9), (21, "x " + "c\td\u00a0e\n" * 6 + "y"), (22, "z " * 40_000), (23, "Fib " * 5)]
+    given = docs.unionByName(spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in more], DOCS))
+    expected = Counter()
+    for i, t in [*[(r[0], r[1]) for r in rows], *more]:
+        words = (t or "").encode().split()
+        if i != 22:
+            runs = brute.runs(words, 12) if len(words) < 1000 else []
+        else:
+            runs = [(0, 40_000, 1)]
+        gone = {k for a, n, p in runs for k in range(a + p, a + n)}
+        expected[i, tuple(runs), b" ".join(w for k, w in enumerate(words) if k not in gone).decode()] += 1
+    got = periodic.periodic_runs(given).collect()
+    assert Counter((r.doc_id, tuple(tuple(x) for x in r.runs), r.collapsed) for r in got) == expected
+    assert [r.runs[0].period for r in got if r.doc_id in (20, 21, 22)] == [2, 2, 1]
+    assert periodic.periodic_runs(clashing).count() == len(rows)
+    assert periodic.periodic_runs(empty).collect() == []
+
+
+def test_made_periodic():
+    words = [b"%d" % i for i in range(50)]
+    for i in (*range(200), -7, 10**18):
+        assert periodic.made_periodic(i, words) == brute.made_periodic(i, words)
+    assert periodic.made_periodic(None, words) == words and periodic.made_periodic(3, []) == []

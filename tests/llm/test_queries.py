@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import struct
 import zlib
@@ -44,7 +45,7 @@ def documents(duck):
 def test_all_are_registered():
     from __spark_entry__ import oracle_sql, queries
 
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES}
+    assert {f"op{n}" for n in range(1, 12)} == {k.split("_")[0] for k in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
 
 
@@ -178,6 +179,22 @@ def test_mixing(spark, documents):
     assert again == {r.doc_id: r.taken for r in rows}
 
 
+def test_periodic_runs(spark, documents):
+    expected = {}
+    for doc_id, text in documents:
+        words = brute.made_periodic(doc_id, (text or "").encode().split())
+        runs = brute.runs(words, 12)
+        best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+        gone = {i for start, length, period in runs for i in range(start + period, start + length)}
+        kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+        lines = "".join(f"{a},{b},{c}\n" for a, b, c in runs)
+        figures = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        expected[doc_id] = (len(runs), *figures, *(hashlib.sha256(x).hexdigest() for x in (lines.encode(), kept)))
+    rows = QUERIES["op11_periodic_runs"](spark, FOLDER).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == expected and len(rows) == len(expected)
+    assert sum(e[0] > 0 for e in expected.values()) >= len(expected) // 20
+
+
 def test_pipeline(spark, documents):
     texts = dict(documents)
     docs = common.table(spark, FOLDER, "documents")
