@@ -11,6 +11,8 @@ from ledgerline.llm import (  # noqa: F401
     periodic,
     quality,
     repeats,
+    slack,
+    trie,
     warc,
 )
 from ledgerline.llm.registry import ORACLE_SQL, QUERIES

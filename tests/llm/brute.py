@@ -86,3 +86,42 @@ def lyndon_lengths(letters: list) -> list[int]:
     """The next smaller suffix ends the longest Lyndon word."""
     n = len(letters)
     return [next((j for j in range(i + 1, n) if letters[j:] < letters[i:]), n) - i for i in range(n)]
+
+
+def conversations(rows: list[tuple]) -> dict:
+    """conv_id: (role, text) by turn."""
+    found: dict = {}
+    for conv, turn, role, text in sorted(
+        (r for r in rows if r[0] is not None), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+    ):
+        found.setdefault(conv, []).append((role or "", text or ""))
+    return found
+
+
+def rebuilt(given: dict) -> dict:
+    found = {}
+    for conv, turns in given.items():
+        h = zlib.crc32(str(conv).encode()) % 6
+        found[conv] = given.get(conv - conv % 100, [])[:h] + turns[h:]
+    return found
+
+
+def trie(given: dict) -> list[tuple]:
+    members: dict = {}
+    for conv, turns in given.items():
+        for depth in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:depth]), []).append(conv)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, convs in members.items():
+        for depth in range(len(p) + 1):
+            leaves[p[:depth]] += not children[p]
+            saved[p[:depth]] += (len(convs) - 1) * len(p[-1][1]) if p else 0
+    rows = []
+    for p, convs in members.items():
+        ends = ",".join(str(c) for c in sorted(convs) if len(given[c]) == len(p))
+        rows.append((
+            min(convs), len(p), min(members[p[:-1]]) if p else None, len(convs), children[p], leaves[p], saved[p],
+            hashlib.sha256(ends.encode()).hexdigest(),
+        ))
+    return sorted(rows)

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from ledgerline.llm import (
     common, embedding_dup, encoding, graph, id_files, licenses, mixing, near_dup, neighbours, packing, periodic,
-    quality, repeats, warc,
+    quality, repeats, slack, trie, warc,
 )
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -465,3 +465,112 @@ def test_made_periodic():
     for i in (*range(200), -7, 10**18):
         assert periodic.made_periodic(i, words) == brute.made_periodic(i, words)
     assert periodic.made_periodic(None, words) == words and periodic.made_periodic(3, []) == []
+
+
+def _plan_parts(counts: dict, capacity: int) -> tuple[int, int]:
+    """Check a plan; how many windows it has and how many cuts."""
+    plan = slack.SlackPlan(dict(counts), capacity)
+    parts, windows = {}, {}
+    for length, first, start, size, window, offset, count in plan.slots:
+        for k in range(count):
+            parts.setdefault((length, first + k), []).append((start, size))
+            windows.setdefault(window + k, []).append((offset, size))
+    assert set(parts) == {(n, i) for n, c in counts.items() for i in range(c)}
+    for places, whole in [*[(p, n) for (n, _), p in parts.items()], *[(p, None) for p in windows.values()]]:
+        end = 0
+        for start, size in sorted(places):
+            assert start == end
+            end += size
+        assert end == whole if whole else end == capacity or end & (end - 1) == 0
+    assert sum(sum(s for _, s in p) < capacity for p in windows.values()) == bin(
+        sum(n * c for n, c in counts.items()) % capacity).count("1")
+    return len(windows), sum(len(p) - 1 for p in parts.values())
+
+
+def test_slack_plans():
+    draw = random.Random(3)
+    for _ in range(300):
+        capacity = 2 ** draw.randint(1, 8)
+        counts = {draw.randint(1, capacity - 1): draw.randint(1, draw.choice([1, 3, 30])) for _ in range(draw.randint(0, 20))}
+        _plan_parts(counts, capacity)
+    # exact fillings are found where there are any
+    assert _plan_parts({n: 1 for n in range(1, 1024)}, 1024) == (512, 0)
+    assert _plan_parts({600: 1000, 300: 1000, 124: 1000}, 1024) == (1000, 0)
+    # and everything else is cut: no two of 700 fit
+    windows, cuts = _plan_parts({700: 1024}, 1024)
+    assert windows == 700 and cuts >= 600
+
+
+def test_least_slack_is_least():
+    draw = random.Random(4)
+    for _ in range(200):
+        room = draw.randint(1, 40)
+        counts = {draw.randint(1, 30): draw.randint(1, 3) for _ in range(draw.randint(0, 5))}
+        used = slack.least_slack(counts, room)
+        sums = {0}
+        for n, c in counts.items():
+            sums = {s + n * k for s in sums for k in range(c + 1)}
+        assert all(k <= counts[n] for n, k in used.items())
+        assert sum(n * k for n, k in used.items()) == max(s for s in sums if s <= room)
+
+
+def test_slack_packing(spark, docs, clashing, empty, rows):
+    from test_queries import _check_slack
+
+    more = [(30 + i, _words(40 + i, 30 + 17 * i), "en", "a", 1) for i in range(40)]
+    given = docs.unionByName(spark.createDataFrame(more, DOCS))
+    texts = Counter((r[0], r[1]) for r in [*rows, *more])
+    _check_slack(slack.pack_with_least_slack(given, BYTE).collect(), texts)
+    small = slack.pack_with_least_slack(given, BYTE, capacity=64).collect()
+    _check_slack(small, texts, 64)
+    assert slack.pack_with_least_slack(clashing, BYTE).count() >= len(rows)
+    assert slack.pack_with_least_slack(empty, BYTE).collect() == []
+    with pytest.raises(ValueError):
+        slack.pack_with_least_slack(docs, BYTE, capacity=1000)
+
+
+CONVERSATIONS = "conv_id long, turn long, role string, text string"
+
+
+def _trie(spark, rows, schema=CONVERSATIONS, more=()):
+    given = spark.createDataFrame(rows, schema)
+    for c in more:
+        given = given.withColumn(c, spark.range(1).selectExpr("'x'").scalar())
+    turns = trie.numbered_turns(given)
+    got = trie.prefix_trie(turns, turns.select("conv_id").distinct()).collect()
+    return sorted(tuple(r) for r in got)
+
+
+def test_prefix_trie(spark):
+    draw = random.Random(9)
+    rows = [
+        (1, None, "u", "a"), (1, 1, None, None), (1, 1, "", "b"), (2, 5, "u", "a"), (2, 5, "u", "a"),
+        (3, 0, "u", "a"), (3, 1, "", ""), (3, 2, "", "b"), (4, 0, "ua", ""), (None, 0, "u", "a"), (-5, 0, "u", "a"),
+        (6, 0, "u", "\U0001f600" * 3), (7, 0, "u", "\U0001f600" * 3),
+    ]
+    for conv in range(10, 60):
+        rows += [(conv, t, "r", draw.choice("aab")) for t in range(draw.randint(1, 9))]
+    # a deep one, twice, and turn numbers far apart
+    rows += [(c, t * 3000, "r", "aab"[t % 3]) for c in (70, 71) for t in range(70 + c % 2)]
+    # copies
+    rows += [(100 + c, t, "r", "copied") for c in range(300) for t in range(2)]
+    assert _trie(spark, rows) == brute.trie(brute.conversations(rows))
+    assert _trie(spark, rows[:9], more=("depth", "name", "position", "place", "of")) == brute.trie(brute.conversations(rows[:9]))
+    assert _trie(spark, rows[:1]) == brute.trie(brute.conversations(rows[:1]))
+    assert _trie(spark, []) == [] == _trie(spark, rows[9:10])
+
+
+def test_ends_of_many_conversations_are_hashed_in_order(spark):
+    rows = [(c, 0, "u", "same") for c in range(9000, -1, -1)]
+    got = _trie(spark, rows)
+    assert got == brute.trie(brute.conversations(rows)) and len(got) == 2
+
+
+def test_rebuilt_conversations(spark):
+    draw = random.Random(10)
+    rows = [(c, t, "r", f"{c}-{t}") for c in [*range(0, 30), *range(100, 103), *range(250, 280)] for t in range(draw.randint(1, 8))]
+    turns = trie.numbered_turns(spark.createDataFrame(rows, CONVERSATIONS))
+    got = trie.rebuilt(turns, turns.select("conv_id").distinct()).collect()
+    expected = brute.rebuilt(brute.conversations(rows))
+    assert Counter((r.conv_id, r.position, r.role, r.text) for r in got) == Counter(
+        (c, i, *turn) for c, own in expected.items() for i, turn in enumerate(own, 1))

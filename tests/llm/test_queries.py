@@ -45,7 +45,7 @@ def documents(duck):
 def test_all_are_registered():
     from __spark_entry__ import oracle_sql, queries
 
-    assert {f"op{n}" for n in range(1, 12)} == {k.split("_")[0] for k in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
 
 
@@ -195,6 +195,50 @@ def test_periodic_runs(spark, documents):
     assert sum(e[0] > 0 for e in expected.values()) >= len(expected) // 20
 
 
+def _check_slack(rows, texts: Counter, capacity: int = 1024):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {key: [*tokenizer.encode(key[1] or "", add_special_tokens=False).ids, 0] for key in texts}
+    covered, found, sequences = defaultdict(Counter), Counter(), defaultdict(list)
+    by_id = defaultdict(list)
+    for doc_id, text in texts:
+        by_id[doc_id].append(ids[doc_id, text])
+    for r in rows:
+        part = [x[r.start : r.start + r.length] for x in by_id[r.doc_id] if len(x) == r.doc_tokens]
+        assert r.length > 0
+        assert r.ids_crc32 in [zlib.crc32(struct.pack(f"<{len(p)}I", *p)) for p in part if len(p) == r.length]
+        covered[r.doc_id, r.doc_tokens][r.start] += 1
+        covered[r.doc_id, r.doc_tokens][r.start + r.length] -= 1
+        found[r.doc_id] += r.length
+        sequences[r.sequence_id].append((r.offset, r.length))
+    sizes, expected = Counter(), Counter()
+    for (doc_id, text), n in texts.items():
+        sizes[doc_id, len(ids[doc_id, text])] += n
+        expected[doc_id] += n * len(ids[doc_id, text])
+    assert found == expected
+    for (doc_id, size), n in sizes.items():
+        assert {k: v for k, v in covered[doc_id, size].items() if v} == {0: n, size: -n}
+    lengths = Counter()
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        lengths[end] += 1
+    total = sum(expected.values())
+    # nothing is padded: whole windows, and the rest in powers of two
+    assert lengths == Counter({capacity: total // capacity} if total >= capacity else {}) + Counter(
+        1 << k for k in range(capacity.bit_length()) if total % capacity >> k & 1
+    )
+    return len(sequences)
+
+
+def test_slack_packing(spark, documents):
+    rows = QUERIES["op13_slack_packing"](spark, FOLDER).collect()
+    _check_slack(rows, Counter(documents))
+    # most documents are cut at whole windows at most
+    assert sum(r.start % 1024 > 0 for r in rows) < len(documents) / 2
+
+
 def test_pipeline(spark, documents):
     texts = dict(documents)
     docs = common.table(spark, FOLDER, "documents")
