@@ -583,9 +583,7 @@ def rank_predicates(t: Tables) -> DataFrame:
     rows = t.customer.groupBy("c_nationkey").agg(
         score.alias("score"), F.count(F.lit(1)).alias("n")
     )
-    ranked = rank.with_dense_rank(
-        rank.with_dense_rank(rows, "best", "score"), "fewest", "n", descending=False
-    )
+    ranked = rank.with_dense_ranks(rows, {"best": ("score", True), "fewest": ("n", False)})
     return ranked.withColumn(
         "picked", ar.yes_no((F.col("best") <= 5) & (F.col("fewest") <= 10))
     )

@@ -2,27 +2,87 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ranges into which distinct scores are cut; a power of two, for the search among them.
+RANGES = 256
+
 
 def with_dense_rank(df: DataFrame, name: str, score: str, descending: bool = True) -> DataFrame:
-    """Add the DENSE_RANK of ``score`` over all rows.
+    """Add the DENSE_RANK of ``score`` over all rows; see :func:`with_dense_ranks`."""
+    return with_dense_ranks(df, {name: (score, descending)})
+
+
+def with_dense_ranks(
+    df: DataFrame, ranks: Mapping[str, tuple[str, bool]], ranges: int = RANGES
+) -> DataFrame:
+    """Add a DENSE_RANK over all rows for each name: (score, descending).
+
+    NULL counts as the greatest score: it ranks first if descending, else last. Scores are
+    numbers, dates or times.
 
-    The distinct scores are gathered as one sorted value, in which each row finds its
-    own, so no task orders all rows. Meant for figures that were rounded or counted, of
-    which there are few. NULL scores rank first if descending, else last.
+    Neither one task nor one value holds all scores. The distinct scores of all ranks are
+    found in one pass, approximate quantiles of them cut them into ranges, a task numbers
+    those of a range, and a row per range tells how many lie below it. Rows find the rank
+    of their score by a join, which adaptive execution broadcasts where there are few
+    scores and splits where many rows share one.
     """
-    known = df.agg(F.array_sort(F.collect_set(score)).alias("s")).scalar()
-    missing = df.agg(F.coalesce(F.max(F.col(score).isNull().cast("int")), F.lit(0))).scalar()
-    at = F.array_position(known, F.col(score))
-    if descending:
-        place = F.when(F.col(score).isNull(), F.lit(1)).otherwise(F.size(known) - at + 1 + missing)
-    else:
-        place = F.when(F.col(score).isNull(), F.size(known) + 1).otherwise(at)
-    return df.withColumn(name, place.cast("int"))
+    if ranges & (ranges - 1) or ranges < 2:
+        raise ValueError(f"ranges must be a power of two, not {ranges}")
+    kinds: dict[str, list[str]] = {}
+    for name, (score, _) in ranks.items():
+        kinds.setdefault(df.schema[score].dataType.simpleString(), []).append(name)
+    ranked = df
+    for number, names in enumerate(kinds.values()):
+        places = _places(df, [ranks[n][0] for n in names], ranges)
+        for which, name in enumerate(names):
+            score, descending = ranks[name]
+            found = f"_found{number}_{which}"
+            own = places.where(F.col("which") == which).select(
+                F.col("score").alias(found), F.col("falling" if descending else "rising").alias(name)
+            )
+            on = ranked[score].eqNullSafe(F.col(found))
+            ranked = ranked.join(own, on, "left").drop(found)
+    return ranked.select(*df.columns, *ranks)
+
+
+def _places(df: DataFrame, scores: Sequence[str], ranges: int) -> DataFrame:
+    """which, score, and its rank from the least (``rising``) and greatest (``falling``)."""
+    each = F.array(*[F.struct(F.lit(i).alias("which"), F.col(f"`{s}`").alias("score")) for i, s in enumerate(scores)])
+    distinct = df.select(F.inline(each)).distinct()
+    # a row per rank that is asked for
+    steps = [i / ranges for i in range(1, ranges)]
+    borders = distinct.groupBy("which").agg(F.percentile_approx("score", steps, 100 * ranges).alias("borders"))
+    ranged = distinct.join(F.broadcast(borders), "which").select(
+        "which", "score", _range(F.col("score"), F.col("borders"), ranges).alias("range")
+    )
+    nth = F.row_number().over(Window.partitionBy("which", "range").orderBy("score"))
+    numbered = ranged.withColumn("nth", nth)
+    # at most one row per rank and range, from here on
+    along = Window.partitionBy("which")
+    before = along.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = numbered.groupBy("which", "range").agg(F.max("nth").alias("n")).select(
+        "which", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.sum("n").over(along).alias("all")
+    )
+    rising = (F.col("nth") + F.col("before")).cast("int")
+    return numbered.join(F.broadcast(ends), ["which", "range"]).select(
+        "which", "score", rising.alias("rising"), (F.col("all").cast("int") + 1 - rising).alias("falling")
+    )
+
+
+def _range(score: Column, borders: Column, ranges: int) -> Column:
+    """How many of the ascending borders the score reaches, by halving; NULL is beyond."""
+    halves = [ranges >> k for k in range(1, ranges.bit_length())]
+
+    def further(at: Column, step: Column) -> Column:
+        reached = F.get(borders, at + step - 1) <= score
+        return at + F.when(reached, step).otherwise(F.lit(0))
+
+    found = F.aggregate(F.array(*[F.lit(h) for h in halves]), F.lit(0), further)
+    return F.when(score.isNull(), F.lit(ranges)).otherwise(found)
 
 
 def leaderboard(

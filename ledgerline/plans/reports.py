@@ -37,7 +37,7 @@ from ledgerline.operators.period import (
     two_period_means,
     yearly_change,
 )
-from ledgerline.operators.rank import leaderboard, with_dense_rank
+from ledgerline.operators.rank import leaderboard, with_dense_rank, with_dense_ranks
 from ledgerline.operators.reshape import relabel, unpivot
 from ledgerline.operators.share import above_share, with_group_total
 from ledgerline.plans.star import Star
@@ -244,10 +244,10 @@ def readiness_engagement_outlier(
     joined = per_city.join(engaged, "city_id").join(
         star.dim_city.select("city_id", F.col("city").alias("city_name")), "city_id"
     )
-    ranked = with_dense_rank(
-        joined.select("city_name", readiness, engagement), "readiness_rank_desc", readiness
+    ranked = with_dense_ranks(
+        joined.select("city_name", readiness, engagement),
+        {"readiness_rank_desc": (readiness, True), "engagement_rank_asc": (engagement, False)},
     )
-    ranked = with_dense_rank(ranked, "engagement_rank_asc", engagement, descending=False)
     outlier = (F.col("readiness_rank_desc") <= top) & (F.col("engagement_rank_asc") <= bottom)
     return ranked.withColumn("is_outlier", yes_no(outlier)).orderBy(
         "readiness_rank_desc", "engagement_rank_asc", "city_name"
