@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,3 +80,51 @@ def consolidate(
     return totals.join(notes, "_key", "left").select(
         *[F.col(f"_key.`{k}`").alias(k) for k in keys], *sums, note
     )
+
+
+Combine = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def keep_stored(keys: Sequence[str], order: Sequence[str]) -> Combine:
+    """Stored rows and, of each key they lack, the first new one in ``order``: what
+    :func:`keep_first` gives on all loads together. NULL keys count as equal."""
+
+    def combine(stored: DataFrame, new: DataFrame) -> DataFrame:
+        first = keep_first(new, keys, order).withColumn("_key", F.struct(*keys))
+        known = stored.select(F.struct(*keys).alias("_known"))
+        added = first.join(known, F.col("_key") == F.col("_known"), "left_anti").drop("_key")
+        return stored.unionByName(added)
+
+    return combine
+
+
+def add_increment(
+    keys: Sequence[str],
+    sums: Sequence[str],
+    note: str | None = None,
+    order: Sequence[str] = (),
+    chunk: Sequence[Column] = (),
+    separator: str = "; ",
+) -> Combine:
+    """Stored rows with the sums of the new ones added and their notes put behind: what
+    :func:`consolidate` gives on all loads together, where later loads come later in order.
+    Without ``order`` the new rows are one per key already."""
+
+    def combine(stored: DataFrame, new: DataFrame) -> DataFrame:
+        given = consolidate(new, keys, sums, note, order, chunk, separator) if order or note is None else new
+        named = [F.struct(*keys).alias("_key"), *[F.col(f"`{s}`") for s in sums], *([F.col(f"`{note}`")] if note else [])]
+        one, other = stored.select(*named), given.select(*named)
+        both = one.alias("o").join(other.alias("n"), F.col("o._key") == F.col("n._key"), "full")
+        key = F.coalesce("o._key", "n._key")
+
+        def total(name: str) -> Column:
+            old, added = F.col(f"o.`{name}`"), F.col(f"n.`{name}`")
+            summed = F.coalesce(old + added, old, added)
+            return summed.cast(stored.schema[name].dataType).alias(name)
+
+        joined = [F.nullif(F.concat_ws(separator, f"o.`{note}`", f"n.`{note}`"), F.lit("")).alias(note)] if note else []
+        return both.select(key.alias("_key"), *[total(s) for s in sums], *joined).select(
+            *[F.col(f"_key.`{k}`").alias(k) for k in keys], *sums, *([note] if note else [])
+        )
+
+    return combine

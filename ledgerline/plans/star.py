@@ -7,7 +7,7 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame
 
-from ledgerline.sources.layers import Layers
+from ledgerline.sources.layers import Change, Layers
 
 
 class Star(Protocol):
@@ -39,7 +39,10 @@ class StoredStar:
     pilot: DataFrame
 
     @classmethod
-    def from_layer(cls, layers: Layers, layer: str = "cleaned") -> StoredStar:
+    def from_layer(cls, layers: Layers | Change, layer: str = "cleaned") -> StoredStar:
+        """All tables of the newest version, or of a change that is under way."""
+        if isinstance(layers, Layers):
+            layers = layers.pinned()
         return cls(
             dim_city=layers.read(layer, "dim_city"),
             dim_ad_category=layers.read(layer, "dim_ad_category"),

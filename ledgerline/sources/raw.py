@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgerline import schemas
 from ledgerline.sources.records import read_records
@@ -21,6 +21,9 @@ MISSING_TEXTS = (
 # File, position of the split in the file, running number within the task:
 # ordering by the three is file order.
 ORDINAL = ("_file", "_split", "_row")
+ORDINAL_FIELDS = (
+    StructField("_file", StringType()), StructField("_split", LongType()), StructField("_row", LongType())
+)
 # The whole text of a line that does not fit the columns.
 MALFORMED = "_malformed"
 
@@ -106,6 +109,11 @@ def _is_rejected(columns: Sequence[str]) -> Column:
     return F.col(MALFORMED).isNotNull() & (fields.isNull() | (fields > len(columns))) & read
 
 
+def without_missing(raw: DataFrame, missing: Sequence[str] = MISSING_TEXTS) -> DataFrame:
+    """A raw table as the cleaners take it: the texts for "missing" are NULL."""
+    return raw.select(*[F.col(c) if c in ORDINAL else _null_if_missing(c, missing) for c in raw.columns])
+
+
 def _null_if_missing(name: str, missing: Sequence[str]) -> Column:
     c = F.col(f"`{name}`")
     return F.when(~c.isin(*missing), c).alias(name) if missing else c
