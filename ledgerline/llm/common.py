@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Folders of intermediate tables by the application that made them.
 _MADE: dict[str, list[str]] = {}
+#: Those among them that stages of a pipeline left behind, and catalog tables by folder.
+_LEFT: dict[str, list[str]] = {}
+_TABLES: dict[str, str] = {}
+#: Spark's setting by which shuffle files go when the query that made them has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,10 +54,25 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The rows, written once, with a number for each in ``__row``: unlike an id it is
-    never null and never repeated."""
-    return cut(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as keep it apart from the columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def numbered(docs: DataFrame, name: str = "__row") -> DataFrame:
+    """The rows, written once, with a number for each in ``name``, which is none of their
+    columns: unlike an id it is never null and never repeated."""
+    if free_name(docs, name) != name:
+        raise ValueError(f"there is a column {name} already")
+    return cut(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
+def made_table(path: str, name: str) -> None:
+    """The catalog table ``name`` goes with the folder it lies in."""
+    _TABLES[path] = name
 
 
 def release(spark: SparkSession) -> None:
@@ -58,9 +80,45 @@ def release(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context._jsc is None:  # stopped
         return
-    for path in _MADE.pop(context.applicationId, []):
+    _LEFT.pop(context.applicationId, None)
+    remove(spark, _MADE.pop(context.applicationId, []))
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Remove these intermediate tables."""
+    context = spark.sparkContext
+    known = _MADE.get(context.applicationId, [])
+    for path in paths:
+        if path in _TABLES:
+            spark.sql(f"DROP TABLE IF EXISTS `{_TABLES.pop(path)}`")
         place = context._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        if path in known:
+            known.remove(path)
+
+
+@contextmanager
+def stage(spark: SparkSession, docs: DataFrame) -> Iterator[None]:
+    """Around a stage of a pipeline, whose result is written before the next one begins:
+    what earlier stages left behind goes, unless ``docs`` reads it. Nothing that a stage
+    shuffles for a table it writes is needed once the table is there."""
+    app = spark.sparkContext.applicationId
+    left = _LEFT.pop(app, [])
+    if left:
+        files = docs.inputFiles()
+        used = [p for p in left if any(f"/{p.rsplit('/', 1)[-1]}/" in f for f in files)]
+        remove(spark, [p for p in left if p not in used])
+        left = used
+    before = set(_MADE.get(app, []))
+    cleanup = spark.conf.get(_CLEANUP, None)
+    try:
+        if cleanup is not None:
+            spark.conf.set(_CLEANUP, "true")
+        yield
+    finally:
+        if cleanup is not None:
+            spark.conf.set(_CLEANUP, cleanup)
+        _LEFT[app] = left + [p for p in _MADE.get(app, []) if p not in before]
 
 
 def text_or_empty(name: str = "text") -> Column:

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, new_path, table, text_or_empty
+from ledgerline.llm.common import cut, made_table, new_path, table, text_or_empty
 from ledgerline.llm.encoding import slices
 from ledgerline.llm.registry import query
 
@@ -222,6 +222,7 @@ def _bucketed(df: DataFrame, key: str) -> DataFrame:
     path = new_path(spark, "bucketed")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     (df.repartition(tasks, key).write.bucketBy(tasks, key).option("path", path).format("parquet").saveAsTable(name))
+    made_table(path, name)
     return spark.table(name)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections import Counter
 
@@ -125,3 +126,37 @@ def trie(given: dict) -> list[tuple]:
             hashlib.sha256(ends.encode()).hexdigest(),
         ))
     return sorted(rows)
+
+
+def without_passages(texts: list[str], length: int, words: int) -> list[str]:
+    """The texts without strings of ``length`` bytes and passages of so many words that
+    also start elsewhere, whole characters only."""
+    raws = [t.encode() for t in texts]
+    starts = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
+    spans = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", r)] for r in raws]
+    split = [[r[a:b] for a, b in own] for r, own in zip(raws, spans)]
+    passages = Counter(tuple(w[i : i + words]) for w in split for i in range(len(w) - words + 1))
+    left = []
+    for raw, own, listed in zip(raws, spans, split):
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if starts[raw[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        for i in range(len(listed) - words + 1):
+            if passages[tuple(listed[i : i + words])] > 1:
+                a, b = own[i][0], own[i + words - 1][1]
+                gone[a:b] = b"\1" * (b - a)
+        # between two passages that touch, the white space goes too
+        hit = [passages[tuple(listed[i : i + words])] > 1 for i in range(len(listed) - words + 1)]
+        covered = [any(hit[max(0, i - words + 1) : i + 1]) for i in range(len(listed))]
+        for i in range(1, len(listed)):
+            if covered[i - 1] and covered[i]:
+                gone[own[i - 1][1] : own[i][0]] = b"\1" * (own[i][0] - own[i - 1][1])
+        kept, at = bytearray(), 0
+        for char in raw.decode():
+            size = len(char.encode())
+            if not all(gone[at : at + size]):
+                kept += raw[at : at + size]
+            at += size
+        left.append(kept.decode())
+    return left
