@@ -7,11 +7,15 @@ their own throughout, and an empty table passes through every stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, numbered, table
+from ledgerline.llm import common
+from ledgerline.llm.common import cut, free_name, numbered, table
 from ledgerline.llm.mixing import mix
 from ledgerline.llm.near_dup import near_duplicates
 from ledgerline.llm.packing import pack
@@ -22,33 +26,49 @@ from ledgerline.llm.repeats import without_repeats
 #: Words from which on a repeated passage goes.
 PASSAGE_WORDS = 51
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _stage(build: Stage) -> Stage:
+    """A stage keeps no intermediate table of the stages before it: their results have
+    been written when it begins."""
+
+    @wraps(build)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        find_package(spark)
+        with common.stage(spark, docs):
+            return build(spark, docs, sf_dir)
+
+    return run
+
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier rejects go."""
-    find_package(spark)
     return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
+@_stage
 def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest id.
     Five-word shingles, a similarity of 0.8 or more; texts without words are no group."""
-    find_package(spark)
-    rows = numbered(docs)
-    groups = near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), shingle=5, percent=80)
+    row = free_name(docs, "__row")
+    rows = numbered(docs, row)
+    groups = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), shingle=5, percent=80)
     named = cut(
-        groups.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group"))
-        .join(rows.select("__row", "doc_id"), "__row"),
+        groups.select(F.col("doc_id").alias(row), F.col("component_id").alias("group"))
+        .join(rows.select(row, "doc_id"), row),
         "groups",
     )
-    first = named.groupBy("group").agg(F.min_by("__row", F.struct("doc_id", "__row")).alias("__row"))
-    return rows.join(cut(first.select("__row"), "first"), "__row", "left_semi").select(*docs.columns)
+    first = named.groupBy("group").agg(F.min_by(row, F.struct("doc_id", row)).alias(row))
+    return rows.join(cut(first.select(row), "first"), row, "left_semi").select(*docs.columns)
 
 
+@_stage
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of over 50 words, and strings of 400 bytes or more, that also start
     elsewhere go, whole characters only; a document that consists of them stays as an
     empty one."""
-    find_package(spark)
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
     aliases = tuple(f"__in{i}" for i in range(len(others)))
     named = docs.select("text", *[F.col(f"`{c}`").alias(a) for c, a in zip(others, aliases)])
@@ -58,19 +78,20 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select(*[own[c].alias(c) for c in docs.columns])
 
 
+@_stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each source near its target; a document the mix takes twice is two rows."""
-    find_package(spark)
-    rows = numbered(docs)
-    times = mix(rows, carry=("__row",)).where("times > 0").select("__row", F.col("times").alias("__times"))
-    taken = rows.join(cut(times, "times"), "__row")
-    each = taken.withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    row, copies, copy = (free_name(docs, n) for n in ("__row", "__times", "__time"))
+    rows = numbered(docs, row)
+    times = mix(rows, carry=(row,)).where("times > 0").select(row, F.col("times").alias(copies))
+    taken = rows.join(cut(times, "times"), row)
+    each = taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return each.select(*docs.columns)
 
 
+@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece, with its place in a sequence of at most 4096 ids."""
-    find_package(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -87,7 +108,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        made = stage(spark, docs, sf_dir)
+        path = common.new_path(spark, name)
+        made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        common.remove(spark, before)
+        before = [path]
     return STAGES[-1][1](spark, docs, sf_dir)
