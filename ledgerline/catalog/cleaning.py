@@ -10,7 +10,7 @@ from ledgerline.catalog.analogue import sql_title, with_ctes
 from ledgerline.catalog.base import Tables, entry
 from ledgerline.functions import arithmetic as ar
 from ledgerline.functions import money, numbers, periods, text
-from ledgerline.operators.consolidate import consolidate, keep_first
+from ledgerline.operators.consolidate import add_increment, consolidate, keep_first, keep_stored
 from ledgerline.operators.reshape import relabel
 from ledgerline.plans import clean
 
@@ -413,17 +413,16 @@ _E4 = with_ctes(
 )
 
 
-@entry(
-    "a7_consolidate",
-    """SELECT o_custkey, year(o_orderdate)::BIGINT AS year,
+_CONSOLIDATED = """SELECT o_custkey, year(o_orderdate)::BIGINT AS year,
               sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS amount, count(*)::BIGINT AS orders,
               string_agg(CASE WHEN o_orderpriority LIKE '1%' THEN o_orderkey::VARCHAR END, '; '
                          ORDER BY o_orderkey) AS urgent_orders
-       FROM orders GROUP BY 1, 2""",
-)
-def consolidate_orders(t: Tables) -> DataFrame:
+       FROM orders GROUP BY 1, 2"""
+
+
+def _noted_orders(t: Tables) -> DataFrame:
     key = F.col("o_orderkey")
-    rows = t.orders.select(
+    return t.orders.select(
         "o_custkey",
         F.year("o_orderdate").alias("year"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
@@ -431,13 +430,34 @@ def consolidate_orders(t: Tables) -> DataFrame:
         F.when(F.col("o_orderpriority") == "1-URGENT", key.cast("string")).alias("urgent_orders"),
         key,
     )
+
+
+@entry("a7_consolidate", _CONSOLIDATED)
+def consolidate_orders(t: Tables) -> DataFrame:
     # Runs of neighbouring order keys are joined first, then the runs.
     return consolidate(
-        rows, ["o_custkey", "year"], ["amount", "orders"], "urgent_orders", ["o_orderkey"],
-        [F.floor(key / 4096)],
+        _noted_orders(t), ["o_custkey", "year"], ["amount", "orders"], "urgent_orders", ["o_orderkey"],
+        [F.floor(F.col("o_orderkey") / 4096)],
     )
 
 
+@entry("a7_merge_increment", _CONSOLIDATED)
+def merge_orders(t: Tables) -> DataFrame:
+    """The orders in three loads, each merged into the buckets of the customers it has."""
+    keys, sums, note = ["o_custkey", "year"], ["amount", "orders"], "urgent_orders"
+    rows = _noted_orders(t)
+    last = rows.agg(F.max("o_orderkey")).first()[0] or 0
+    cuts = [0, last // 2, last - last // 50, last + 1]
+    for low, high in zip(cuts, cuts[1:]):
+        new = rows.where(F.col("o_orderkey").between(low, high - 1))
+        new = consolidate(new, keys, sums, note, ["o_orderkey"], [F.floor(F.col("o_orderkey") / 4096)])
+        new = new.withColumns({"amount": F.col("amount").cast("decimal(38,2)"), "orders": F.col("orders").cast("bigint")})
+        with t.layers.change() as change:
+            bucket = F.pmod(F.hash("o_custkey"), F.lit(16))
+            change.merge(new, "cleaned", "orders", bucket, add_increment(keys, sums, note), load=f"to-{high}")
+    return t.layers.read("cleaned", "orders")
+
+
 @entry(
     "a11_keep_first",
     f"""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, l_quantity,
@@ -453,6 +473,28 @@ def keep_first_line(t: Tables) -> DataFrame:
     )
 
 
+@entry(
+    "a11_merge_increment",
+    f"""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey, l_quantity,
+               l_extendedprice
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                           ORDER BY l_suppkey % 3 = 0, {', '.join(a.PRINT_ORDER)}) AS nth
+              FROM lineitem) WHERE nth = 1""",
+)
+def merge_first_lines(t: Tables) -> DataFrame:
+    """What is stored stays; the second load only adds the keys that are new."""
+    late = F.col("l_suppkey") % 3 == 0
+    keys = ["l_orderkey", "l_linenumber"]
+    for name, rows in (("early", ~late), ("late", late)):
+        new = keep_first(t.lineitem.where(rows), keys, a.PRINT_ORDER)
+        with t.layers.change() as change:
+            bucket = F.pmod(F.hash(*keys), F.lit(16))
+            change.merge(new, "cleaned", "lines", bucket, keep_stored(keys, a.PRINT_ORDER), load=name)
+    return t.layers.read("cleaned", "lines").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+    )
+
+
 # --- whole tables ----------------------------------------------------------------
 
 

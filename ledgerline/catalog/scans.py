@@ -11,7 +11,7 @@ from ledgerline.catalog.base import Tables, entry
 from ledgerline.operators.ordered import number_rows
 from ledgerline.plans import reports
 from ledgerline.sources.layers import conform, export_csv, export_parquet
-from ledgerline.sources.raw import read_csv, read_export
+from ledgerline.sources.raw import read_csv, read_csv_rejects, read_export
 
 _ORDER_COLUMNS = [
     "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
@@ -41,6 +41,34 @@ def csv_scan(t: Tables) -> DataFrame:
     return read_csv(t.spark, folder, _ORDER_COLUMNS)
 
 
+#: Parts whose size is a multiple of ten have two fields too many, a few others one too few.
+_PART_LINE = """p_partkey || ',' || p_name || ',' || p_size ||
+    CASE WHEN p_size % 10 = 0 THEN ',"a, b",more' WHEN p_size % 10 = 1 THEN '' ELSE ',' || p_type END"""
+
+
+@entry(
+    "s1_rejected_lines",
+    f"""SELECT p_partkey::VARCHAR AS p_partkey, {_PART_LINE} AS line, 5::BIGINT AS fields
+        FROM part WHERE p_size % 10 = 0
+        UNION ALL
+        SELECT p_partkey::VARCHAR, p_name || CASE WHEN p_size % 10 = 1 THEN '' ELSE p_type END, NULL
+        FROM part WHERE p_size % 10 <> 0""",
+)
+def rejected_lines(t: Tables) -> DataFrame:
+    """Every line once: as a row, or whole among those that do not fit."""
+    folder = t.scratch("part-lines")
+    t.part.select(F.expr(_PART_LINE).alias("line")).write.text(folder)
+    columns = ["p_partkey", "p_name", "p_size", "p_type"]
+    good = read_csv(t.spark, folder, columns, header=False, missing=(), strict=False)
+    bad = read_csv_rejects(t.spark, folder, columns, header=False)
+    rows = good.select(
+        "p_partkey", F.concat("p_name", F.coalesce("p_type", F.lit(""))).alias("line"), F.lit(None).cast("bigint").alias("fields")
+    )
+    return bad.select(
+        F.substring_index("text", ",", 1).alias("p_partkey"), F.col("text").alias("line"), F.col("fields").cast("bigint")
+    ).unionByName(rows)
+
+
 @entry(
     "s2_csv_multi_line",
     """SELECT doc_id::VARCHAR AS doc_id, lang, md5(text) AS text_md5,
@@ -129,6 +157,15 @@ def append_typed(t: Tables) -> DataFrame:
     return t.layers.read("cleaned", "customer")
 
 
+@entry("k1_repeated_load", _CUSTOMER_SQL)
+def repeated_load(t: Tables) -> DataFrame:
+    """Two loads, the second of them twice."""
+    half = F.col("c_custkey") % 2
+    for name, rows in ((0, half == 0), (1, half == 1), (1, half == 1)):
+        t.layers.append(t.customer.where(rows), "cleaned", "customer", _customer_schema(), load=f"half-{name}")
+    return t.layers.read("cleaned", "customer")
+
+
 @entry(
     "k2_replace_result",
     """SELECT l_returnflag, count(*)::BIGINT AS n, sum(l_quantity)::BIGINT AS copies
@@ -198,6 +235,24 @@ def surrogate_id(t: Tables) -> DataFrame:
     return numbered.select("id", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
+@entry(
+    "k7_ids_over_loads",
+    """SELECT row_number() OVER (ORDER BY o_orderdate >= DATE '1998-01-01', o_orderkey)::BIGINT AS id,
+              o_orderkey, o_custkey FROM orders""",
+)
+def ids_over_loads(t: Tables) -> DataFrame:
+    """The second load, which is repeated, goes on with the ids of the first."""
+    schema = StructType.fromDDL("id BIGINT, o_orderkey BIGINT, o_custkey BIGINT")
+    late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("date")
+    for name, rows in (("early", ~late), ("late", late), ("late", late)):
+        with t.layers.change() as change:
+            change.append_numbered(
+                t.orders.where(rows).select("o_orderkey", "o_custkey"), "cleaned", "orders", schema,
+                ["o_orderkey"], [F.shiftright("o_orderkey", 12)], load=name,
+            )
+    return t.layers.read("cleaned", "orders")
+
+
 @entry(
     "r1_project",
     with_ctes(

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 # Amounts as reports carry them.
 EXACT = "decimal(24,4)"
-# What is divided: 12 decimals as long as the number has 12 digits before them, else 4.
-FINE, COARSE = "decimal(24,12)", "decimal(28,4)"
-# Amounts on the way to a division.
+# What is divided where both numbers are exactly that; others are divided as they are.
+FINE = "decimal(24,12)"
+# Sums of large values over a join.
 WIDE = "decimal(34,12)"
+# Quotients: exact to 12 decimals, or to the 6 or more that Spark keeps for wide operands.
+QUOTIENT = "decimal(38,12)"
 # Values a mean is taken of; larger ones are added up as DOUBLE.
 VALUE = "decimal(16,10)"
 MEAN = "decimal(38,16)"
@@ -26,14 +28,37 @@ def exact(c: Column) -> Column:
     return c.cast(EXACT)
 
 
-def _quotient(a: Column, b: Column, kind: str) -> Column:
-    return a.try_cast(kind) / F.nullif(b.try_cast(kind), F.lit(0).cast(kind))
+def _operand(c: Column) -> Column:
+    """Whole numbers as DECIMAL of their digits; DECIMAL and DOUBLE as they are."""
+    return F.coalesce(c, F.lit(None).cast("decimal(1,0)"))
+
+
+def _is_fine(c: Column) -> Column:
+    """Whether FINE holds the number without bending it, but for the last bits of a DOUBLE."""
+    fine = c.try_cast(FINE)
+    same = (fine == c.try_cast("decimal(38,26)")) & ((fine == 0) == (c == 0))
+    value = c.cast("double")
+    near = F.typeof(c).isin("double", "float") & (F.abs(value - fine.cast("double")) <= F.abs(value) * 1e-14)
+    return fine.isNotNull() & (same | near)
+
+
+def _quotient(a: Column, b: Column, factor: int = 1) -> Column:
+    """``factor`` x a / b, NULL only where a or b is NULL or b is 0.
+
+    Numbers that FINE holds are divided as such. Others keep the precision and scale of
+    their own types, so no number is rounded to 0 or found too large. A quotient of more
+    than 26 digits before the point is an error.
+    """
+    a, b = _operand(a), _operand(b)
+    fine = (a.try_cast(FINE) * F.lit(factor)).try_cast(FINE) / F.nullif(b.try_cast(FINE), F.lit(0).cast(FINE))
+    own = a / F.nullif(b, F.lit(0))
+    fits = _is_fine(a) & _is_fine(b) & fine.isNotNull()
+    return F.when(fits, fine.cast(QUOTIENT)).otherwise(own.cast(QUOTIENT) * F.lit(factor)).cast(QUOTIENT)
 
 
 def divide_or_null(a: Column, b: Column) -> Column:
-    """Exact quotient, NULL where the divisor is 0. Large numbers are divided with
-    fewer decimals, so neither fine nor large input is bent."""
-    return F.coalesce(_quotient(a, b, FINE), _quotient(a, b, COARSE))
+    """Exact quotient, NULL where the divisor is 0; numbers of any size and scale."""
+    return _quotient(a, b)
 
 
 def divide_or(a: Column, b: Column, default: float = 0) -> Column:
@@ -43,8 +68,7 @@ def divide_or(a: Column, b: Column, default: float = 0) -> Column:
 
 def mean_of_sums(total: Column, count: Column) -> Column:
     """Mean from a sum and a count that were aggregated (in steps) before."""
-    n = count.cast("decimal(18,0)")
-    return total.cast(WIDE) / F.nullif(n, F.lit(0).cast("decimal(18,0)"))
+    return _quotient(total, count)
 
 
 def mean(value: Column) -> Column:
@@ -68,12 +92,12 @@ def ratio(a: Column, b: Column, digits: int) -> Column:
 
 
 def percent(a: Column, b: Column, digits: int = 2) -> Column:
-    """``a / b`` in percent; scaled before dividing, so no digit is lost."""
-    return rounded(divide_or_null(a.cast(WIDE) * 100, b), digits)
+    """``a / b`` in percent; scaled before dividing where that fits."""
+    return rounded(_quotient(a, b, 100), digits)
 
 
 def percent_change(now: Column, before: Column, digits: int = 2) -> Column:
-    return percent(now.cast(WIDE) - before.cast(WIDE), before, digits)
+    return percent(_operand(now) - _operand(before), before, digits)
 
 
 def row_mean(*columns: Column) -> Column:

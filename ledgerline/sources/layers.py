@@ -376,7 +376,9 @@ class Change:
         hit = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())
         old = [f for f in stored.folders if f.bucket in hit]
         merged = combine(self.layers._read(stored, old), fresh.drop(BUCKET)).select(*stored.schema.names)
-        folder = self._write(merged.withColumn(BUCKET, bucket.cast("int")), name, [BUCKET])
+        # a bucket's rows in few files: small ones share a task, a large one is split
+        dealt = merged.withColumn(BUCKET, bucket.cast("int")).hint("rebalance", BUCKET)
+        folder = self._write(dealt, name, [BUCKET])
         path = f"{self.layers.root.rstrip('/')}/{folder.path}"
         counts = self.layers.spark.read.parquet(path).groupBy(BUCKET).count() if folder.rows else None
         rows = {r[0]: r[1] for r in counts.collect()} if counts else {}

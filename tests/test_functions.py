@@ -184,6 +184,38 @@ def test_large_and_fine_numbers_are_not_bent(spark):
     assert tuple(means) == (2e8, 0.00002)
 
 
+def test_numbers_of_unlike_size_and_scale_are_divided(spark):
+    """No NULL that the data did not have, and no number rounded to 0."""
+    cases = [  # a, its type, b, its type, quotient to 6 decimals
+        ("1000000000000.00004", "decimal(18,5)", "0.00003", "decimal(5,5)", "33333333333333334.666667"),
+        ("10000000000000000000000000", "decimal(38,0)", "100000000000000000000", "decimal(38,0)", "100000"),
+        ("1", "decimal(38,0)", "0.0000000000000000000001", "decimal(38,38)", "10000000000000000000000"),
+        ("0.0000000000000000000003", "decimal(38,30)", "0.0000000000000000000002", "decimal(38,30)", "1.5"),
+        ("1234567890123456789012345.789", "decimal(38,3)", "3", "int", "411522630041152263004115.263"),
+        ("9223372036854775807", "bigint", "0.5", "decimal(2,1)", "18446744073709551614"),
+        ("2", "tinyint", "3", "smallint", "0.666667"),
+        ("-7", "decimal(38,10)", "2", "decimal(38,10)", "-3.5"),
+        ("0", "decimal(38,38)", "4", "decimal(38,0)", "0"),
+        ("5", "int", "0", "decimal(38,20)", None),
+    ]
+    for a, kind_a, b, kind_b, expected in cases:
+        x, y = F.lit(a).cast(kind_a), F.lit(b).cast(kind_b)
+        df = spark.range(1).select(x.alias("x"), y.alias("y"))
+        quotient = F.round(ar.divide_or_null(F.col("x"), F.col("y")), 6)
+        assert df.select(quotient).first()[0] == (None if expected is None else Decimal(expected)), (a, b)
+        if expected is not None and abs(Decimal(expected)) < 10**20:
+            percent = df.select(ar.percent(F.col("x"), F.col("y"), 4)).first()[0]
+            assert percent == pytest.approx(float(Decimal(a) / Decimal(b)) * 100, abs=6e-5, rel=1e-12)
+    huge = spark.range(1).select(F.lit("10000000000000000000000000").cast("decimal(38,0)").alias("x"), F.lit(4).alias("n"))
+    assert huge.select(ar.mean_of_sums(F.col("x"), F.col("n")).alias("m")).first().m == Decimal(10**25) / 4 == Decimal("2.5e24")
+
+
+def test_quotients_beyond_any_type_are_an_error(spark):
+    df = spark.range(1).select(F.lit("1e37").cast("decimal(38,0)").alias("x"), F.lit("1e-30").cast("decimal(38,38)").alias("y"))
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|out of range|cannot be represented"):
+        df.select(ar.divide_or_null(F.col("x"), F.col("y"))).collect()
+
+
 def test_mean_over_a_join_of_large_values_and_counts(spark):
     from ledgerline.operators.crossfact import fan_out_mean
     from ledgerline.operators.share import above_share
