@@ -309,6 +309,22 @@ def fan_out(t: Tables) -> DataFrame:
     )
 
 
+@entry(
+    "j7_fan_out_rows",
+    with_ctes(
+        """SELECT city_id, quarter, literacy_rate, platform, launch_month, users_reached, downloads_or_accesses
+           FROM readiness JOIN pilot USING (city_id)""",
+        "readiness",
+        "pilot",
+    ),
+)
+def fan_out_rows(t: Tables) -> DataFrame:
+    """The rows themselves, cut into cells of a thousand pairs."""
+    readiness = a.readiness(t).select("city_id", "quarter", "literacy_rate")
+    pilot = a.pilot(t).select("city_id", "platform", "launch_month", "users_reached", "downloads_or_accesses")
+    return crossfact.fan_out_rows(readiness, pilot, "city_id", pairs=1024)
+
+
 @entry(
     "j8_star_of_aggregates",
     """SELECT n_name, customers, balance, suppliers, orders

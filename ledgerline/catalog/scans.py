@@ -10,8 +10,8 @@ from ledgerline.catalog.analogue import PRINT_ORDER, dim_city, star, with_ctes
 from ledgerline.catalog.base import Tables, entry
 from ledgerline.operators.ordered import number_rows
 from ledgerline.plans import reports
-from ledgerline.sources.layers import conform, export_csv, export_parquet
-from ledgerline.sources.raw import read_csv, read_csv_rejects, read_export
+from ledgerline.sources.layers import conform, export_csv, export_csv_in_order, export_parquet
+from ledgerline.sources.raw import ORDINAL, read_csv, read_csv_rejects, read_export
 
 _ORDER_COLUMNS = [
     "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
@@ -188,6 +188,20 @@ def csv_export(t: Tables) -> DataFrame:
     return conform(read_csv(t.spark, folder, _customer_schema().names), _customer_schema())
 
 
+@entry(
+    "k3_ordered_csv_export",
+    f"""SELECT row_number() OVER (ORDER BY o_orderdate, lpad(o_orderkey, 12, '0'))::BIGINT AS line, o_orderkey, o_custkey
+        FROM ({_ORDERS_AS_TEXT})""",
+)
+def ordered_csv_export(t: Tables) -> DataFrame:
+    """The lines of all parts are numbered as they stand in the files."""
+    folder = t.scratch("orders-in-order")
+    export_csv_in_order(_orders_out(t).withColumn("key", F.lpad("o_orderkey", 12, "0")), folder, ["o_orderdate", "key"])
+    back = read_csv(t.spark, folder, [*_ORDER_COLUMNS, "key"], header=False, ordinal=True)
+    placed = number_rows(back, ORDINAL, "line", [F.struct("_file", "_split")])
+    return placed.select("line", "o_orderkey", "o_custkey")
+
+
 @entry(
     "k4_parquet_export",
     """SELECT s_suppkey, s_name, s_nationkey::BIGINT AS s_nationkey, s_acctbal FROM supplier""",

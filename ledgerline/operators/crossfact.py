@@ -81,3 +81,39 @@ def fan_out_mean(
         (F.sum(F.col("_n") * F.col("_d")) / F.nullif(pairs.cast("double"), F.lit(0.0))).try_cast(MEAN),
     )
     return paired.groupBy(*group).agg(mean.alias(name))
+
+
+def fan_out_rows(left: DataFrame, right: DataFrame, key: str, pairs: int = 1 << 20) -> DataFrame:
+    """The rows of left JOIN right ON key, with about ``pairs`` of them to a task at most.
+
+    A key with many rows on both sides makes the product of their numbers. Counts of both
+    sides tell how large a grid the pairs of each such key are cut into: a row lies in one
+    line (or column) of it, by a hash of its values, and goes to every cell of that line.
+    Keys below the limit are joined as they are. Rows without a key pair with none, equal
+    rows share a line. Other columns must have different names.
+    """
+    lefts, rights = fan_out_cells(left, right, key, pairs)
+    return lefts.join(rights, [key, "_line", "_column"]).drop("_line", "_column")
+
+
+def fan_out_cells(left: DataFrame, right: DataFrame, key: str, pairs: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the cells (_line, _column) of their keys' grids that each row goes to."""
+    side = int(pairs**0.5)
+    sizes = [
+        df.groupBy(key).agg(F.count(F.lit(1)).alias(name)) for df, name in ((left, "_nl"), (right, "_nr"))
+    ]
+    lines = F.ceil(F.col("_nl") * F.least("_nr", F.lit(side)) / F.lit(side * side))
+    columns = F.ceil(F.col("_nr") * F.least("_nl", F.lit(side)) / F.lit(side * side))
+    grid = (
+        sizes[0].join(sizes[1], key)
+        .select(key, lines.alias("_lines"), columns.alias("_columns"))
+        .where((F.col("_lines") > 1) | (F.col("_columns") > 1))
+    )
+
+    def dealt(df: DataFrame, own: str, other: str, line: str, cell: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.coalesce(own, F.lit(1)))
+        every = F.sequence(F.lit(0).cast("bigint"), F.coalesce(other, F.lit(1)) - 1)
+        marked = df.where(F.col(key).isNotNull()).join(grid, key, "left")
+        return marked.select(*[F.col(f"`{c}`") for c in df.columns], place.alias(line), F.explode(every).alias(cell))
+
+    return dealt(left, "_lines", "_columns", "_line", "_column"), dealt(right, "_columns", "_lines", "_column", "_line")

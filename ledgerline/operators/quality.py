@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Bits of the filter of keys without a parent, those of one bitmap of Spark.
+FILTER_BITS = 32768
+
+
 @dataclass(frozen=True)
 class RowRule:
     """A rule on one row. As in a CHECK constraint, an unknown (NULL) outcome passes."""
@@ -81,10 +85,41 @@ def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
+def _orphan_keys(df: DataFrame, rule: ReferenceRule) -> DataFrame:
+    """Complete keys without a parent row, as k0, k1, ..., and how many rows have them.
+    Tasks send each of their keys once, so a frequent key or a valid fact moves little."""
+    keys = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(rule.columns)]
+    known = df.dropna(subset=list(rule.columns)).select(*keys).groupBy(*[f"k{i}" for i in range(len(keys))])
+    known = known.agg(F.count(F.lit(1)).alias("rows"))
+    on = [known[f"k{i}"] == rule.parent[t] for i, t in enumerate(rule.target)]
+    return known.join(rule.parent, on, "left_anti")
+
+
+def _place(columns: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(FILTER_BITS))
+
+
+def possible_orphans(df: DataFrame, rule: ReferenceRule) -> DataFrame:
+    """The rows whose key shares a hash with a key that has no parent row: all orphans and
+    few others. The filter is one value of 4 KB, however many rows and keys there are."""
+    names = [f"k{i}" for i in range(len(rule.columns))]
+    places = _orphan_keys(df, rule).select(_place(names).alias("place"))
+    marks = places.agg(F.bitmap_construct_agg(F.col("place"))).scalar()
+    place = _place(rule.columns)
+    byte = F.conv(F.hex(F.substring(marks, F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return df.dropna(subset=list(rule.columns)).where(F.getbit(byte, (place % 8).cast("int")) == 1)
+
+
 def orphans(df: DataFrame, rule: ReferenceRule) -> DataFrame:
-    """Rows whose complete key has no parent row."""
-    on = [df[c] == rule.parent[t] for c, t in zip(rule.columns, rule.target)]
-    return df.dropna(subset=list(rule.columns)).join(rule.parent, on, "left_anti")
+    """Rows whose complete key has no parent row.
+
+    Keys are held against the parent first, each once per task. Only rows that may have one
+    of the keys without a parent are then joined with those keys.
+    """
+    bad = _orphan_keys(df, rule)
+    rows = possible_orphans(df, rule)
+    on = [rows[c] == bad[f"k{i}"] for i, c in enumerate(rule.columns)]
+    return rows.join(bad, on, "left_semi")
 
 
 def count_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -109,7 +144,9 @@ def count_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         if isinstance(rule, UniqueRule):
             bad = duplicate_keys(df, rule.columns)
         elif isinstance(rule, ReferenceRule):
-            bad = orphans(df, rule)
+            rows = F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")
+            results.append(_orphan_keys(df, rule).agg(rows).select(F.lit(rule.name).alias("rule"), "violations"))
+            continue
         else:
             continue
         results.append(

@@ -423,6 +423,35 @@ def export_csv(df: DataFrame, folder: str) -> int:
     return audit.get["rows"]
 
 
+def export_csv_in_order(df: DataFrame, folder: str, order: Sequence[str]) -> int:
+    """Write CSV whose parts, one after the other, are the rows in ``order`` (which should
+    be unique): ``_header.csv``, then the numbered part files without headers. Each task
+    sorts a range of the order. :func:`read_csv` takes the folder back with ``header=False``,
+    and :func:`part_hashes` tells what each part holds."""
+    keys = [F.col(f"`{c}`").asc_nulls_first() for c in order]
+    # counted behind the shuffle: finding the ranges reads the rows once more
+    counted, audit = _counted(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    counted.write.mode("overwrite").options(emptyValue="", **options).csv(folder)
+    names = [n if not set(n) & set(',"\r\n') else '"' + n.replace('"', '""') + '"' for n in df.columns]
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/_header.csv")
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        stream.write(bytearray((",".join(names) + "\n").encode()))
+    finally:
+        stream.close()
+    return audit.get["rows"]
+
+
+def part_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    """part, bytes, sha256 of the part files of an export, to be ordered by ``part``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    return files.select(
+        F.element_at(F.split("path", "/"), -1).alias("part"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
+    )
+
+
 def export_parquet(df: DataFrame, folder: str) -> int:
     counted, audit = _counted(df)
     counted.write.mode("overwrite").parquet(folder)

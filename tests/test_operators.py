@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import hashlib
+import io
 import random
 import re
 from collections import defaultdict
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import consolidate as co
 from ledgerline.operators import crossfact, measures, ordered, period, profile, rank, reshape, share
 from ledgerline.operators import quality as q
+from ledgerline.sources.layers import export_csv_in_order, part_hashes
 
 
 @pytest.fixture(scope="module")
@@ -380,3 +384,82 @@ def test_measure_cannot_be_grouped_by_a_foreign_column(tiny_star):
         measures.evaluate(tiny_star, ["total_copies_sold"], ["platform"])
     found = measures.evaluate(tiny_star, ["total_ad_revenue", "total_net_circulation"], ["quarter"]).collect()
     assert {tuple(r) for r in found} == {("2023-Q1", 72, 36), ("2024-Q1", None, 0), ("2025-Q1", 8, None)}
+
+
+def test_ranks_over_ranges_of_scores(spark):
+    """All scores distinct, a third of the rows on one score, NULLs, both directions."""
+    draw = random.Random(7)
+    scores = [None, 0.5, *(draw.uniform(-9, 9) for _ in range(300)), *[0.25] * 150]
+    df = spark.createDataFrame([(i, s, None if s is None else i % 40) for i, s in enumerate(scores)], "k INT, s DOUBLE, n INT")
+    asked = {"down": ("s", True), "up": ("s", False), "few": ("n", True), "many": ("n", False)}
+    for ranges in (2, 64):
+        rows = rank.with_dense_ranks(df, asked, ranges).collect()
+        assert len(rows) == len(scores)
+        for name, (score, descending) in asked.items():
+            value = lambda r: float("inf") if r[score] is None else r[score]
+            places = {v: i for i, v in enumerate(sorted({value(r) for r in rows}, reverse=descending), 1)}
+            assert all(r[name] == places[value(r)] for r in rows), name
+    assert rank.with_dense_rank(df.where("k < 0"), "p", "s").collect() == []
+    with pytest.raises(ValueError):
+        rank.with_dense_ranks(df, asked, 100)
+
+
+def test_ranks_gather_scores_in_no_value_and_no_task(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 997).alias("s"))
+    plan = rank.with_dense_rank(df, "p", "s")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "collect_list" not in plan and "array_position" not in plan
+    # every window is over a range, or over the rows that ranges have
+    assert "windowspecdefinition(s" not in plan.replace("#", "")
+
+
+def test_fan_out_rows_of_hot_keys(spark):
+    left = spark.createDataFrame([("hot" if i % 3 == 0 else f"k{i % 50}", i) for i in range(900)] + [(None, -1)], "key STRING, a INT")
+    right = spark.createDataFrame([("hot" if i % 3 == 0 else f"k{i % 50}", i) for i in range(600)] + [(None, -1)], "key STRING, b INT")
+    expected = left.join(right, "key")
+    for pairs in (4, 100, 1 << 20):
+        found = crossfact.fan_out_rows(left, right, "key", pairs)
+        assert found.columns == expected.columns
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    # 60,000 pairs of one key: how many share a cell
+    lefts, rights = (
+        df.groupBy("key", "_line", "_column").count() for df in crossfact.fan_out_cells(left, right, "key", 400)
+    )
+    both = lefts.withColumnRenamed("count", "n").join(rights, ["key", "_line", "_column"])
+    cells = [r["n"] * r["count"] for r in both.collect()]
+    assert sum(cells) == expected.count() and max(cells) <= 4 * 400 and len(cells) >= 150
+
+
+def test_only_possible_orphans_are_moved(spark):
+    parent = spark.range(500).select(F.col("id").alias("p"), (F.col("id") % 7).cast("string").alias("q"))
+    rule = q.references(["k", "m"], parent, ["p", "q"])
+    valid = spark.range(5000).select("id", (F.col("id") % 500).alias("k"), (F.col("id") % 500 % 7).cast("string").alias("m"))
+    assert q.possible_orphans(valid, rule).count() == 0 == q.orphans(valid, rule).count()
+    assert q.count_violations(valid, [rule]).first().violations == 0
+    changed = F.when(F.col("id").isin(3, 17), F.lit("x")).when(F.col("id") == 18, F.lit(None)).otherwise(F.col("m"))
+    some = valid.withColumn("m", changed).union(valid.where("id < 2").withColumn("k", F.lit(9999).cast("bigint")))
+    assert sorted(r.id for r in q.orphans(some, rule).collect()) == [0, 1, 3, 17]
+    assert 4 <= q.possible_orphans(some, rule).count() <= 40
+    assert q.count_violations(some, [rule]).first().violations == 4
+    # more keys than the filter has bits: everything passes it, and the result is the same
+    all_bad = spark.range(70000).select("id", (F.col("id") + 10**6).alias("k"), F.lit("x").alias("m"))
+    assert q.orphans(all_bad, rule).count() == 70000
+
+
+def test_ordered_export_is_one_file_in_parts(spark, tmp_path):
+    draw = random.Random(2)
+    rows = [(i, draw.choice(['a,"b"', "two\nlines", " x ", "", None, "é"]), draw.random()) for i in range(400)]
+    draw.shuffle(rows)
+    df = spark.createDataFrame(rows, 'id INT, `te,xt` STRING, v DOUBLE').repartition(5)
+    folder = tmp_path / "csv"
+    assert export_csv_in_order(df, str(folder), ["id"]) == 400
+    parts = sorted(p for p in folder.iterdir() if p.suffix == ".csv")
+    assert parts[0].name == "_header.csv"
+    whole = io.StringIO()
+    out = csv.writer(whole, lineterminator="\n")
+    out.writerow(["id", "te,xt", "v"])
+    out.writerows(sorted((i, t or "", v) for i, t, v in rows))
+    text = b"".join(p.read_bytes() for p in parts).decode()
+    # a blank at an edge is quoted by one writer only
+    assert list(csv.reader(io.StringIO(text))) == list(csv.reader(io.StringIO(whole.getvalue())))
+    hashes = {r.part: (r.bytes, r.sha256) for r in part_hashes(spark, str(folder)).collect()}
+    assert hashes == {p.name: (p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in parts[1:]}
