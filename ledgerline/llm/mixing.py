@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ SEED = 17
 #: documents; a larger one if its sums take at most so many bytes, as with few documents.
 KNAPSACK = 1 << 15
 SUMS_BYTES = 1 << 26
+#: Largest budget that the knapsack closes at all: its table takes four bytes a word.
+MOST_SUMS = 1 << 25
 #: Documents of one source and length that are ordered in one group.
 BUCKET = 256
 
@@ -61,12 +64,17 @@ def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS,
 
 def fit_lengths(lengths: list[int], counts: list[int], budget: int, knapsack: int = KNAPSACK) -> list[int]:
     """How many documents of each length make up ``budget`` words, or as near below it as
-    can be. Lengths are positive and differ."""
+    can be. Lengths are positive and differ. The result is the nearest for budgets up to
+    ``knapsack``, to four of the longest documents or to what few lengths allow, but not
+    beyond ``MOST_SUMS``; for larger ones it misses by less than the shortest length that
+    is left, as a rule by nothing."""
     total = sum(n * c for n, c in zip(lengths, counts))
     if budget >= total:
         return list(counts)
-    knapsack = max(knapsack, 4 * max(lengths))
-    if budget <= knapsack or budget // 8 * sum(c.bit_length() for c in counts) <= SUMS_BYTES:
+    knapsack = min(max(knapsack, 4 * max(lengths)), MOST_SUMS)
+    if budget <= knapsack or (
+        budget <= MOST_SUMS and budget // 8 * sum(c.bit_length() for c in counts) <= SUMS_BYTES
+    ):
         return subset_sum(lengths, counts, budget)
     use = [c * max(0, budget - knapsack // 2) // total for c in counts]
     left = budget - sum(n * u for n, u in zip(lengths, use))
@@ -104,27 +112,37 @@ def fit_target(
 
 def subset_sum(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     """Counts whose sum is as near below ``budget`` as can be. Reachable sums are the bits
-    of a number; a length is offered in powers of two, so that any count can be made."""
+    of a number; a length is offered in powers of two, so that any count can be made. Of
+    each sum only the step is kept that reached it first: what is left without that step
+    was reachable before it."""
     unit = math.gcd(*lengths) or 1
     lengths, budget = [n // unit for n in lengths], budget // unit
-    add = [0] * len(lengths)
+    first = np.zeros(budget + 1, dtype=np.int32)
     mask = (1 << (budget + 1)) - 1
     sums, steps = 1, []
-    for i in sorted(range(len(lengths)), key=lambda i: lengths[i]):
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
         free, k = min(counts[i], budget // lengths[i]), 1
         while free > 0 and not sums >> budget & 1:
             k = min(k, free)
-            steps.append((i, k, sums))
-            sums = (sums | sums << (lengths[i] * k)) & mask
+            fresh = (sums << lengths[i] * k) & mask & ~sums
+            if fresh:
+                steps.append((i, k))
+                data = np.frombuffer(fresh.to_bytes(budget // 8 + 1, "little"), np.uint8)
+                where = np.flatnonzero(data)
+                bits = np.unpackbits(data[where], bitorder="little").reshape(-1, 8)
+                rows, places = np.nonzero(bits)
+                first[where[rows] * 8 + places] = len(steps)
+                sums |= fresh
             free -= k
             k *= 2
         if sums >> budget & 1:
             break
+    add = [0] * len(lengths)
     left = sums.bit_length() - 1
-    for i, k, before in reversed(steps):
-        if not before >> left & 1:
-            add[i] += k
-            left -= k * lengths[i]
+    while left:
+        i, k = steps[first[left] - 1]
+        add[i] += k
+        left -= k * lengths[i]
     return add
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import random
 import struct
@@ -155,7 +156,6 @@ def test_components(spark):
 @pytest.mark.parametrize("path, dropped", [(WORD, True), (BYTE, False)])
 def test_ids_are_the_tokenizers(path, dropped):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     own = encoding.Encoder(path, dropped)
     texts = ["", " ", "\n", "a  b", "a\n\nb", "it's 'll don't", "x\x0b y", "a\x1c b", "  a", "<|endoftext|> a", "É ́x",
              "a \t b\r\n", "a.b!! c,", "İ Σς", "a\n", "日本 語。", *[t or "" for _, t, *_ in _rows()]]
@@ -218,12 +218,21 @@ def test_plans_hold_every_piece_once(seed):
     assert plan.sequences <= len(gaps)
 
 
-def test_rows_come_from_grouped_plans(monkeypatch):
+def test_rows_come_from_groups_of_several_pieces(monkeypatch):
+    draw = random.Random(6)
+    counts = Counter(min(4095, int(draw.lognormvariate(6.5, 1.2)) + 1) for _ in range(3000))
     made = []
-    plan_lengths = packing.plan_lengths
-    monkeypatch.setattr(packing, "plan_lengths", lambda c, n, part, groups: made.append(groups) or plan_lengths(c, n, part, groups))
-    packing.best_plan({3000: 4, 1000: 4, 90: 5})
-    assert made and min(made) > 1
+    linear_groups = packing.linear_groups
+    monkeypatch.setattr(packing, "linear_groups", lambda c, n: made.append(copy.deepcopy(linear_groups(c, n))) or linear_groups(c, n))
+    plan = packing.best_plan(dict(counts))
+    for groups in made:
+        sizes = [sum(c for _, c in g) for g in groups]
+        # equal cardinality, but for the last one, and never one piece for itself
+        assert len(set(sizes[:-1])) <= 1 and sum(sizes) / len(sizes) >= 3.9 and max(sizes) >= 4
+        # rounding has an effect: the lengths of a group differ
+        assert sum(len(g) > 1 for g in groups) >= 0.9 * len(groups)
+    total = sum(n * c for n, c in counts.items())
+    assert plan.sequences <= -(-total // 4096) * 1.005 + 1
 
 
 def test_quality(spark, docs, clashing, empty, rows):
@@ -356,6 +365,33 @@ def test_license_passage_with_changed_words(spark):
     assert got[3].n_base == 3 and got[3].labels == "cc-by" and got[3].score == 1
 
 
+def test_license_pairs_must_stand_in_order(spark):
+    passage = next(iter(licenses.PASSAGES)).split()
+    pairs = [f"{a} {b}" for a, b in zip(passage, passage[1:])]
+    texts = [
+        (1, " ".join(reversed(pairs))), (2, " of it ".join(pairs)), (3, " ".join([*pairs[10:], *pairs[:10]])),
+        # in order, with one word put in, one left out and one changed
+        (4, " ".join([*passage[:5], "new", *passage[5:9], *passage[10:15], "other", *passage[16:]])),
+        (5, " ".join([*passage, "and", *passage])),
+        # every second word of the passage is from another template
+        (6, " ".join(w for both in zip(passage, list(licenses.PASSAGES)[1].split()) for w in both)),
+    ]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert [got[i].labels for i in range(1, 7)] == ["", "", "", "", "apache", ""]
+    assert all(got[i].score < 0.5 for i in (1, 2, 3, 6)) and 0.5 < got[4].score < 0.8 and got[5].score == 1
+    assert len(got[5].spans) == 2 and [x["first"] for x in got[5].spans] == [0, len(passage) + 1]
+
+
+def test_license_templates_from_a_table(spark):
+    templates = spark.createDataFrame(
+        [("The Quick, brown fox!", "fox", False), ("all rights", "some", True), ("one", "none", True), ("The Quick, brown fox!", "fox", False)],
+        "text string, label string, exact boolean")
+    texts = [(1, "see the quick brown fox, all rights reserved"), (2, "a fox"), (3, None)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(texts, "doc_id long, text string"), templates=templates).collect()}
+    assert got[1].labels == "fox,reserved,some" and got[1].base_labels == "reserved,some" and got[1].n_base == 2
+    assert got[2].labels == "" == got[3].labels
+
+
 def test_mixing(docs, clashing, empty, rows):
     sizes = Counter()
     for _, t, _, s, _ in rows:
@@ -391,6 +427,77 @@ def test_few_long_documents_meet_their_target():
         assert sum(n * (base + m) for n, m in zip(lengths, more)) == target
 
 
+def test_very_long_documents_are_fitted_in_bounded_memory():
+    import tracemalloc
+
+    lengths, counts = [*range(1, 3001), 10_000_000], [10] * 3000 + [1]
+    total = sum(n * c for n, c in zip(lengths, counts))
+    for budget in (total // 3, 10_000_123, 30_000_000):
+        tracemalloc.start()
+        use = mixing.fit_lengths(lengths, counts, budget)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert all(0 <= u <= c for u, c in zip(use, counts)) and sum(n * u for n, u in zip(lengths, use)) == budget
+        assert peak < 300 << 20
+    # the long one takes part
+    assert mixing.fit_lengths([10_000_000, 7], [1, 1], 10_000_000) == [1, 0]
+
+
+def test_warc_references(spark):
+    import html
+
+    texts = ["&copy; 2024 &middot; A&amp;B &#169;&#xA9;&#XE9; &amp;lt; &unknown; & &; &#; &#x; R&D; caf&eacute;;x", "&hearts;&#128512;&#x1F600;&frac12;",
+             "&quot;&apos;&#39;&lt;b&gt;", "a;b;c", "", "&Alpha;&alpha;&euro;&nbsp;x&#160;y&#xa0;z", "&#0;&#xD800;&#x110000;&#999999999;"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", warc.html_to_text("t").alias("t")).collect()
+    got = {r.i: r.t for r in rows}
+    for i, text in enumerate(texts[:-1]):
+        expected = html.unescape(text).replace("\u00a0", " ").strip()
+        assert got[i] == expected.replace("R&D;", "R&D;"), text
+    assert got[len(texts) - 1] == "\ufffd" * 4
+
+
+def test_warc_source_records(spark):
+    responses = spark.createDataFrame(
+        [(1, "<urn:uuid:1>", "http://x", "2024-01-01T00:00:00Z", "HTTP/1.1 404 Not Found\r\nServer: s", "<p>no</p>"), (2, "<urn:uuid:2>", None, None, None, None)],
+        "source_id long, record_id string, target_uri string, date string, http_headers string, payload string")
+    found = {r.source_id: r for r in warc.source_records(responses).collect()}
+    assert found[1].record_type == "response" and found[1].block == "HTTP/1.1 404 Not Found\r\nServer: s\r\n\r\n<p>no</p>"
+    assert found[2].record_type == "resource" and found[2].block == "" and "WARC-Target-URI" not in found[2].record
+    derived = warc.derive(responses).collect()
+    assert {r.refers_to for r in derived} == {r.record_id for r in found.values()}
+    assert {r.source_id: r.source_digest for r in derived} == {i: r.source_digest for i, r in found.items()}
+    metadata = {r.source_id: r.block for r in derived if r.record_type == "metadata"}
+    assert "source-http-status: HTTP/1.1 404 Not Found\r\nsource-http-header: Server: s\r\n" in metadata[1]
+    assert "http" not in metadata[2]
+    assert warc.source_records(responses).columns == warc.derive(responses).columns
+
+
+def test_quality_scores_against_a_plain_fit(spark):
+    draw = random.Random(12)
+    texts = [(i, _words(i, draw.randint(5, 120)) if i % 3 else " ".join(["spam!!"] * draw.randint(1, 60))) for i in range(240)]
+    labels = [(i, int(i % 3 > 0) if draw.random() < 0.95 else 0) for i in range(240)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in texts], DOCS)
+    given = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality.classify(docs.repartition(7), given).collect()}
+    assert got == pytest.approx(brute.quality(texts, dict(labels)), abs=1e-5)
+
+
+def test_sums_of_many_partitions_are_added_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(quality, "ADDED", 3)
+    draw = np.random.default_rng(1)
+    values = [(int(i % 4), float(i % 2), draw.normal(size=quality.STATISTICS).tolist()) for i in range(200) if i % 4 != 2]
+    rows = spark.createDataFrame(values, "fold int, label double, statistics array<double>").repartition(23)
+    rows = common.cut(rows, "many")
+    assert rows.rdd.getNumPartitions() > 3
+    model = quality.Model(np.zeros(quality.STATISTICS), np.ones(quality.STATISTICS))
+    sums = quality.normal_equations(rows, model)
+    assert sorted(sums) == [0, 1, 3]
+    for fold, (products, target, n) in sums.items():
+        own = [v for v in values if v[0] == fold]
+        z = model.features(np.array([v[2] for v in own]))
+        assert n == len(own) and np.allclose(products, z.T @ z) and np.allclose(target, z.T @ np.array([v[1] for v in own]))
+
+
 def test_warc(spark):
     pages = spark.createDataFrame(
         [(1, "http://x/\r\ny", "<p>a &amp;lt; b</p><script>no</script><!-- no --><br>c  d"), (2, None, None), (3, "u", ""), (3, "u", "")],
@@ -487,6 +594,11 @@ def _plan_parts(counts: dict, capacity: int) -> tuple[int, int]:
     return len(windows), sum(len(p) - 1 for p in parts.values())
 
 
+def test_ids_that_do_not_fit_their_width_are_an_error(spark, docs):
+    with pytest.raises(ValueError, match="width"):
+        id_files.write(docs, common.new_path(spark, "ids"), BYTE, end_id=70_000, width=2)
+
+
 def test_slack_plans():
     draw = random.Random(3)
     for _ in range(300):

@@ -59,10 +59,17 @@ def test_same_result_as_sql(spark, duck, name):
 
 
 def test_repeats(spark, documents):
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in QUERIES["op1_repeat_removal"](spark, FOLDER).collect()}
+    rows = QUERIES["op1_repeat_removal"](spark, FOLDER).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows}
     expected = brute.without_repeats([(t or "").encode() for _, t in documents], 400)
     assert got == {i: e for (i, _), e in zip(documents, expected)}
     assert sum(e[1] for e in expected) > 0
+    texts = dict(documents)
+    for r in rows:
+        # parts of characters at the ends of a run stay in the text
+        size = len(r.kept_text.encode())
+        assert r.n_bytes - r.n_removed <= size <= r.n_bytes - r.n_removed + 6 * r.n_spans
+        assert r.n_removed or r.kept_text == (texts[r.doc_id] or "")
 
 
 def test_near_duplicates(spark, documents):
@@ -72,7 +79,6 @@ def test_near_duplicates(spark, documents):
 
 def _check_packing(rows, texts: Counter):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     expected = Counter()
     total = 0
     for (doc_id, text), n in texts.items():
@@ -115,7 +121,6 @@ def test_quality(spark, duck):
 
 def test_id_files(spark, documents):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     expected, start = {}, 0
     for doc_id, text in documents:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
