@@ -28,8 +28,9 @@ from ledgerline.llm.registry import query
 CAPACITY = 4096
 END_ID = 1
 #: Plans that are made, of which the one with the fewest sequences is used: lengths over
-#: capacity / part are large and are put into so many groups.
-PLANS = ((8, 4096), (4, 64), (8, 64), (8, 128), (8, 512))
+#: capacity / part are large, and so many pieces of them make a group on average.
+PLANS = ((4, 16), (4, 12), (4, 8), (4, 4), (8, 8), (8, 4))
+MOST_GROUPS = 1024
 
 
 def pieces_of(
@@ -135,7 +136,14 @@ def fullest(sizes: list[int], demand: list[int], capacity: int) -> list[int]:
 
 
 def best_plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
-    return min((plan_lengths(counts, capacity, *p) for p in PLANS), key=lambda p: p.sequences)
+    plans = (plan_lengths(counts, capacity, part, groups_of(counts, capacity, part, each)) for part, each in PLANS)
+    return min(plans, key=lambda p: p.sequences)
+
+
+def groups_of(counts: dict[int, int], capacity: int, small_part: int, each: int) -> int:
+    """Groups of ``each`` large pieces or more."""
+    large = sum(c for n, c in counts.items() if capacity // small_part < n < capacity)
+    return max(1, min(MOST_GROUPS, large // each))
 
 
 def plan_lengths(counts: dict[int, int], capacity: int, small_part: int, groups: int) -> Plan:
