@@ -2,9 +2,11 @@
 
 All rolling word pairs of a text are joined to the places of the same pair in the
 templates. Every hit votes for a diagonal, the word of the text at which the template
-would start. A diagonal that has all votes of its template is an exact place; the votes
-of neighbouring diagonals are taken together, so that a passage with a few words put in,
-left out or changed is found as well. Only DataFrame functions are used.
+would start. A diagonal that has all votes of its template is an exact place. The votes of
+a diagonal and those a few words further are taken together, so that a passage with a few
+words put in, left out or changed is found as well. Such a span is verified: only hits
+count that follow one another in the text as they do in the template, so scattered pairs
+or those of a reversed passage are none. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ PASSAGES = {
     "this work is licensed under a creative commons attribution": "creative-commons",
 }
 
+#: Word pairs of templates that are broadcast at most: some ten megabytes.
+BROADCAST = 100_000
 #: Everything but digits, lower-case letters and what is not ASCII parts words.
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -44,6 +48,18 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(text, _UPPER, _UPPER.lower()), WORD_BREAK), "")
 
 
+def _in_order(hits: Column) -> Column:
+    """How many hits (place, at; by place) follow one another in the template and in the
+    text: each counts if it lies behind the last that counted, in both."""
+    none = F.struct(F.lit(-1).alias("place"), F.lit(-1).alias("at"), F.lit(0).alias("n"))
+
+    def count(last: Column, hit: Column) -> Column:
+        behind = (hit["place"] > last["place"]) & (hit["at"] > last["at"])
+        return F.when(behind, F.struct(hit["place"].alias("place"), hit["at"].alias("at"), (last["n"] + 1).alias("n"))).otherwise(last)
+
+    return F.aggregate(hits, none, count, lambda last: last["n"])
+
+
 def _pairs(words: Column) -> Column:
     """Every word with its follower, and at the end an empty pair, which stands for the
     text itself, so that texts without a hit are kept."""
@@ -68,6 +84,18 @@ def template_pairs(spark: SparkSession, phrases: dict[str, str], passages: dict[
     return spark.createDataFrame(rows, schema).withColumn("gram", F.xxhash64("a", "b"))
 
 
+def _pairs_of(templates: DataFrame, first: int) -> DataFrame:
+    """Word pairs of a table of templates, numbered from ``first`` on by their texts."""
+    listed = templates.select(
+        words_of(F.col("text")).alias("words"), "label", F.col("exact").cast("boolean").alias("exact")
+    ).where("size(words) > 1").distinct()
+    numbered = listed.withColumn("template", (F.row_number().over(Window.orderBy("words", "label", "exact")) + first - 1).cast("int"))
+    both = numbered.select("*", F.posexplode(F.slice("words", 1, F.size("words") - 1)).alias("place", "a"))
+    return both.select(
+        "template", "place", (F.size("words") - 1).alias("grams"), "a", F.col("words")[F.col("place") + 1].alias("b"), "label", "exact",
+    ).withColumn("gram", F.xxhash64("a", "b"))
+
+
 def scan(
     docs: DataFrame,
     phrases: dict[str, str] = PHRASES,
@@ -76,18 +104,20 @@ def scan(
     min_share: float = 0.8,
     id_column: str = "doc_id",
     text_column: str = "text",
+    templates: DataFrame | None = None,
 ) -> DataFrame:
     """One row per input row: id, n_words, n_base, first_word, last_word, base_labels,
     labels, score, and spans (label, first and last word, share of the pairs found).
 
     ``phrases`` (two words at least) count only where all words stand one after the
-    other; a passage gives its label where ``min_share`` of its pairs lie on diagonals
-    that are at most ``drift`` words apart. ``score`` is the largest share of any
+    other; a passage gives its label where ``min_share`` of its pairs follow one another
+    on diagonals that all lie within ``drift`` words. ``templates`` (text, label, exact)
+    are used besides; they must hold a word pair each. ``score`` is the largest share of any
     template. A null or empty text has no words, no places, empty labels and score 0;
     rows with the same id are scanned each for itself; the id may be null.
 
-    The templates are a few hundred rows and are broadcast; only hits are shuffled, all
-    of them by the row they come from.
+    Up to ``BROADCAST`` word pairs of templates are broadcast, more are joined as Spark
+    sees fit. Of the texts only hits are shuffled, by the row they come from.
     """
     if any(len(t.split()) < 2 for t in [*phrases, *passages]):
         raise ValueError("a template needs two words at least")
@@ -106,7 +136,11 @@ def scan(
         )
         .select("id", "row", "n_words", "at", "pair.a", "pair.b", F.xxhash64("pair.a", "pair.b").alias("gram"))
     )
-    known = F.broadcast(template_pairs(spark, phrases, passages))
+    known = template_pairs(spark, phrases, passages)
+    if templates is not None:
+        known = known.unionByName(_pairs_of(templates, known.agg(F.max("template")).first()[0] + 1))
+    if templates is None or known.count() <= BROADCAST:
+        known = F.broadcast(known)
     hits = (
         grams.alias("g")
         .join(known.alias("t"), F.expr("g.gram = t.gram AND g.a = t.a AND g.b = t.b"))
@@ -118,21 +152,23 @@ def scan(
     votes = hits.groupBy(*text, "template", "label", "exact", "grams", "diagonal").agg(
         F.collect_set("place").alias("places")
     )
-    before = F.lag("diagonal").over(Window.partitionBy("row", "template").orderBy("diagonal"))
-    # A diagonal that misses a vote for a phrase is no place, so it is never merged.
-    apart = before.isNull() | F.col("exact") | (F.col("diagonal") - before > drift)
-    running = Window.partitionBy("row", "template").orderBy("diagonal").rowsBetween(Window.unboundedPreceding, 0)
+    # A diagonal that misses a vote for a phrase is no place, so it is never merged; the
+    # others are taken with those of at most ``drift`` words more.
+    alone = F.col("exact") | F.col("diagonal").isNull()
+    starts = F.when(alone, F.array("diagonal")).otherwise(F.sequence(F.col("diagonal") - drift, F.col("diagonal")))
     merged = (
-        votes.withColumn("apart", apart.cast("int"))
-        .withColumn("span", F.sum("apart").over(running))
-        .groupBy(*text, "template", "label", "exact", "grams", "span")
+        votes.withColumn("start", F.explode(starts))
+        .groupBy(*text, "template", "label", "exact", "grams", "start")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("found"),
-            F.min(F.col("diagonal") + F.array_min("places")).alias("first"),
-            F.max(F.col("diagonal") + F.array_max("places") + 1).alias("last"),
-            F.min("diagonal").alias("start"),
+            F.array_sort(F.flatten(F.collect_list(F.transform(
+                "places", lambda p: F.struct(p.alias("place"), (F.col("diagonal") + p).alias("at")))))).alias("hits"),
+            F.min("diagonal").alias("least"),
         )
+        .where("template < 0 OR least = start")
+        .withColumn("found", _in_order(F.col("hits")))
         .withColumn("share", F.when(F.col("template") >= 0, F.col("found") / F.col("grams")).otherwise(0.0))
+        .withColumn("first", F.array_min(F.col("hits.at")))
+        .withColumn("last", F.array_max(F.col("hits.at")) + 1)
     )
     base = F.col("exact") & (F.col("found") == F.col("grams"))
     sure = base | (~F.col("exact") & (F.col("template") >= 0) & (F.col("share") >= min_share))
@@ -140,6 +176,10 @@ def scan(
     def joined(condition: Column) -> Column:
         return F.array_join(F.array_sort(F.collect_set(F.when(condition, F.col("label")))), ",")
 
+    # of the diagonals around a place, the one with the largest share is its span
+    near = Window.partitionBy("row", "template").orderBy("start").rangeBetween(-drift, drift)
+    best = F.max(F.struct("share", (-F.col("start")).alias("start"))).over(near)["start"] == -F.col("start")
+    merged = merged.withColumn("best", best)
     span = F.struct("label", "first", "last", "share")
     return merged.groupBy(*text).agg(
         F.sum(base.cast("long")).alias("n_base"),
@@ -148,7 +188,7 @@ def scan(
         joined(base).alias("base_labels"),
         joined(sure).alias("labels"),
         F.max("share").alias("score"),
-        F.array_sort(F.collect_list(F.when(sure, span))).alias("spans"),
+        F.array_sort(F.collect_list(F.when(sure & F.col("best"), span))).alias("spans"),
     ).select(
         F.col("id").alias(id_column), F.col("n_words").cast("long").alias("n_words"), "n_base",
         "first_word", "last_word", "base_labels", "labels", "score", "spans",
@@ -172,11 +212,13 @@ w AS (SELECT doc_id, unnest(words) AS a, unnest(range(len(words))) AS seat FROM
 p AS (SELECT doc_id, seat, a, lead(a) OVER (PARTITION BY doc_id ORDER BY seat) AS b FROM w),
 v AS (SELECT doc_id, template, label, exact, grams, seat - place AS diagonal, list(DISTINCT place) AS places
       FROM p JOIN t USING (a, b) GROUP BY ALL),
-l AS (SELECT *, CASE WHEN NOT exact AND diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= 3
-      THEN 0 ELSE 1 END AS apart FROM v),
-s AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM l),
-m AS (SELECT doc_id, template, label, exact, grams, span, min(diagonal) AS start,
-      len(list_distinct(flatten(list(places)))) AS found FROM s GROUP BY ALL),
+e AS (SELECT * EXCLUDE (places), unnest(CASE WHEN exact THEN [diagonal] ELSE range(diagonal - 3, diagonal + 1) END) AS start,
+      list_transform(places, lambda p: {{'place': p, 'at': diagonal + p, 'n': 0}}) AS hits FROM v),
+c AS (SELECT doc_id, template, label, exact, grams, start,
+      list_prepend({{'place': -1, 'at': -1::BIGINT, 'n': 0}}, list_sort(flatten(list(hits)))) AS hits
+      FROM e GROUP BY ALL HAVING min(diagonal) = start),
+m AS (SELECT *, list_reduce(hits, lambda s, h: CASE WHEN h.place > s.place AND h.at > s.at
+      THEN {{'place': h.place, 'at': h.at, 'n': s.n + 1}} ELSE s END).n AS found FROM c),
 r AS (SELECT *, found / grams AS share, exact AND found = grams AS base,
       (exact AND found = grams) OR (NOT exact AND found / grams >= 0.8) AS sure FROM m),
 g AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
