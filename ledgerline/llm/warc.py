@@ -6,6 +6,8 @@ response it refers to, so a rerun or a retried task makes the same records.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,17 +25,35 @@ _HTML_STEPS = [
      "\n"),
     (r"(?s)<[^>]*>", ""),
 ]
-# The character references that stand for markup, the ampersand last.
-_REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+#: A character reference: decimal, hexadecimal or named.
+_REFERENCE = "&#?[A-Za-z0-9]{1,31};"
+#: Names of characters, as the standard library has them; the no-break space as a blank.
+_NAMED = {n: " " if n == "nbsp" else chr(c) for n, c in sorted(name2codepoint.items())} | {"apos": "'"}
 _SPACE_STEPS = [(r"[ \t\r\f]+", " "), (r" ?\n[ \n]*", "\n"), (r"^[ \n]+|[ \n]+$", "")]
 
 
+def _character(piece: Column) -> Column:
+    """The character a reference stands for; other text, and unknown names, as they are.
+    Numbers of no character give U+FFFD, that of the no-break space a blank."""
+    name = F.substr(piece, F.lit(2), F.length(piece) - 2)
+    decimal = F.when(name.rlike("^#[0-9]{1,9}$"), F.substr(name, F.lit(2)).try_cast("int"))
+    digits = F.when(name.rlike("^#[xX][0-9A-Fa-f]{1,7}$"), F.substr(name, F.lit(3)))
+    code = F.coalesce(decimal, F.conv(digits, 16, 10).try_cast("int"))
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    point = F.when(valid, F.when(code == 0xA0, 0x20).otherwise(code)).otherwise(0xFFFD)
+    numbered = F.when(code.isNotNull(), F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
+    names = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    found = F.coalesce(numbered, F.try_element_at(names, name), piece)
+    return F.when(piece.startswith("&") & piece.endswith(";"), found).otherwise(piece)
+
+
 def html_to_text(html: Column) -> Column:
     """Text of a page: comments, scripts and styles go, blocks become lines."""
     for pattern, instead in _HTML_STEPS:
         html = F.regexp_replace(html, pattern, instead)
-    for reference, character in _REFERENCES:
-        html = F.replace(html, F.lit(reference), F.lit(character))
+    # cut before and behind each reference, so that nothing else changes
+    pieces = F.split(html, f"(?={_REFERENCE})|(?<=;)")
+    html = F.array_join(F.transform(pieces, _character), "")
     for pattern, instead in _SPACE_STEPS:
         html = F.regexp_replace(html, pattern, instead)
     return html
@@ -52,18 +72,42 @@ def _digest(block: Column) -> Column:
 
 
 def responses_from_pages(pages: DataFrame) -> DataFrame:
-    """Response records of a table of pages (page_id, url, html)."""
+    """Response records of a table of pages (page_id, url, html). What such a table lacks,
+    as the date and the headers of a response, they lack too."""
     body = F.coalesce(F.col("html"), F.lit(""))
     return pages.select(
         F.col("page_id").alias("source_id"),
         _uuid(F.lit("response"), F.col("page_id").cast("string"), F.col("url"), F.col("html")).alias("record_id"),
         F.col("url").alias("target_uri"),
-        F.lit(EPOCH).alias("date"),
-        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8").alias("http_headers"),
+        F.lit(None).cast("string").alias("date"),
+        F.lit(None).cast("string").alias("http_headers"),
         body.alias("payload"),
     )
 
 
+def source_records(responses: DataFrame) -> DataFrame:
+    """The responses as records of their own, in the columns of ``derive``, so that what
+    the derived ones refer to can be written next to them. Without HTTP headers a record is
+    a resource, and its block the payload alone."""
+    headers = F.coalesce(F.col("http_headers"), F.lit(""))
+    payload = F.coalesce(F.col("payload"), F.lit(""))
+    block = F.when(headers != "", F.concat(headers, F.lit("\r\n\r\n"), payload)).otherwise(payload)
+    rows = responses.select(
+        "source_id",
+        F.when(headers != "", "response").otherwise("resource").alias("record_type"),
+        "record_id",
+        F.lit(None).cast("string").alias("refers_to"),
+        F.regexp_replace("target_uri", r"[\r\n]+", " ").alias("target_uri"),
+        F.coalesce("date", F.lit(EPOCH)).alias("date"),
+        F.when(headers != "", "application/http; msgtype=response").otherwise("text/html; charset=utf-8").alias("content_type"),
+        F.octet_length(block).cast("long").alias("content_length"),
+        _digest(block).alias("block_digest"),
+        _digest(payload).alias("source_digest"),
+        block.alias("block"),
+    )
+    return rows.withColumn("record", _record())
+
+
 def derive(responses: DataFrame) -> DataFrame:
     """Two rows per response: its metadata and its conversion record.
 
@@ -164,8 +208,15 @@ def _sql() -> str:
     text = "payload"
     for pattern, instead in [*_HTML_STEPS]:
         text = f"regexp_replace({text}, '{pattern}', {quoted(instead)}, 'g')"
-    for reference, character in _REFERENCES:
-        text = f"replace({text}, '{reference}', {quoted(character)})"
+    names = ", ".join(f"'{n}': chr({ord(c)})" for n, c in _NAMED.items())
+    code = """CASE WHEN regexp_full_match(ref, '&#[0-9]{1,9};') THEN try_cast(ref[3:-2] AS BIGINT)
+      WHEN regexp_full_match(ref, '&#[xX][0-9A-Fa-f]{1,7};') THEN ('0x' || ref[4:-2])::BIGINT END"""
+    character = f"""coalesce(list_transform([{code}], lambda c: CASE WHEN c = 160 THEN ' '
+      WHEN c BETWEEN 1 AND 55295 OR c BETWEEN 57344 AND 1114111 THEN chr(c::INT) WHEN c IS NOT NULL THEN chr(65533) END)[1],
+      (MAP {{{names}}})[ref[2:-2]], ref)"""
+    pieces = f"""string_split_regex(t, '{_REFERENCE}')"""
+    text = f"""list_transform([{text}], lambda t: array_to_string(list_transform(list_zip({pieces},
+      list_transform(regexp_extract_all(t, '{_REFERENCE}'), lambda ref: {character})), lambda z: z[1] || coalesce(z[2], '')), ''))[1]"""
     for pattern, instead in _SPACE_STEPS:
         text = f"regexp_replace({text}, '{pattern}', {quoted(instead)}, 'g')"
 
@@ -188,9 +239,7 @@ u AS (
   UNION ALL
   SELECT page_id, 'metadata', metadata_id, response_id, target_uri, 'application/warc-fields', source_digest,
          'source-payload-digest: ' || source_digest || {nl} || 'source-payload-length: ' || strlen(payload) || {nl}
-         || 'conversion-record: ' || conversion_id || {nl} || 'conversion-digest: sha256:' || sha256(text) || {nl}
-         || 'source-http-status: HTTP/1.1 200 OK' || {nl}
-         || 'source-http-header: Content-Type: text/html; charset=utf-8' || {nl} FROM k)
+         || 'conversion-record: ' || conversion_id || {nl} || 'conversion-digest: sha256:' || sha256(text) || {nl} FROM k)
 SELECT page_id, record_type, record_id, refers_to, target_uri, '{EPOCH}' AS date, content_type,
        CAST(strlen(block) AS BIGINT) AS content_length, 'sha256:' || sha256(block) AS block_digest, source_digest, block,
        'WARC/1.1' || {nl} || 'WARC-Type: ' || record_type || {nl} || 'WARC-Record-ID: ' || record_id || {nl}
