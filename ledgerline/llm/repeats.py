@@ -487,4 +487,4 @@ def _kept(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 @query("op1_repeat_removal")
 def op1_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeats(table(spark, sf_dir, "documents")).drop("spans")
+    return without_repeats(table(spark, sf_dir, "documents"), keep_text=True).drop("spans")
