@@ -73,9 +73,13 @@ def write(
     A null or empty text is the end id alone. Null ids come first; rows with the same id
     stand next to each other, ordered by their ids' checksum. Texts are encoded once and
     shuffled once, compressed, into ranges of document ids; a range that one id fills
-    alone stays one task.
+    alone stays one task. ``width``: bytes of an id, 2 or 4; an error if the tokenizer has
+    ids that do not fit.
     """
     spark = docs.sparkSession
+    known = encoder(tokenizer, spaces_dropped).tokenizer.get_vocab(with_added_tokens=True)
+    if max([end_id, *known.values()]) >= 1 << 8 * width:
+        raise ValueError(f"ids of this tokenizer do not fit a width of {width} bytes")
     chosen = docs.select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"), text_or_empty(text_column).alias("text")
     )

@@ -13,7 +13,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +29,8 @@ BINS = 256
 THRESHOLD = 0.7
 #: Rows whose crc32(doc_id) has this remainder modulo ``FOLDS`` are never learnt from.
 FOLDS, HELD_OUT = 4, 2
+#: Sums that one task adds up.
+ADDED = 32
 SEED = 11
 
 _LINES = re.compile(rb"[^\n]+")
@@ -143,9 +144,15 @@ def _matrix(batch: pa.RecordBatch, column: str) -> np.ndarray:
     return np.array(batch.column(column).to_pylist(), dtype=float).reshape(-1, STATISTICS)
 
 
+def _sums(fold: int, part: int, sums: np.ndarray, n: int) -> pa.RecordBatch:
+    columns = [pa.array([fold], pa.int32()), pa.array([part], pa.int32()), pa.array([sums.tobytes()], pa.binary()), pa.array([n], pa.int64())]
+    return pa.record_batch(columns, names=["fold", "part", "sums", "n"])
+
+
 def normal_equations(rows: DataFrame, model: Model) -> dict[int, tuple[np.ndarray, np.ndarray, int]]:
     """By fold: the products of the features with themselves and with the label, and the
-    number of rows. A partition adds up its rows, then some tasks the partitions."""
+    number of rows. A partition adds up its rows, then tasks the sums of ``ADDED`` others,
+    in as many levels as it takes."""
     size = FEATURES + 1
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,23 +173,33 @@ def normal_equations(rows: DataFrame, model: Model) -> dict[int, tuple[np.ndarra
                         own[2] += int(here.sum())
         for f, (products, target, n) in sums.items():
             if n:
-                yield pa.record_batch(
-                    [pa.array([f], pa.int32()), pa.array([part], pa.int32()),
-                     pa.array([np.vstack([products, target]).tobytes()], pa.binary()), pa.array([n], pa.int64())],
-                    names=["fold", "part", "sums", "n"],
-                )
-
-    def total(some: pd.DataFrame) -> pd.DataFrame:
-        some = some.sort_values("part")  # the order of adding up is fixed
-        whole = np.zeros((size + 1) * size)
-        for x in some["sums"]:
-            whole += np.frombuffer(x)
-        return pd.DataFrame({"fold": some["fold"].iloc[:1], "part": some["part"].iloc[:1] % 8, "sums": [whole.tobytes()],
-                             "n": [some["n"].sum()]})
+                yield _sums(f, part, np.vstack([products, target]), n)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # sorted: one sum at a time, in a fixed order
+        key, whole, n = None, np.zeros((size + 1) * size), 0
+        for batch in batches:
+            for group, fold, sums, count in zip(*[batch.column(c).to_pylist() for c in ("group", "fold", "sums", "n")]):
+                if key is not None and key != (fold, group):
+                    yield _sums(*key, whole, n)
+                    whole, n = np.zeros((size + 1) * size), 0
+                key = (fold, group)
+                whole += np.frombuffer(sums)
+                n += count
+        if key is not None:
+            yield _sums(*key, whole, n)
 
     schema = "fold int, part int, sums binary, n long"
     parts = rows.withColumn("part", F.spark_partition_id()).mapInArrow(add_up, schema)
-    added = parts.groupBy("fold", F.pmod("part", F.lit(8))).applyInPandas(total, schema).collect()
+    groups = rows.rdd.getNumPartitions()
+    while groups > 1:
+        # a task adds up the sums of so many others, level by level
+        groups = -(-groups // ADDED)
+        marked = parts.withColumn("group", F.floor(F.col("part") / ADDED).cast("int"))
+        dealt = marked.repartition(groups, "group").sortWithinPartitions("fold", "group", "part")
+        parts = dealt.select("group", "fold", "sums", "n").mapInArrow(total, schema)
+    # at most one row per fold
+    added = parts.collect()
     found: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
     for r in sorted(added, key=lambda r: (r.fold, r.part)):
         sums = np.frombuffer(r.sums).reshape(size + 1, size)
