@@ -26,16 +26,22 @@ from ledgerline.llm.repeats import without_repeats
 #: Words from which on a repeated passage goes.
 PASSAGE_WORDS = 51
 
+#: Rows that Python workers are given at a time, at most; long documents fill memory.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def _stage(build: Stage) -> Stage:
     """A stage keeps no intermediate table of the stages before it: their results have
-    been written when it begins."""
+    been written when it begins. Batches for Python are made smaller for the session, as
+    the stage's result is computed when it is written."""
 
     @wraps(build)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         find_package(spark)
+        spark.conf.set(_BATCH, str(min(BATCH_ROWS, int(spark.conf.get(_BATCH)))))
         with common.stage(spark, docs):
             return build(spark, docs, sf_dir)
 
