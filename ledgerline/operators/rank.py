@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Ranges into which distinct scores are cut; a power of two, for the search among them.
-RANGES = 256
+RANGES = 64
 
 
 def with_dense_rank(df: DataFrame, name: str, score: str, descending: bool = True) -> DataFrame:
@@ -54,8 +54,9 @@ def _places(df: DataFrame, scores: Sequence[str], ranges: int) -> DataFrame:
     each = F.array(*[F.struct(F.lit(i).alias("which"), F.col(f"`{s}`").alias("score")) for i, s in enumerate(scores)])
     distinct = df.select(F.inline(each)).distinct()
     # a row per rank that is asked for
-    steps = [i / ranges for i in range(1, ranges)]
-    borders = distinct.groupBy("which").agg(F.percentile_approx("score", steps, 100 * ranges).alias("borders"))
+    steps = ", ".join(str(i / ranges) for i in range(1, ranges))
+    quantiles = F.expr(f"percentile_approx(score, array({steps}), {100 * ranges})")
+    borders = distinct.groupBy("which").agg(quantiles.alias("borders"))
     ranged = distinct.join(F.broadcast(borders), "which").select(
         "which", "score", _range(F.col("score"), F.col("borders"), ranges).alias("range")
     )
@@ -75,13 +76,13 @@ def _places(df: DataFrame, scores: Sequence[str], ranges: int) -> DataFrame:
 
 def _range(score: Column, borders: Column, ranges: int) -> Column:
     """How many of the ascending borders the score reaches, by halving; NULL is beyond."""
-    halves = [ranges >> k for k in range(1, ranges.bit_length())]
+    halves = ", ".join(str(ranges >> k) for k in range(1, ranges.bit_length()))
 
     def further(at: Column, step: Column) -> Column:
         reached = F.get(borders, at + step - 1) <= score
         return at + F.when(reached, step).otherwise(F.lit(0))
 
-    found = F.aggregate(F.array(*[F.lit(h) for h in halves]), F.lit(0), further)
+    found = F.aggregate(F.expr(f"array({halves})"), F.lit(0), further)
     return F.when(score.isNull(), F.lit(ranges)).otherwise(found)
 
 
