@@ -11,7 +11,7 @@ from ledgerline.catalog.analogue import star, with_ctes
 from ledgerline.catalog.base import Tables, entry
 from ledgerline.catalog.report_checks import PRIORITIES_SQL
 from ledgerline.functions.arithmetic import percent, rounded
-from ledgerline.operators.measures import evaluate
+from ledgerline.operators.measures import evaluate, evaluate_groupings
 from ledgerline.operators.period import date_dimension
 from ledgerline.operators.share import with_group_total
 from ledgerline.plans import reports
@@ -247,6 +247,60 @@ def g6(t: Tables) -> DataFrame:
     return _ratios(evaluate(star(t), names, ["city"]), names[:1])
 
 
+#: What a dashboard shows, from one scan of each fact.
+DASHBOARD = {
+    "overall": ([], ["total_net_circulation", "total_ad_revenue"]),
+    "tier": (["tier"], ["total_ad_revenue"]),
+    "city": (["city"], ["print_return_waste_rate", "total_downloads"]),
+    "city and language": (["city", "language"], ["total_copies_printed", "total_net_circulation"]),
+    "category": (["standard_ad_category"], ["total_ad_revenue"]),
+    "year": (["year"], ["total_ad_revenue", "total_net_circulation"]),
+}
+
+
+@entry(
+    "g9_dashboard_groupings",
+    with_ctes(
+        f"""SELECT * FROM (WITH
+            net AS (SELECT *, year(month)::BIGINT AS year FROM print_sales LEFT JOIN dim_city USING (city_id)),
+            ads AS (SELECT *, {_YEAR} AS year FROM ad_revenue LEFT JOIN dim_city USING (city_id)),
+            by_name AS (
+              SELECT 'overall' AS grouped_by, sum(net_circulation)::BIGINT AS total_net_circulation,
+                     (SELECT sum(ad_revenue_in_inr)::DOUBLE FROM ads) AS total_ad_revenue FROM net
+              UNION ALL BY NAME
+              SELECT 'tier' AS grouped_by, tier, sum(ad_revenue_in_inr)::DOUBLE AS total_ad_revenue
+              FROM ads WHERE city IS NOT NULL GROUP BY tier
+              UNION ALL BY NAME
+              SELECT 'city' AS grouped_by, city, coalesce(rate, 0.0) AS print_return_waste_rate, total_downloads
+              FROM (SELECT city, round(sum(copies_returned) / sum(copies_printed), 4) AS rate
+                    FROM net WHERE city IS NOT NULL GROUP BY city)
+              FULL JOIN (SELECT city, sum(downloads_or_accesses)::BIGINT AS total_downloads
+                         FROM pilot JOIN dim_city USING (city_id) GROUP BY city) USING (city)
+              UNION ALL BY NAME
+              SELECT 'city and language' AS grouped_by, city, language, sum(copies_printed)::BIGINT AS total_copies_printed,
+                     sum(net_circulation)::BIGINT AS total_net_circulation
+              FROM net WHERE city IS NOT NULL GROUP BY city, language
+              UNION ALL BY NAME
+              SELECT 'category' AS grouped_by, standard_ad_category, sum(ad_revenue_in_inr)::DOUBLE AS total_ad_revenue
+              FROM ad_revenue JOIN dim_ad_category USING (ad_category_id) GROUP BY standard_ad_category
+              UNION ALL BY NAME
+              SELECT 'year' AS grouped_by, year, total_ad_revenue, total_net_circulation
+              FROM (SELECT year, sum(ad_revenue_in_inr)::DOUBLE AS total_ad_revenue FROM ads GROUP BY year)
+              FULL JOIN (SELECT year, sum(net_circulation)::BIGINT AS total_net_circulation FROM net GROUP BY year)
+                   USING (year))
+            SELECT * FROM by_name)""",
+        "print_sales",
+        "ad_revenue",
+        "pilot",
+        "dim_city",
+        "dim_ad_category",
+    ),
+)
+def g9(t: Tables) -> DataFrame:
+    name = "print_return_waste_rate"
+    return _ratios(evaluate_groupings(star(t), DASHBOARD), [name])
+
+
 @entry("g7_relaunch_scorecard", PRIORITIES_SQL)
 def g7(t: Tables) -> DataFrame:
     return reports.relaunch_priorities(star(t))

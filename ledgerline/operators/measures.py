@@ -129,6 +129,88 @@ def evaluate(
     return combined.select(*by, *[m.result.alias(n) for n, m in measures.items()])
 
 
+Groupings = Mapping[str, tuple[Sequence[str], Sequence[str]]]
+
+
+def evaluate_groupings(
+    star, groupings: Groupings, registry: Mapping[str, Callable[[], Measure]] = MEASURES
+) -> DataFrame:
+    """Several groupings at once: name -> (columns to group by, measures).
+
+    One row per group: ``grouped_by`` (the name), all columns (NULL where a grouping lacks
+    them) and all measures (NULL where it does not ask for them), each as :func:`evaluate`
+    has it. Each fact is scanned once and summed by all columns that are asked of it; the
+    groupings are made of these sums, which are put under one another once per grouping.
+    """
+    asked = {m for _, names in groupings.values() for m in names}
+    measures = {m: registry[m]() for m in sorted(asked)}
+    facts = dict.fromkeys(f for m in measures.values() for f, _ in m.parts.values())
+    stacked = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [_fact_groupings(star, fact, groupings, measures) for fact in facts],
+    )
+    columns = list(dict.fromkeys(c for by, _ in groupings.values() for c in by))
+    parts = [p for p in stacked.columns if p != "grouped_by" and p not in columns]
+    combined = stacked.groupBy("grouped_by", *columns).agg(*[F.sum(p).alias(p) for p in parts])
+
+    def shown(name: str) -> Column:
+        where = [g for g, (_, names) in groupings.items() if name in names]
+        return F.when(F.col("grouped_by").isin(*where), measures[name].result).alias(name)
+
+    return combined.select("grouped_by", *columns, *[shown(m) for m in measures])
+
+
+def _fact_groupings(
+    star, fact: str, groupings: Groupings, measures: Mapping[str, Measure]
+) -> DataFrame:
+    """grouped_by, columns and sums of the groupings that ask for something of the fact."""
+    parts = {p: c for m in measures.values() for p, (f, c) in m.parts.items() if f == fact}
+    own = _own_groupings(fact)
+    wanted = {
+        g: list(by) for g, (by, names) in groupings.items()
+        if any(f == fact for n in names for f, _ in measures[n].parts.values())
+    }
+    keys: dict[str, Column] = {}
+    dims: dict[str, tuple[DataFrame, list[str]]] = {}
+    needs: dict[str, list[str]] = {g: [] for g in wanted}
+    for g, by in wanted.items():
+        for b in by:
+            if b in own:
+                keys[b] = own[b]
+                continue
+            if b in _CITY_COLUMNS:
+                key, dim = "city_id", star.dim_city
+            elif b in _CATEGORY_COLUMNS and fact in (ADS, PILOT):
+                key, dim = "ad_category_id", star.dim_ad_category
+            else:
+                raise ValueError(f"{fact} cannot be grouped by {b}")
+            keys[key] = F.col(key)
+            if b != key:
+                found = dims.setdefault(key, (dim, []))[1]
+                if b not in found:
+                    found.append(b)
+                needs[g].append(key)
+    rows = getattr(star, fact).select(
+        *[c.alias(k) for k, c in keys.items()], *[c.alias(p) for p, c in parts.items()]
+    )
+    sums = rows.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in parts])
+    for key, (dim, columns) in dims.items():
+        # a grouping by a dimension leaves out what the dimension lacks, others do not
+        sums = sums.join(dim.select(key, *columns, F.lit(True).alias(f"_in_{key}")), key, "left")
+    columns = list(dict.fromkeys(b for by in wanted.values() for b in by))
+
+    def one(g: str) -> Column:
+        known = reduce(lambda a, b: a & b, [F.col(f"_in_{k}").isNotNull() for k in needs[g]], F.lit(True))
+        values = [
+            (F.col(c) if c in wanted[g] else F.lit(None).cast(sums.schema[c].dataType)).alias(c) for c in columns
+        ]
+        return F.when(known, F.struct(F.lit(g).alias("grouped_by"), *values))
+
+    each = F.explode(F.array_compact(F.array(*[one(g) for g in wanted]))).alias("_g")
+    expanded = sums.select(each, *parts).select("_g.*", *parts)
+    return expanded.groupBy("grouped_by", *columns).agg(*[F.sum(p).alias(p) for p in parts])
+
+
 def _fact_sums(star, fact: str, by: Sequence[str], parts: Mapping[str, Column]) -> DataFrame:
     rows: DataFrame = getattr(star, fact)
     own = _own_groupings(fact)

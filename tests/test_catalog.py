@@ -72,3 +72,32 @@ def test_scan_reads_only_needed_columns(spark):
 
 def test_reports_do_not_carry_comments(spark):
     assert "listagg" not in _plan(spark, "br2_category_concentration")
+
+
+# Column and whether it descends; NULL counts as the greatest.
+ROW_ORDER = {
+    "t1_sort": [("year", False), ("amount", True), ("c_nationkey", False)],
+    "br2_category_concentration": [("year", False), ("pct_of_year_total", True), ("category_name", False)],
+    "br6_readiness_engagement_outlier": [("readiness_rank_desc", False), ("engagement_rank_asc", False), ("city_name", False)],
+    "br5_multi_year_decline": [("city_name", False), ("year", False)],
+    "q1_circulation_trend": [("year", False)],
+    "q3_print_waste": [("city_name", False), ("year", False)],
+    "q4_revenue_by_category": [("year", False), ("total_ad_revenue", True), ("category_name", False)],
+    "q6_readiness_vs_pilot": [("readiness_score", True), ("engagement_rate", False), ("city_name", False)],
+    "q7_revenue_per_copy": [("city_name", False), ("year", False)],
+    "q8_relaunch_priorities": [("priority_score", True), ("city_name", False)],
+}
+
+
+@pytest.mark.parametrize("key", ROW_ORDER)
+def test_rows_come_in_their_order(spark, key):
+    rows = ENTRIES[key](spark, FOLDER).collect()
+
+    def behind(a, b):
+        for column, descending in ROW_ORDER[key]:
+            x, y = ((r[column] is None, r[column] if r[column] is not None else 0) for r in (a, b))
+            if x != y:
+                return (x > y) != descending
+        return False
+
+    assert len(rows) > 1 and not any(behind(a, b) for a, b in zip(rows, rows[1:]))

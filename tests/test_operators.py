@@ -9,6 +9,7 @@ import io
 import random
 import re
 from collections import defaultdict
+from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
@@ -463,3 +464,39 @@ def test_ordered_export_is_one_file_in_parts(spark, tmp_path):
     assert list(csv.reader(io.StringIO(text))) == list(csv.reader(io.StringIO(whole.getvalue())))
     hashes = {r.part: (r.bytes, r.sha256) for r in part_hashes(spark, str(folder)).collect()}
     assert hashes == {p.name: (p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in parts[1:]}
+
+
+def test_groupings_of_one_scan_equal_those_of_their_own(spark, tmp_path):
+    draw = random.Random(3)
+    cities, categories = [f"C{i}" for i in range(6)], ["A1", "A2", "A9"]
+    ads = [(draw.choice(cities), draw.choice(categories), f"20{draw.randint(19, 21)}-Q{draw.randint(1, 4)}", draw.randint(1, 9)) for _ in range(300)]
+    prints = [(draw.choice([*cities, None]), draw.choice(["x", None]), dt.date(draw.randint(2019, 2021), 1, 1), draw.randint(5, 9), 1, 4) for _ in range(300)]
+    given = {
+        "ad_revenue": (ads, "city_id STRING, ad_category_id STRING, quarter STRING, ad_revenue_in_inr DECIMAL(18,4)"),
+        "print_sales": (prints, "city_id STRING, language STRING, month DATE, copies_printed INT, copies_returned INT, net_circulation INT"),
+        "dim_city": ([(c, c.lower(), "s", f"t{i % 2}") for i, c in enumerate(cities[:5])], "city_id STRING, city STRING, state STRING, tier STRING"),
+        "dim_ad_category": ([("A1", "one", "g"), ("A2", "two", "g")], "ad_category_id STRING, standard_ad_category STRING, category_group STRING"),
+    }
+    star = SimpleNamespace()
+    for name, (rows, ddl) in given.items():
+        rows = [(*r[:3], Decimal(r[3])) for r in rows] if name == "ad_revenue" else rows
+        spark.createDataFrame(rows, ddl).write.parquet(str(tmp_path / name))
+        setattr(star, name, spark.read.parquet(str(tmp_path / name)))
+    groupings = {
+        "all": ([], ["total_ad_revenue", "total_net_circulation"]),
+        "tier": (["tier"], ["total_ad_revenue", "ad_revenue_per_circulated_copy"]),
+        "where": (["city", "language"], ["total_copies_printed", "print_efficiency"]),
+        "id": (["city_id"], ["total_copies_printed", "total_ad_revenue"]),
+        "what": (["year", "category_group", "standard_ad_category"], ["total_ad_revenue"]),
+        "when": (["quarter"], ["total_ad_revenue", "total_net_circulation"]),
+    }
+    together = measures.evaluate_groupings(star, groupings)
+    plan = together._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"FileScan parquet|Scan parquet", plan)) <= 5  # two facts, dimensions of each
+    for name, (by, names) in groupings.items():
+        alone = measures.evaluate(star, names, by)
+        found = together.where(F.col("grouped_by") == name).select(*by, *names)
+        key = lambda r: [str(x) for x in r]
+        assert sorted(map(tuple, found.collect()), key=key) == sorted(map(tuple, alone.collect()), key=key), name
+    with pytest.raises(ValueError, match="cannot be grouped"):
+        measures.evaluate_groupings(star, {"x": (["ad_category_id"], ["total_net_circulation"])})
