@@ -33,11 +33,15 @@ def build_session(app_name: str = "ledgerline", **settings: str) -> SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """A folder every executor can reach: the one in ``spark.checkpoint.dir``, else the
-    session's own warehouse."""
+    session's own warehouse, unless that is on the driver's machine and others work too."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and folder.startswith(("file:", "/")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return folder.rstrip("/")
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
