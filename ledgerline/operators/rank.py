@@ -7,8 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.session import written_once
+
 #: Ranges into which distinct scores are cut; a power of two, for the search among them.
 RANGES = 64
+#: Rows that one task orders at most; more are ranked by ranges.
+IN_ONE_TASK = 1 << 16
 
 
 def with_dense_rank(df: DataFrame, name: str, score: str, descending: bool = True) -> DataFrame:
@@ -17,27 +21,36 @@ def with_dense_rank(df: DataFrame, name: str, score: str, descending: bool = Tru
 
 
 def with_dense_ranks(
-    df: DataFrame, ranks: Mapping[str, tuple[str, bool]], ranges: int = RANGES
+    df: DataFrame, ranks: Mapping[str, tuple[str, bool]], ranges: int = RANGES, in_one_task: int = IN_ONE_TASK
 ) -> DataFrame:
     """Add a DENSE_RANK over all rows for each name: (score, descending).
 
     NULL counts as the greatest score: it ranks first if descending, else last. Scores are
     numbers, dates or times.
 
-    Neither one task nor one value holds all scores. The distinct scores of all ranks are
-    found in one pass, approximate quantiles of them cut them into ranges, a task numbers
-    those of a range, and a row per range tells how many lie below it. Rows find the rank
-    of their score by a join, which adaptive execution broadcasts where there are few
-    scores and splits where many rows share one.
+    The rows, as a rule one per member of a dimension, are computed and written once and
+    counted. Up to ``in_one_task`` of them are ordered by one task; otherwise neither one
+    task nor one value holds all scores. Then the distinct scores of all ranks are found in
+    one pass, approximate quantiles of them cut them into ranges, a task numbers those of a
+    range, and a row per range tells how many lie below it. Rows find the rank of their
+    score by a join, which adaptive execution broadcasts where there are few scores and
+    splits where many rows share one.
     """
     if ranges & (ranges - 1) or ranges < 2:
         raise ValueError(f"ranges must be a power of two, not {ranges}")
+    rows, count = written_once(df, "ranked")
+    if count <= in_one_task:
+        places = {
+            name: F.dense_rank().over(Window.orderBy(F.desc_nulls_first(score) if descending else F.asc_nulls_last(score)))
+            for name, (score, descending) in ranks.items()
+        }
+        return rows.withColumns(places)
     kinds: dict[str, list[str]] = {}
     for name, (score, _) in ranks.items():
-        kinds.setdefault(df.schema[score].dataType.simpleString(), []).append(name)
-    ranked = df
+        kinds.setdefault(rows.schema[score].dataType.simpleString(), []).append(name)
+    ranked = rows
     for number, names in enumerate(kinds.values()):
-        places = _places(df, [ranks[n][0] for n in names], ranges)
+        places = _places(rows, [ranks[n][0] for n in names], ranges)
         for which, name in enumerate(names):
             score, descending = ranks[name]
             found = f"_found{number}_{which}"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Set unless the session was started with something else.
 DEFAULTS = {
@@ -46,3 +48,31 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+#: Intermediate tables by the application that made them.
+_MADE: dict[str, list[str]] = {}
+
+
+def written_once(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The rows, written to the shared folder and read back, and how many there are: what
+    follows neither computes them again nor depends on the executors that did. The table
+    goes when the driver ends."""
+    spark = df.sparkSession
+    path = new_shared_path(spark, name)
+    made = _MADE.setdefault(spark.sparkContext.applicationId, [])
+    if not made:
+        atexit.register(_remove, spark)
+    made.append(path)
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), counted.get["rows"]
+
+
+def _remove(spark: SparkSession) -> None:
+    context = spark.sparkContext
+    if context._jsc is None:  # stopped
+        return
+    for path in _MADE.pop(context.applicationId, []):
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)

@@ -393,8 +393,8 @@ def test_ranks_over_ranges_of_scores(spark):
     scores = [None, 0.5, *(draw.uniform(-9, 9) for _ in range(300)), *[0.25] * 150]
     df = spark.createDataFrame([(i, s, None if s is None else i % 40) for i, s in enumerate(scores)], "k INT, s DOUBLE, n INT")
     asked = {"down": ("s", True), "up": ("s", False), "few": ("n", True), "many": ("n", False)}
-    for ranges in (2, 64):
-        rows = rank.with_dense_ranks(df, asked, ranges).collect()
+    for ranges, small in ((2, 0), (64, 0), (64, 1 << 16)):
+        rows = rank.with_dense_ranks(df, asked, ranges, small).collect()
         assert len(rows) == len(scores)
         for name, (score, descending) in asked.items():
             value = lambda r: float("inf") if r[score] is None else r[score]
@@ -407,10 +407,13 @@ def test_ranks_over_ranges_of_scores(spark):
 
 def test_ranks_gather_scores_in_no_value_and_no_task(spark):
     df = spark.range(1000).select("id", (F.col("id") % 997).alias("s"))
-    plan = rank.with_dense_rank(df, "p", "s")._jdf.queryExecution().optimizedPlan().toString()
+    plan = rank.with_dense_ranks(df, {"p": ("s", True)}, in_one_task=999)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_set" not in plan and "collect_list" not in plan and "array_position" not in plan
     # every window is over a range, or over the rows that ranges have
-    assert "windowspecdefinition(s" not in plan.replace("#", "")
+    partitions = re.findall(r"windowspecdefinition\(([a-z]+)#\d+, ([a-z]+)?", plan)
+    assert partitions and all(first == "which" for first, _ in partitions)
+    few = rank.with_dense_ranks(df, {"p": ("s", True)}, in_one_task=1000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in few
 
 
 def test_fan_out_rows_of_hot_keys(spark):
