@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import struct
 from collections.abc import Callable, Iterator
@@ -78,7 +79,7 @@ class Encoder:
     a text with one is encoded whole. Otherwise they are ordinary text.
     """
 
-    def __init__(self, path: str, spaces_dropped: bool, special: bool = False) -> None:
+    def __init__(self, path: str, spaces_dropped: bool, special: bool = False, words: int = MAX_WORDS) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -93,7 +94,7 @@ class Encoder:
         self.before = "" if spaces_dropped else " "
         self.model = self.tokenizer.model
         self.line_end = self._plain("\n")
-        self.words = _Kept(self._word, MAX_WORDS)
+        self.words = _Kept(self._word, words)
         self.openings = _Kept(self._opening, MAX_OTHERS)
         self.runs = _Kept(self._run, MAX_OTHERS)
         self.tails = _Kept(self._plain, MAX_OTHERS)
@@ -168,9 +169,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, spaces_dropped: bool) -> Encoder:
+def encoder(path: str, spaces_dropped: bool, words: int = MAX_WORDS) -> Encoder:
     """One per Python worker, whichever tasks it runs."""
-    return Encoder(path, spaces_dropped, special=True)
+    return Encoder(path, spaces_dropped, special=True, words=words)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[list[tuple]]:
@@ -179,5 +180,25 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[list[
         for start in range(0, batch.num_rows, rows):
             part = batch.slice(start, rows)
             yield list(zip(*[c.to_pylist() for c in part.columns]))
+    give_back()
+
+
+def give_back() -> None:
+    """At the end of a task, return what it no longer uses to the operating system: a
+    Python worker lives on and may be idle while other tasks need the memory."""
+    pa.default_memory_pool().release_unused()
+    trim = _libc().get("malloc_trim")
+    if trim is not None:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def _libc() -> dict:
+    """The functions of the C library by name, as far as it has them."""
+    try:
+        library = ctypes.CDLL(None)
+        return {"malloc_trim": library.malloc_trim}
+    except (OSError, AttributeError):
+        return {}
 
 

@@ -32,6 +32,8 @@ KNAPSACK = 1 << 15
 SUMS_BYTES = 1 << 26
 #: Largest budget that the knapsack closes at all: its table takes four bytes a word.
 MOST_SUMS = 1 << 25
+#: Budget from which on the longest documents are offered first.
+LARGE = 1 << 22
 #: Documents of one source and length that are ordered in one group.
 BUCKET = 256
 
@@ -114,13 +116,14 @@ def subset_sum(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     """Counts whose sum is as near below ``budget`` as can be. Reachable sums are the bits
     of a number; a length is offered in powers of two, so that any count can be made. Of
     each sum only the step is kept that reached it first: what is left without that step
-    was reachable before it."""
+    was reachable before it. Short lengths come first, which takes more documents; where
+    the budget is large, long ones, which reach it in fewer steps."""
     unit = math.gcd(*lengths) or 1
     lengths, budget = [n // unit for n in lengths], budget // unit
     first = np.zeros(budget + 1, dtype=np.int32)
     mask = (1 << (budget + 1)) - 1
     sums, steps = 1, []
-    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+    for i in sorted(range(len(lengths)), key=lambda i: lengths[i], reverse=budget > LARGE):
         free, k = min(counts[i], budget // lengths[i]), 1
         while free > 0 and not sums >> budget & 1:
             k = min(k, free)

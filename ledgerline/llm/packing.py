@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.llm.common import cut, table, text_or_empty
-from ledgerline.llm.encoding import encoder, slices
+from ledgerline.llm.encoding import MAX_WORDS, encoder, slices
 from ledgerline.llm.registry import query
 
 CAPACITY = 4096
@@ -35,13 +35,13 @@ MOST_GROUPS = 1024
 
 def pieces_of(
     docs: DataFrame, tokenizer: str, spaces_dropped: bool, end_id: int = END_ID, capacity: int = CAPACITY,
-    keep_ids: bool = False,
+    keep_ids: bool = False, words: int = MAX_WORDS,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids): texts as ids with the end id,
     cut after every ``capacity`` ids."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text = encoder(tokenizer, spaces_dropped).encode
+        encode_text = encoder(tokenizer, spaces_dropped, words).encode
         end = end_id.to_bytes(4, "little")
         for rows in slices(batches):
             out = []
@@ -215,17 +215,18 @@ def _substitute(plan: Plan, group: list[list[int]], run: tuple[int, int, int]) -
 
 def pack(
     docs: DataFrame, tokenizer: str, spaces_dropped: bool = True, end_id: int = END_ID, capacity: int = CAPACITY,
-    keep_ids: bool = False,
+    keep_ids: bool = False, words: int = MAX_WORDS,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset
     (and ids, little-endian unsigned 32-bit).
 
     A null or empty text is the end id alone; only texts of more than ``capacity`` ids
     are cut. Rows with the same or a null id are packed each for itself. An empty table
-    gives no rows. Texts are encoded once; what is shuffled is one narrow row per piece,
+    gives no rows. ``words``: how many a Python worker remembers the ids of, which costs
+    about 200 bytes each. Texts are encoded once; what is shuffled is one narrow row per piece,
     by its length and a bucket of its id, so that a frequent length meets in no task.
     """
-    pieces = cut(pieces_of(docs, tokenizer, spaces_dropped, end_id, capacity, keep_ids), "pieces")
+    pieces = cut(pieces_of(docs, tokenizer, spaces_dropped, end_id, capacity, keep_ids, words), "pieces")
     # at most ``capacity`` rows
     counts = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = best_plan(counts, capacity)

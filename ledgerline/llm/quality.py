@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import cut, table, text_or_empty
-from ledgerline.llm.encoding import slices
+from ledgerline.llm.encoding import give_back, slices
 from ledgerline.llm.registry import query
 
 FEATURES = 384
@@ -303,6 +303,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
                 some = batch.slice(at, 256)
                 values = np.stack([statistics(t or "") for t in some.column("text").to_pylist()])
                 yield some.filter(pa.array(model.score(values) >= threshold))
+        give_back()
 
     return docs.mapInArrow(keep, docs.schema)
 

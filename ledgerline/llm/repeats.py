@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import cut, made_table, new_path, table, text_or_empty
-from ledgerline.llm.encoding import slices
+from ledgerline.llm.encoding import give_back, slices
 from ledgerline.llm.registry import query
 
 LENGTH = 400
@@ -176,6 +176,7 @@ def _anchored(docs: DataFrame, carry: list[str], length: int, gram: int, keep: b
                 columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
                 kept = [part.column(c) for c in ["__row", *carried]]
                 yield pa.record_batch([*kept, *columns], names=["__row", *carried, *names_])
+        give_back()
 
     names_ = ["__size", "__sha", "__packed", "__place", "__name", "__around"]
     longs = pa.list_(pa.int64())
@@ -467,6 +468,7 @@ def without_repeats(
                 columns = [pa.array(c, t) for c, t in zip(zip(*out), types)][: 6 if keep_text else 5]
                 kept = [part.column(c) for c in carried]
                 yield pa.record_batch([*kept, *columns], names=[*carried, *names])
+        give_back()
 
     own = ["__size", "__sha", "__packed", "__spans"]
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept_text"][: 6 if keep_text else 5]
