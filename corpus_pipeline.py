@@ -28,6 +28,8 @@ PASSAGE_WORDS = 51
 
 #: Rows that Python workers are given at a time, at most; long documents fill memory.
 BATCH_ROWS = 1000
+#: Words whose ids the packing remembers, in a worker that earlier stages have filled.
+WORDS = 200_000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -98,7 +100,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece, with its place in a sequence of at most 4096 ids."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), words=WORDS)
 
 
 STAGES = [
