@@ -20,8 +20,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, table, text_or_empty
-from ledgerline.llm.encoding import slices
+from ledgerline.llm.common import bucketed, cut, table, text_or_empty
+from ledgerline.llm.encoding import give_back, slices
 from ledgerline.llm.graph import components
 from ledgerline.llm.registry import query
 
@@ -99,31 +99,37 @@ def min_max_bands(shingles: np.ndarray, factors: np.ndarray, masks: np.ndarray,
     return names
 
 
-def signatures(docs: DataFrame, shingle: int, rows: int, bands: int) -> DataFrame:
+def signatures(docs: DataFrame, shingle: int, rows: int, bands: int, carry: tuple[str, ...] = ()) -> DataFrame:
     """row, doc_id, n_shingles, set_key (equal for equal sets, null for empty ones),
-    bands, and the text, compressed."""
+    bands, the text, compressed, and the carried columns as __c0, __c1 and so on."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, masks = _permutations(rows * bands // 2)
         compressor = zstandard.ZstdCompressor(level=1)
-        for part in slices(batches):
-            out = []
-            for row, doc_id, text in part:
-                found = shingle_set(text, shingle)
-                n = len(found)
-                key = xxhash.xxh3_128_digest(found.tobytes()) if n else None
-                names = min_max_bands(found, factors, masks, rows).view(np.int64) if n else None
-                out.append((row, doc_id, n, key, names, compressor.compress(text.encode("utf-8", "surrogatepass"))))
-            columns = list(zip(*out))
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=names_)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                out = []
+                for row, doc_id, text in zip(*[part.column(c).to_pylist() for c in ("row", "doc_id", "text")]):
+                    found = shingle_set(text, shingle)
+                    n = len(found)
+                    key = xxhash.xxh3_128_digest(found.tobytes()) if n else None
+                    names = min_max_bands(found, factors, masks, rows).view(np.int64) if n else None
+                    out.append((row, doc_id, n, key, names, compressor.compress(text.encode("utf-8", "surrogatepass"))))
+                columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
+                yield pa.record_batch([*columns, *[part.column(c) for c in carried]], names=[*names_, *carried])
+        give_back()
 
     names_ = ["row", "doc_id", "n_shingles", "set_key", "bands", "packed"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
-    return docs.select(
+    carried = [f"__c{i}" for i in range(len(carry))]
+    chosen = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-        text_or_empty().alias("text"),
-    ).mapInArrow(
-        sign, "row long, doc_id long, n_shingles long, set_key binary, bands array<long>, packed binary"
+        text_or_empty().alias("text"), *[F.col(f"`{c}`").alias(n) for c, n in zip(carry, carried)],
+    )
+    schema = "row long, doc_id long, n_shingles long, set_key binary, bands array<long>, packed binary"
+    return chosen.mapInArrow(
+        sign, schema + "".join(f", {n} {chosen.schema[n].dataType.simpleString()}" for n in carried)
     )
 
 
@@ -250,6 +256,30 @@ def links_of(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return cut(links.union(more), "all_links")
 
 
+def _grouped(signed: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """A row per distinct set of the signed rows: set_key, smallest (id), first (row of the
+    smallest id) and root, which is one for sets that links connect."""
+    classes = cut(
+        signed.where("n_shingles > 0").groupBy("set_key").agg(
+            F.min("row").alias("node"), F.min("doc_id").alias("smallest"),
+            F.min(F.struct("doc_id", "row")).alias("first")),
+        "classes",
+    )
+    nodes = signed.select("row", "n_shingles", "bands").join(classes.select("node"), F.col("row") == F.col("node"))
+    banded = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("name"))
+    shared = banded.groupBy("name").agg(F.count("*").alias("members")).where("members > 1").select("name")
+    buckets = cut(banded.join(cut(shared, "shared"), "name"), "buckets")
+    members = cut(buckets.select(F.col("node").alias("row")).distinct(), "members")
+    texts = signed.select("row", "bands", "packed").join(members, "row").select(F.col("row").alias("node"), "bands", "packed")
+    sets = cut(_sets(texts, shingle), "sets")
+    roots = components(links_of(buckets, sets, percent)).withColumnRenamed("node", "of")
+    return cut(
+        classes.join(roots, classes["node"] == roots["of"], "left")
+        .select("set_key", "smallest", "first", F.coalesce("root", "node").alias("root")),
+        "grouped",
+    )
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 5, percent: int = 80, rows: int = ROWS, bands: int = BANDS
 ) -> DataFrame:
@@ -265,24 +295,7 @@ def near_duplicates(
     sets that share a bucket, and the sets of compared pairs.
     """
     signed = cut(signatures(docs, shingle, rows, bands), "signatures")
-    classes = cut(
-        signed.where("n_shingles > 0").groupBy("set_key").agg(
-            F.min("row").alias("node"), F.min("doc_id").alias("smallest")),
-        "classes",
-    )
-    nodes = signed.select("set_key", "row", "n_shingles", "bands").join(classes, "set_key").where("row = node")
-    banded = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("name"))
-    shared = banded.groupBy("name").agg(F.count("*").alias("members")).where("members > 1").select("name")
-    buckets = cut(banded.join(cut(shared, "shared"), "name"), "buckets")
-    members = cut(buckets.select(F.col("node").alias("row")).distinct(), "members")
-    texts = signed.select("row", "bands", "packed").join(members, "row").select(F.col("row").alias("node"), "bands", "packed")
-    sets = cut(_sets(texts, shingle), "sets")
-    roots = components(links_of(buckets, sets, percent)).withColumnRenamed("node", "of")
-    grouped = cut(
-        classes.join(roots, classes["node"] == roots["of"], "left")
-        .select("set_key", "smallest", F.coalesce("root", "node").alias("root")),
-        "grouped",
-    )
+    grouped = _grouped(signed, shingle, percent)
     ids = cut(grouped.groupBy("root").agg(F.min("smallest").alias("component_id")), "ids")
     named = cut(grouped.join(ids, "root").select("set_key", "component_id"), "named")
     return (
@@ -293,6 +306,41 @@ def near_duplicates(
     )
 
 
+def first_documents(
+    docs: DataFrame, shingle: int = 5, percent: int = 80, rows: int = ROWS, bands: int = BANDS
+) -> DataFrame:
+    """The rows of ``docs`` as they are, of near-duplicates only the one with the smallest
+    id; of equal ids one. Rows whose text has no words all stay.
+
+    The texts are moved once, compressed, and written dealt by row: they are neither moved
+    to be compared nor to be chosen.
+    """
+    others = [c for c in docs.columns if c != "text"]
+    null = F.col("text").isNull()
+    named = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"__in{i}") for i, c in enumerate(others)], null.alias("__null"))
+    carry = (*[f"__in{i}" for i in range(len(others))], "__null")
+    signed = bucketed(signatures(named, shingle, rows, bands, carry), "row")
+    groups = _grouped(signed, shingle, percent).groupBy("root").agg(F.min("first").alias("first"))
+    chosen = groups.select("first.row").union(signed.where("n_shingles = 0").select("row"))
+    carried = [f"__c{i}" for i in range(len(carry))]
+    kept = signed.select("row", "packed", *carried).join(cut(chosen, "first"), "row", "left_semi")
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decompressor = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                both = zip(part.column("packed").to_pylist(), part.column(carried[-1]).to_pylist())
+                texts = [None if is_null else decompressor.decompress(packed) for packed, is_null in both]
+                columns = [part.column(c) for c in carried[:-1]]
+                yield pa.record_batch([*columns, pa.array(texts, pa.string())], names=[*carried[:-1], "text"])
+        give_back()
+
+    schema = "".join(f"{c} {signed.schema[c].dataType.simpleString()}, " for c in carried[:-1]) + "text string"
+    own = {o: F.col(c).alias(o) for o, c in zip(others, carried)} | {"text": F.col("text")}
+    return kept.drop("row").mapInArrow(unpack, schema).select(*[own[c] for c in docs.columns])
+
+
 @query("op2_minhash_near_dup")
 def op2_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)

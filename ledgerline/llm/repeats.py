@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut, made_table, new_path, table, text_or_empty
+from ledgerline.llm.common import bucketed, cut, table, text_or_empty
 from ledgerline.llm.encoding import give_back, slices
 from ledgerline.llm.registry import query
 
@@ -40,6 +40,8 @@ LENGTH = 400
 GRAM = 128
 #: Classes up to which a group is gathered: a share of all classes, between two bounds.
 SHARE, FEWEST, MOST = 512, 256, 4096
+#: Occurrences from which on a class is common, and common classes at most.
+COMMON, MOST_COMMON = 256, 4096
 #: Texts are searched for anchors in overlapping segments of so many bytes.
 SEGMENT = 1 << 20
 #: Bytes a word is written as, and words of a gram.
@@ -216,17 +218,6 @@ def _in_words(stored: DataFrame, words: int) -> DataFrame:
     )
 
 
-def _bucketed(df: DataFrame, key: str) -> DataFrame:
-    """Write ``df`` once, dealt by ``key``, so that later joins do not move it again."""
-    spark = df.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = new_path(spark, "bucketed")
-    name = path.rsplit("/", 1)[-1].replace("-", "_")
-    (df.repartition(tasks, key).write.bucketBy(tasks, key).option("path", path).format("parquet").saveAsTable(name))
-    made_table(path, name)
-    return spark.table(name)
-
-
 def _surroundings(stored: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
     """name, row, place, single, before, after of the wanted classes (row, name, around,
     single), each at its representative."""
@@ -357,6 +348,34 @@ def _counted(around: DataFrame, length: int, gram: int) -> DataFrame:
     )
 
 
+def _common(stored: DataFrame, classes: list[tuple[int, int]], length: int, gram: int) -> DataFrame:
+    """Repeats (row, start, end) at the anchors of these classes (name, around), those of a
+    text that overlap as one."""
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, some = set(classes), np.unique([name for name, _ in classes])
+        for batch in batches:
+            counts = np.diff(batch.column("__place").offsets.to_numpy())
+            place, name, around = (batch.column(c).flatten().to_numpy() for c in ("__place", "__name", "__around"))
+            near = np.flatnonzero(np.isin(name, some))
+            hit = near[[x in wanted for x in zip(name[near].tolist(), around[near].tolist())]] if len(near) else near
+            if not len(hit):
+                continue
+            of = np.repeat(np.arange(batch.num_rows), counts)[hit]
+            starts = np.maximum(place[hit] - (length - gram), 0)
+            ends = np.minimum(place[hit] + length, batch.column("__size").to_numpy()[of])
+            # by two words at least, so that in words too nothing lies between them
+            opens = np.append(True, (of[1:] != of[:-1]) | (starts[1:] + 2 * WORD_BYTES > ends[:-1]))
+            closes = np.append(opens[1:], True)
+            columns = [batch.column("__row").to_numpy()[of[opens]], starts[opens], ends[closes]]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["row", "start", "end"])
+        give_back()
+
+    return stored.select("__row", "__size", "__place", "__name", "__around").mapInArrow(
+        look_up, "row long, start long, end long"
+    )
+
+
 def _spans(stored: DataFrame, length: int, gram: int) -> DataFrame:
     """Repeats (row, start, end), overlapping ones among them."""
     each = stored.select(
@@ -369,12 +388,20 @@ def _spans(stored: DataFrame, length: int, gram: int) -> DataFrame:
     groups = classes.groupBy("name").agg(F.count("*").alias("classes"), F.max("n").alias("most"))
     groups = cut(groups.where("classes > 1 OR most > 1"), "groups")
     found = cut(classes.join(groups, "name").select("name", "around", "n", "row", "classes"), "classes")
-    several = found.where("n > 1").select("name", "around")
+    several = found.where("n > 1")
+    # the most common ones are looked up in each text; a passage that every text has would
+    # be a row for each of its anchors in each text
+    often = several.where(F.col("n") >= COMMON).orderBy(F.desc("n")).limit(MOST_COMMON).select("name", "around", "n").collect()
+    bound = often[-1].n + 1 if len(often) == MOST_COMMON else COMMON
+    known = [(r.name, r.around) for r in often if r.n >= bound]
+    several = several.where(F.col("n") < bound).select("name", "around")
     whole = each.join(several, ["name", "around"]).select(
         "row",
         F.greatest(F.col("place") - (length - gram), F.lit(0)).alias("start"),
         F.least(F.col("place") + length, "size").alias("end"),
     )
+    if known:
+        whole = whole.union(_common(stored, known, length, gram))
     compared = found.where("classes > 1")
     limit = min(MOST, max(FEWEST, compared.count() // SHARE))
     wanted = compared.select("row", "name", "around", (F.col("n") == 1).alias("single"), "classes")
@@ -431,10 +458,10 @@ def without_repeats(
     """
     if length <= gram:
         raise ValueError("a gram must be shorter than the strings looked for")
-    stored = _bucketed(_anchored(docs, list(carry), length, gram, keep_text or words is not None), "__row")
+    stored = bucketed(_anchored(docs, list(carry), length, gram, keep_text or words is not None), "__row")
     spans = _spans(stored, length, gram).withColumn("by_word", F.lit(False))
     if words is not None:
-        coded = _bucketed(_in_words(stored, words), "__row")
+        coded = bucketed(_in_words(stored, words), "__row")
         passages = _spans(coded, words * WORD_BYTES, min(WORD_GRAM, words - 1) * WORD_BYTES)
         spans = spans.union(passages.select(
             "row", F.ceil(F.col("start") / WORD_BYTES), F.floor(F.col("end") / WORD_BYTES), F.lit(True)))

@@ -102,6 +102,22 @@ def test_repeats_of_crowded_groups(spark, monkeypatch, bound):
     assert any(0 < e[1] < e[0] for e in plain)
 
 
+@pytest.mark.parametrize("most", [3, 4096])
+def test_common_repeats_are_no_row_for_each_anchor(spark, monkeypatch, most):
+    monkeypatch.setattr(repeats, "COMMON", 5)
+    monkeypatch.setattr(repeats, "MOST_COMMON", most)
+    passage, other = _words(80, 300), _words(81, 60)
+    texts = [f"{_words(100 + i, 40)} {passage if i % 4 else other} {_words(200 + i, 30)}" for i in range(40)] + [passage] * 9
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = repeats.without_repeats(table, length=100, gram=24).orderBy("doc_id").collect()
+    plain = brute.without_repeats([t.encode() for t in texts], 100)
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == plain
+    if most > 3:
+        stored = common.bucketed(repeats._anchored(table, ["doc_id"], 100, 24, False), "__row")
+        # before, each of some 30 anchors of the passage was a row in each text
+        assert repeats._spans(stored, 100, 24).count() < 8 * len(texts)
+
+
 def test_prefix_tree_of_a_sorted_list():
     assert sorted(repeats.intervals([3, 5, 1])) == [(1, 0, 3), (3, 0, 2), (5, 1, 2)]
     assert sorted(repeats.intervals([2, 2])) == [(2, 0, 2)]
@@ -132,6 +148,20 @@ def test_near_duplicates(docs, clashing, empty):
     assert near_dup.near_duplicates(empty).count() == 0
 
 
+def test_stages_choose_rows_without_moving_their_texts_again(spark, docs):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as on large tables
+    try:
+        for stage in (corpus_pipeline.near_dup, corpus_pipeline.mixing):
+            made = stage(spark, docs, "")
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Join") == 1 and plan.count("Exchange") == 1
+            assert {(r.doc_id, r.text) for r in made.collect()} <= {(r.doc_id, r.text) for r in docs.collect()}
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_near_duplicates_of_a_chain_and_a_crowd(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "BLOCK", 16)
     base = _words(7, 120).split()
