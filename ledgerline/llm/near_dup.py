@@ -19,6 +19,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.llm.common import bucketed, cut, table, text_or_empty
 from ledgerline.llm.encoding import give_back, slices
@@ -154,9 +155,13 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b) those with 100 * intersection >= percent * union. ``pairs``
-    and ``sets`` are written tables, so that a node with many pairs is split."""
-    first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+    """Of the pairs (a, b) those with 100 * intersection >= percent * union. ``sets`` are
+    dealt by node and stay where they are; those of the first nodes are written for
+    themselves, so that a node with many pairs is split."""
+    chosen = pairs.select(F.col("a").alias("node")).distinct()
+    first = cut(
+        sets.join(chosen, "node", "left_semi").select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "firsts"
+    )
     second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     common = F.size(F.array_intersect("of_a", "of_b"))
     return (
@@ -167,16 +172,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _tile_links(tile: pa.Table, percent: int) -> Iterator[tuple[int, int]]:
-    """Links that connect what the rows of one bucket, or two blocks of it, can connect. A
-    pair is compared in the first bucket it shares, and only if nothing connects it yet."""
-    nodes, roots = tile.column("node").to_numpy(), tile.column("root").to_numpy().copy()
+def _open_pairs(tile: pa.Table, roots: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of rows of one bucket, or two blocks of it, each with those of later rows that
+    it may be linked with: nothing connects them in ``roots``, which may change meanwhile,
+    and this is the first bucket that both share."""
     sizes, blocks = tile.column("n").to_numpy(), tile.column("block").to_numpy()
-    bands = tile.column("bands").combine_chunks().flatten().to_numpy().reshape(len(nodes), -1)
+    bands = tile.column("bands").combine_chunks().flatten().to_numpy().reshape(tile.num_rows, -1)
     own = int(np.argmax(bands[0] == tile.column("name")[0].as_py()))
     apart = tile.column("lo")[0].as_py() != tile.column("hi")[0].as_py()
-    bits = None
-    for i in range(len(nodes) - 1):
+    for i in range(tile.num_rows - 1):
         later = slice(i + 1, None)
         open_ones = (roots[later] != roots[i]) & (
             np.minimum(sizes[later], sizes[i]) * 100 >= np.maximum(sizes[later], sizes[i]) * percent
@@ -187,8 +191,26 @@ def _tile_links(tile: pa.Table, percent: int) -> Iterator[tuple[int, int]]:
         if not len(others):
             continue
         others = others[np.argmax(bands[others] == bands[i], axis=1) == own]
-        if not len(others):
-            continue
+        if len(others):
+            yield i, others
+
+
+def _tile_open(tile: pa.Table, percent: int) -> pa.Table:
+    """The rows of a tile that have an open pair there; the others need no sets."""
+    wanted = np.zeros(tile.num_rows, bool)
+    for i, others in _open_pairs(tile, tile.column("root").to_numpy(), percent):
+        wanted[i] = True
+        wanted[others] = True
+    return tile.filter(pa.array(wanted)).drop_columns(["bands"])
+
+
+def _tile_links(tile: pa.Table, percent: int) -> Iterator[tuple[int, int]]:
+    """Links that connect what the rows of a tile can connect. A pair is compared in the
+    first bucket it shares, and only if nothing connects it yet."""
+    nodes, roots = tile.column("node").to_numpy(), tile.column("root").to_numpy().copy()
+    sizes = tile.column("n").to_numpy()
+    bits = None
+    for i, others in _open_pairs(tile, roots, percent):
         if bits is None:
             bits = _bit_rows(tile.column("shingles").combine_chunks(), len(nodes))
         common = np.bitwise_count(bits[others] & bits[i]).sum(axis=1, dtype=np.int64)
@@ -244,15 +266,28 @@ def links_of(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     rows = (
         labelled.join(several, "name").withColumn("block", block)
-        .withColumn("tile", F.explode(tiles)).select("*", "tile.lo", "tile.hi").drop("tile", "blocks")
+        .withColumn("tile", F.explode(tiles)).select("name", "node", "n", "root", "block", "tile.lo", "tile.hi")
+    )
+    rows = cut(rows, "open")
+
+    def unsettled(tile: pa.Table) -> pa.Table:
+        return _tile_open(tile, percent)
+
+    # bands are narrow beside sets, and tell which rows have a pair to compare at all
+    judged = rows.join(sets.select("node", "bands"), "node").select(*rows.columns, "bands")
+    compared = cut(judged.groupBy("name", "lo", "hi").applyInArrow(unsettled, rows.schema), "compared")
+    # a set is looked up once for all tiles of its node
+    places = F.collect_list(F.struct(*[c for c in rows.columns if c != "node"])).alias("places")
+    compared = (
+        compared.groupBy("node").agg(places).join(sets, "node")
+        .select("node", "bands", "shingles", F.explode("places").alias("place")).select("node", "place.*", "bands", "shingles")
     )
-    rows = cut(rows, "open").join(sets, "node")
 
     def compare(tile: pa.Table) -> pa.Table:
         found = list(zip(*_tile_links(tile, percent))) or [(), ()]
         return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
-    more = rows.groupBy("name", "lo", "hi").applyInArrow(compare, "a long, b long")
+    more = compared.groupBy("name", "lo", "hi").applyInArrow(compare, "a long, b long")
     return cut(links.union(more), "all_links")
 
 
@@ -262,16 +297,19 @@ def _grouped(signed: DataFrame, shingle: int, percent: int) -> DataFrame:
     classes = cut(
         signed.where("n_shingles > 0").groupBy("set_key").agg(
             F.min("row").alias("node"), F.min("doc_id").alias("smallest"),
-            F.min(F.struct("doc_id", "row")).alias("first")),
+            F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("times")),
         "classes",
     )
-    nodes = signed.select("row", "n_shingles", "bands").join(classes.select("node"), F.col("row") == F.col("node"))
-    banded = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("name"))
-    shared = banded.groupBy("name").agg(F.count("*").alias("members")).where("members > 1").select("name")
-    buckets = cut(banded.join(cut(shared, "shared"), "name"), "buckets")
-    members = cut(buckets.select(F.col("node").alias("row")).distinct(), "members")
-    texts = signed.select("row", "bands", "packed").join(members, "row").select(F.col("row").alias("node"), "bands", "packed")
-    sets = cut(_sets(texts, shingle), "sets")
+    # the copies are fewer than the sets, so it is they that are looked up
+    repeated = cut(classes.where("times > 1").select("set_key", "node"), "repeated")
+    copies = cut(signed.select("row", "set_key").join(repeated, "set_key").where("row <> node").select("row"), "copies")
+    nodes = signed.where("n_shingles > 0").select("row", "n_shingles", "bands").join(copies, "row", "left_anti")
+    banded = nodes.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("name"))
+    members = F.count("*").over(Window.partitionBy("name"))
+    buckets = cut(banded.withColumn("members", members).where("members > 1").drop("members"), "buckets")
+    inside = cut(buckets.select(F.col("node").alias("row")).distinct(), "members")
+    texts = signed.select("row", "bands", "packed").join(inside, "row").select(F.col("row").alias("node"), "bands", "packed")
+    sets = bucketed(texts, "node", lambda dealt: _sets(dealt, shingle))
     roots = components(links_of(buckets, sets, percent)).withColumnRenamed("node", "of")
     return cut(
         classes.join(roots, classes["node"] == roots["of"], "left")
@@ -292,7 +330,7 @@ def near_duplicates(
     gives no rows.
 
     Shuffled are one narrow row per band of each distinct set, the compressed texts of
-    sets that share a bucket, and the sets of compared pairs.
+    sets that share a bucket, and the sets of pairs whose bands leave them to be compared.
     """
     signed = cut(signatures(docs, shingle, rows, bands), "signatures")
     grouped = _grouped(signed, shingle, percent)

@@ -176,6 +176,32 @@ def test_near_duplicates_of_a_chain_and_a_crowd(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute.near_duplicates(texts, 2)
 
 
+def test_near_duplicates_move_few_sets(spark, monkeypatch):
+    """Only rows with a pair that is still open take their sets to a tile, and the others
+    are compared where the sets of the second nodes lie."""
+    made = {}
+
+    def cut(df, name):
+        made[name] = common.cut(df, name)
+        if name == "links":
+            made.setdefault("plan", df._jdf.queryExecution().executedPlan().toString())
+        return made[name]
+
+    monkeypatch.setattr(near_dup, "cut", cut)
+    base = _words(7, 120).split()
+    texts = [(i, " ".join(base[: 100 + i % 2] + [f"y{i}z{k}" for k in range(14 + 6 * (i % 3))])) for i in range(60)]
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as on large tables
+    try:
+        got = near_dup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), shingle=2).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute.near_duplicates(texts, 2)
+    assert 0 < made["compared"].count() < made["open"].count()
+    assert made["plan"].count("Exchange hashpartitioning") == 3  # pairs, sets of first nodes, both
+
+
 def test_components(spark):
     links = [(5, 4), (4, 3), (9, 9), (7, 8), (3, 5)] + [(100 + i, 101 + i) for i in range(50)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(links, "a long, b long")).collect()))
