@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import ctypes
 import re
 import struct
@@ -30,12 +31,12 @@ _STEM = re.compile("(.*[0-9A-Za-zÀ-ÖØ-öø-ɏ])([.,;:!?#$%&*|]+)", re.DOTALL)
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 
 
-def _byte_characters() -> dict[int, str]:
+def _byte_characters() -> str:
     """The characters by which byte-level tokenizers write bytes: visible ones stand for
     themselves, the others for those from 256 on."""
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = [b for b in range(256) if b not in visible]
-    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+    hidden = iter(range(256, 512))
+    return "".join(chr(b if b in visible else next(hidden)) for b in range(256))
 
 
 _BYTE_CHARACTERS = _byte_characters()
@@ -135,6 +136,8 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """A word with the blank before it, where blanks count."""
+        if word.isalpha():
+            return self._piece(self.before + word)
         stem, tail = self._parted(word)
         return self.words[stem] + tail if tail else self._piece(self.before + stem)
 
@@ -154,13 +157,12 @@ class Encoder:
         """Letters with at most a blank before them are one piece to the tokenizers, so
         their merges are asked for directly, which is several times faster."""
         letters = word[1:] if word.startswith(" ") else word
-        if not _LETTERS.fullmatch(letters):
+        if not (letters.isalpha() if letters.isascii() else _LETTERS.fullmatch(letters)):
             return self._plain(word)
         if self.spaces_dropped:
             word = word.lower()
-        if not letters.isascii():
-            word = word.encode().decode("latin-1")
-        ids = [token.id for token in self.model.tokenize(word.translate(_BYTE_CHARACTERS))]
+        characters, _ = codecs.charmap_decode(word.encode(), "strict", _BYTE_CHARACTERS)
+        ids = [token.id for token in self.model.tokenize(characters)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _plain(self, text: str) -> bytes:

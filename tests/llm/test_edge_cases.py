@@ -202,6 +202,18 @@ def test_near_duplicates_move_few_sets(spark, monkeypatch):
     assert made["plan"].count("Exchange hashpartitioning") == 3  # pairs, sets of first nodes, both
 
 
+@pytest.mark.parametrize("path, dropped", [(BYTE, False), (WORD, True)])
+def test_new_words_of_letters_take_the_short_way(monkeypatch, path, dropped):
+    made = encoding.Encoder(path, dropped)
+    latin = [chr(c) for c in range(0xC0, 0x250)] + ["Éclair", "naïve", "Straße", "łódź", "ªb", "µm", "日本", "Жук"]
+    for text in (*latin, " ".join(latin), "\n".join(latin)):
+        assert made.encode(text) == made._plain(text)
+    monkeypatch.setattr(encoding, "_LETTERS", None)  # plain letters need no patterns
+    monkeypatch.setattr(encoding, "_STEM", None)
+    text = "Plain words\nof letters alone XYZ q"
+    assert made.encode(text) == made._plain(text)
+
+
 def test_components(spark):
     links = [(5, 4), (4, 3), (9, 9), (7, 8), (3, 5)] + [(100 + i, 101 + i) for i in range(50)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(links, "a long, b long")).collect()))
