@@ -32,12 +32,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import bucketed, cut, table, text_or_empty
+from ledgerline.llm.common import brief_shuffles, bucketed, cut, table, text_or_empty
 from ledgerline.llm.encoding import give_back, slices
 from ledgerline.llm.registry import query
 
 LENGTH = 400
 GRAM = 128
+#: Words from which on a repeated passage goes.
+PASSAGE_WORDS = 51
 #: Classes up to which a group is gathered: a share of all classes, between two bounds.
 SHARE, FEWEST, MOST = 512, 256, 4096
 #: Occurrences from which on a class is common, and common classes at most.
@@ -440,7 +442,7 @@ def whole_characters(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int,
 
 def without_repeats(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, carry: tuple[str, ...] = ("doc_id",),
-    keep_text: bool = False, words: int | None = None,
+    keep_text: bool = False, words: int | None = None, text_words: int | None = None,
 ) -> DataFrame:
     """One row per input row: the carried columns, n_bytes, n_removed, n_spans,
     kept_sha256, spans (start, end of the maximal removed runs) and, with ``keep_text``,
@@ -452,19 +454,27 @@ def without_repeats(
     texts of their own, so repeated rows lose everything. An empty table gives no rows.
     With ``words``, passages of so many words that also start elsewhere go too, from the
     first word's start to the last one's end, whatever white space is between the words.
+    With ``text_words`` all this stays as it is without ``words``, and there is a column
+    text more: what is left when passages of so many words go too, whole characters only.
 
     The texts are moved once, compressed, and written dealt by row; then a narrow row per
     anchor, and the surroundings of one occurrence of each class in groups of several.
     """
     if length <= gram:
         raise ValueError("a gram must be shorter than the strings looked for")
-    stored = bucketed(_anchored(docs, list(carry), length, gram, keep_text or words is not None), "__row")
+    if words is not None and text_words is not None:
+        raise ValueError("words are either for all columns or for the text only")
+    least = text_words if words is None else words
+    stored = bucketed(_anchored(docs, list(carry), length, gram, keep_text or least is not None), "__row")
     spans = _spans(stored, length, gram).withColumn("by_word", F.lit(False))
-    if words is not None:
-        coded = bucketed(_in_words(stored, words), "__row")
-        passages = _spans(coded, words * WORD_BYTES, min(WORD_GRAM, words - 1) * WORD_BYTES)
-        spans = spans.union(passages.select(
-            "row", F.ceil(F.col("start") / WORD_BYTES), F.floor(F.col("end") / WORD_BYTES), F.lit(True)))
+    if least is not None:
+        # narrow rows are written, so that no two shuffles of texts are there at a time
+        spans = cut(spans, "spans")
+        coded = bucketed(_in_words(stored, least), "__row", move=False)
+        passages = _spans(coded, least * WORD_BYTES, min(WORD_GRAM, least - 1) * WORD_BYTES)
+        spans = spans.union(cut(passages.select(
+            "row", F.ceil(F.col("start") / WORD_BYTES).alias("start"), F.floor(F.col("end") / WORD_BYTES).alias("end"),
+            F.lit(True).alias("by_word")), "passages"))
     lists = spans.distinct().groupBy(F.col("row").alias("__row")).agg(
         F.collect_list(F.struct("start", "end", "by_word")).alias("__spans")
     )
@@ -477,33 +487,36 @@ def without_repeats(
                 part = batch.slice(at, 256)
                 out = []
                 for size, sha, packed, spans in zip(*[part.column(c).to_pylist() for c in own]):
-                    text = None
-                    raw = decompressor.decompress(packed) if spans or keep_text else b""
+                    texts = []
+                    raw = decompressor.decompress(packed) if spans or with_text else b""
                     found = [(x["start"], x["end"]) for x in spans or [] if not x["by_word"]]
                     passages = merged([(x["start"], x["end"]) for x in spans or [] if x["by_word"]])
+                    both = found
                     if passages:
                         places = [m.span() for m in _WORD.finditer(raw)]
-                        found += [(places[x][0], places[y - 1][1]) for x, y in passages]
-                    runs = merged(found)
-                    if runs or keep_text:
-                        if runs:
-                            sha = hashlib.sha256(_kept(raw, runs)).hexdigest()
-                        if keep_text:
-                            text = _kept(raw, whole_characters(raw, runs)).decode("utf-8", "surrogatepass")
+                        both = found + [(places[x][0], places[y - 1][1]) for x, y in passages]
+                    runs = merged(found if words is None else both)
+                    if runs:
+                        sha = hashlib.sha256(_kept(raw, runs)).hexdigest()
+                    if keep_text:
+                        texts.append(_kept(raw, whole_characters(raw, runs)).decode("utf-8", "surrogatepass"))
+                    if text_words is not None:
+                        texts.append(_kept(raw, whole_characters(raw, merged(both))).decode("utf-8", "surrogatepass"))
                     removed = sum(y - x for x, y in runs)
-                    out.append((size, removed, len(runs), sha, [{"start": x, "end": y} for x, y in runs], text))
-                columns = [pa.array(c, t) for c, t in zip(zip(*out), types)][: 6 if keep_text else 5]
+                    out.append((size, removed, len(runs), sha, [{"start": x, "end": y} for x, y in runs], *texts))
+                columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
                 kept = [part.column(c) for c in carried]
                 yield pa.record_batch([*kept, *columns], names=[*carried, *names])
         give_back()
 
     own = ["__size", "__sha", "__packed", "__spans"]
-    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept_text"][: 6 if keep_text else 5]
+    with_text = ["kept_text"] * keep_text + ["text"] * (text_words is not None)
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", *with_text]
     run = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(run), pa.string()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(run), *[pa.string()] * len(with_text)]
     schema = "".join(f"{c} {stored.schema[c].dataType.simpleString()}, " for c in carried)
     schema += "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
-    schema += ", kept_text string" * keep_text
+    schema += "".join(f", {n} string" for n in with_text)
     done = stored.select("__row", *carried, *own[:3]).join(lists, "__row", "left").select(*carried, *own)
     result = done.mapInArrow(remove, schema)
     return result.select(*[F.col(c).alias(n) for c, n in zip(carried, carry)], *names)
@@ -516,4 +529,7 @@ def _kept(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 @query("op1_repeat_removal")
 def op1_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeats(table(spark, sf_dir, "documents"), keep_text=True).drop("spans")
+    docs = table(spark, sf_dir, "documents")
+    with brief_shuffles(spark):
+        made = without_repeats(docs, keep_text=True, text_words=PASSAGE_WORDS)
+    return made.drop("spans")

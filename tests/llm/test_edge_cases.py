@@ -138,6 +138,36 @@ def test_pipeline_passages_of_over_50_words(spark):
             assert got[i].text == expected and got[i].n_chars == len(expected)
 
 
+def test_text_without_passages_beside_the_400_bytes(spark, tmp_path):
+    passage, long = _words(60, 51), _words(63, 90)
+    assert len(passage) < 400 <= len(long)
+    ends = [(f"{_words(61 + i, 70)} ", f" é{_words(71 + i, 70)}") for i in range(4)]
+    middles = [passage, passage.replace(" ", "\n"), long, long + " " + " ".join(passage.split()[1:])]
+    texts = [a + m + b for (a, b), m in zip(ends, middles)] + [None, ""]
+    table = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)], DOCS)
+    table.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = repeats.op1_repeat_removal(spark, str(tmp_path)).orderBy("doc_id").collect()
+    plain = brute.without_repeats([(t or "").encode() for t in texts], 400)
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows] == plain
+    # the contract's columns keep the short passage, the text does not
+    assert [r.n_removed for r in rows[:2]] == [0, 0] and [r.kept_text for r in rows[:2]] == texts[:2]
+    assert [r.text for r in rows[:2]] == [a + b for a, b in ends[:2]]
+    assert [r.text for r in rows] == brute.without_passages([t or "" for t in texts], 400, 51)
+    assert all(0 < r.n_removed for r in rows[2:4]) and [r.text for r in rows[4:]] == ["", ""]
+    with pytest.raises(ValueError):
+        repeats.without_repeats(table, words=51, text_words=51)
+
+
+def test_shuffle_files_go_with_queries_of_intermediate_tables(spark, docs):
+    seen, conf = [], spark.conf
+    with common.brief_shuffles(spark):
+        seen.append(conf.get(common._CLEANUP))
+    stage = corpus_pipeline._stage(lambda spark, docs, _: seen.append(conf.get(common._CLEANUP)) or docs.repartition(2, "doc_id"))
+    made = stage(spark, docs, "")
+    assert seen == ["true", "true"] and conf.get(common._CLEANUP, None) is None
+    assert len(made.collect()) == len(made.collect()) == docs.count()
+
+
 def test_near_duplicates(docs, clashing, empty):
     for table in (docs, clashing):
         got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dup.near_duplicates(table, shingle=2).collect()}

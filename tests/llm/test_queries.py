@@ -72,6 +72,11 @@ def test_repeats(spark, documents):
         assert r.n_removed or r.kept_text == (texts[r.doc_id] or "")
 
 
+def test_repeated_passages_in_the_text(spark, documents):
+    got = {r.doc_id: r.text for r in QUERIES["op1_repeat_removal"](spark, FOLDER).collect()}
+    assert got == dict(zip([i for i, _ in documents], brute.without_passages([t or "" for _, t in documents], 400, 51)))
+
+
 def test_near_duplicates(spark, documents):
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in QUERIES["op2_minhash_near_dup"](spark, FOLDER).collect()}
     assert got == brute.near_duplicates(documents, 2)
