@@ -20,7 +20,6 @@ a checksum of fixed width.
 from __future__ import annotations
 
 import hashlib
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -51,7 +50,6 @@ WORD_BYTES, WORD_GRAM = 4, 16
 #: Parts a range of window starts is cut into, level by level, and then into single ones.
 PARTS = (3, 7)
 
-_WORD = re.compile(rb"[^ \t-\r]+")
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _PLACE = np.uint64(SEGMENT - 1)
 
@@ -205,7 +203,7 @@ def _in_words(stored: DataFrame, words: int) -> DataFrame:
         for part in slices(batches):
             out = []
             for row, packed in part:
-                sums = [zlib.crc32(w) for w in _WORD.findall(decompressor.decompress(packed))]
+                sums = list(map(zlib.crc32, decompressor.decompress(packed).split()))
                 if len(sums) >= words:
                     raw = np.array(sums, "<u4").tobytes()
                     out.append((row, len(raw), compressor.compress(raw), *_named(raw, length, gram)))
@@ -427,6 +425,14 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return runs
 
 
+def word_edges(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word starts and ends; words are what ``raw.split()`` gives."""
+    data = np.frombuffer(raw, np.uint8)
+    inside = np.concatenate(([False], (data != 32) & ((data < 9) | (data > 13)), [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
 def whole_characters(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The runs without the parts of characters at their ends, so that text stays text."""
     found = []
@@ -491,17 +497,19 @@ def without_repeats(
                     raw = decompressor.decompress(packed) if spans or with_text else b""
                     found = [(x["start"], x["end"]) for x in spans or [] if not x["by_word"]]
                     passages = merged([(x["start"], x["end"]) for x in spans or [] if x["by_word"]])
-                    both = found
-                    if passages:
-                        places = [m.span() for m in _WORD.finditer(raw)]
-                        both = found + [(places[x][0], places[y - 1][1]) for x, y in passages]
-                    runs = merged(found if words is None else both)
+                    both = found = merged(found)
+                    if passages and found != [(0, size)]:  # else nothing is left to look at
+                        starts, ends = word_edges(raw)
+                        both = merged(found + [(int(starts[x]), int(ends[y - 1])) for x, y in passages])
+                    runs = found if words is None else both
                     if runs:
                         sha = hashlib.sha256(_kept(raw, runs)).hexdigest()
                     if keep_text:
                         texts.append(_kept(raw, whole_characters(raw, runs)).decode("utf-8", "surrogatepass"))
                     if text_words is not None:
-                        texts.append(_kept(raw, whole_characters(raw, merged(both))).decode("utf-8", "surrogatepass"))
+                        same = keep_text and both == runs
+                        left = texts[0] if same else _kept(raw, whole_characters(raw, both)).decode("utf-8", "surrogatepass")
+                        texts.append(left)
                     removed = sum(y - x for x, y in runs)
                     out.append((size, removed, len(runs), sha, [{"start": x, "end": y} for x, y in runs], *texts))
                 columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]

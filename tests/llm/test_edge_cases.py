@@ -5,6 +5,7 @@ from __future__ import annotations
 import copy
 import hashlib
 import random
+import re
 import struct
 import zlib
 from collections import Counter
@@ -138,6 +139,12 @@ def test_pipeline_passages_of_over_50_words(spark):
             assert got[i].text == expected and got[i].n_chars == len(expected)
 
 
+def test_words_are_found_where_they_stand():
+    for raw in (b"", b" ", b"a", b"\x0b a\x0c\x1c\x85b \xc2\xa0\tc\r\n", bytes(range(256)) * 2):
+        starts, ends = repeats.word_edges(raw)
+        assert [raw[a:b] for a, b in zip(starts, ends)] == raw.split() == re.findall(rb"[^\x20\x09-\x0d]+", raw)
+
+
 def test_text_without_passages_beside_the_400_bytes(spark, tmp_path):
     passage, long = _words(60, 51), _words(63, 90)
     assert len(passage) < 400 <= len(long)
