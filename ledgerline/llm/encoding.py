@@ -7,9 +7,11 @@ import ctypes
 import re
 import struct
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words kept per Python worker, and words after line ends, runs of white space with the
 #: word after them, and ends of words.
@@ -19,12 +21,18 @@ MAX_OTHERS = 50_000
 MAX_WORD_CHARS = 64
 #: Texts of more characters are cut into words one at a time.
 LONG_TEXT = 1_000_000
+#: Bytes of texts whose words are looked up together, and new words of which the ids are
+#: asked for at once.
+TOGETHER = 8 << 20
+AT_ONCE = 8
 
 _WORD = re.compile(r"[^ \n\t\r]+")
 _SPACED_WORD = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 _EDGES = " \n\t\r"
+_MEETING = ("  ", "\n\n", " \n", "\n ")
 #: A Latin letter or a digit, then signs up to the end: both parts are encoded alone.
-_STEM = re.compile("(.*[0-9A-Za-zÀ-ÖØ-öø-ɏ])([.,;:!?#$%&*|]+)", re.DOTALL)
+_SIGNS = ".,;:!?#$%&*|"
+_STEM = re.compile(f"(.*[0-9A-Za-zÀ-ÖØ-öø-ɏ])([{_SIGNS}]+)", re.DOTALL)
 
 
 #: Latin letters that stay one character in lower case.
@@ -62,11 +70,19 @@ class _Kept(dict):
             value = self.function(word)
         if len(word) <= MAX_WORD_CHARS:
             if len(self) >= self.most:
-                self.old = dict(self)
-                self.clear()
+                self._age()
             self[word] = value
         return value
 
+    def keep(self, values: dict[str, bytes]) -> None:
+        if len(self) >= self.most:
+            self._age()
+        self.update(values)
+
+    def _age(self) -> None:
+        self.old = dict(self)
+        self.clear()
+
 
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers.
@@ -99,6 +115,7 @@ class Encoder:
         self.openings = _Kept(self._opening, MAX_OTHERS)
         self.runs = _Kept(self._run, MAX_OTHERS)
         self.tails = _Kept(self._plain, MAX_OTHERS)
+        self.units = _Kept(self._unit, words)
 
     def encode(self, text: str) -> bytes:
         try:
@@ -127,6 +144,103 @@ class Encoder:
             except _SpacesMeet:
                 return self._plain(text)
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """What ``encode`` gives for each text, with each word looked up once for all texts
+        and new words of letters several at once. Little is gained on few texts."""
+        alone = [len(t) > LONG_TEXT or bool(self.special and self.special.search(t)) for t in texts]
+        if not self.spaces_dropped:  # no need to look words up where spaces meet
+            alone = [a or any(two in t for two in _MEETING) for a, t in zip(alone, texts)]
+        short = ["" if a else t for a, t in zip(alone, texts)]
+        if self.spaces_dropped:
+            for space in "\n\t\r":
+                short = [t.replace(space, " ") for t in short]
+        else:  # a word after a line end has it before it, and so has a text's first word
+            short = ["\n" + t.replace("\n", " \n") for t in short]
+        lists = pc.split_pattern(pa.array(short, pa.string()), " ")
+        words = lists.flatten().dictionary_encode()
+        which, bounds = words.indices.to_numpy(), lists.offsets.to_numpy()
+        found = self._found(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        meet = np.array([f is None for f in found], bool)
+        if meet.any():
+            found = [f or b"" for f in found]
+            before = np.append(0, np.cumsum(meet[which]))[bounds]
+            alone = [a or m > 0 for a, m in zip(alone, np.diff(before).tolist())]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(lengths) - lengths
+        n = lengths[which]
+        ends = np.cumsum(n)
+        places = np.repeat(starts[which] - ends + n, n)
+        places += np.arange(len(places))
+        ids = np.frombuffer(b"".join(found), "<u4")[places].tobytes()
+        edges = (4 * np.append(0, ends)[bounds]).tolist()
+        first = 0 if self.spaces_dropped else len(self.line_end)
+        return [
+            self.encode(text) if a or not text else ids[start + first : end]
+            for text, a, start, end in zip(texts, alone, edges, edges[1:])
+        ]
+
+    def _found(self, units: list[str]) -> list[bytes | None]:
+        """Ids of words, some with a line end before them; none where spaces may meet."""
+        kept = self.units
+        found = list(map(kept.get, units))
+        places, stems, tails, new = [], [], [], {}
+        for k in [k for k, f in enumerate(found) if f is None]:
+            unit = units[k]
+            stem = unit.rstrip(_SIGNS)
+            if stem.isalpha() if stem.isascii() else _LETTERS.fullmatch(stem):
+                tail = self.tails[unit[len(stem) :]] if len(stem) < len(unit) else b""
+                if len(stem) <= MAX_WORD_CHARS and stem not in kept and stem not in kept.old:
+                    new[stem] = None
+            else:
+                line = "\n" if unit.startswith("\n") else ""
+                try:
+                    stem, tail = self._parted(unit[len(line) :])
+                except _SpacesMeet:
+                    continue
+                stem = line + stem
+            places.append(k)
+            stems.append(stem)
+            tails.append(tail)
+        if self.opens is not None:
+            self._learn(list(new))
+        for k, ids, tail in zip(places, map(kept.__getitem__, stems), tails):
+            found[k] = ids + tail
+        return found
+
+    def _unit(self, stem: str) -> bytes:
+        """A word without signs, with the blank or the line end before it."""
+        if stem.startswith("\n"):
+            return self.line_end + self._piece(stem[1:])
+        return self._piece(self.before + stem)
+
+    @cached_property
+    def opens(self) -> np.ndarray | None:
+        """For each id, whether it begins with a blank; none if the model does more than
+        merge, or if words have no blank before them."""
+        more = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+        if self.spaces_dropped or type(self.model).__name__ != "BPE" or any(getattr(self.model, k) for k in more):
+            return None
+        opens = np.zeros(max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1, bool)
+        known = self.tokenizer.get_vocab(with_added_tokens=False)
+        opens[[i for token, i in known.items() if token.startswith(_BYTE_CHARACTERS[ord(" ")])]] = True
+        return opens
+
+    def _learn(self, words: list[str]) -> None:
+        """Keep the ids of words of letters, each with the blank before it. If no id goes
+        across a blank, and so each blank begins an id, merges of one word do not touch
+        those of another, and the ids are those of each word alone."""
+        for start in range(0, len(words), 8192):
+            part = words[start : start + 8192]
+            ids: list[int] = []
+            for k in range(0, len(part), AT_ONCE):
+                text = " " + " ".join(part[k : k + AT_ONCE])
+                characters, _ = codecs.charmap_decode(text.encode(), "strict", _BYTE_CHARACTERS)
+                ids += [token.id for token in self.model.tokenize(characters)]
+            edges = (4 * np.flatnonzero(self.opens[ids])).tolist()
+            if len(edges) == len(part):  # otherwise they are asked for one by one
+                raw = np.array(ids, "<u4").tobytes()
+                self.units.keep({w: raw[a:b] for w, a, b in zip(part, edges, [*edges[1:], len(raw)])})
+
     def _parted(self, word: str) -> tuple[str, bytes]:
         """A word without the signs at its end, and their ids."""
         if not self.spaces_dropped and (not word or word[0].isspace() or word[-1].isspace()):
@@ -185,6 +299,19 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[list[
     give_back()
 
 
+def together(batches: Iterator[pa.RecordBatch], text: str, size: int = TOGETHER) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches, as many at a time as have texts of ``size`` bytes."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            most = size + (ends[start - 1] if start else 0)
+            end = max(start + 1, int(np.searchsorted(ends, most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+    give_back()
+
+
 def give_back() -> None:
     """At the end of a task, return what it no longer uses to the operating system: a
     Python worker lives on and may be idle while other tasks need the memory."""

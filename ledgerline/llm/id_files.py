@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.llm.common import cut, new_path, table, text_or_empty
-from ledgerline.llm.encoding import encoder, slices
+from ledgerline.llm.encoding import encoder, slices, together
 from ledgerline.llm.registry import query
 
 END_ID = 0
@@ -95,13 +95,14 @@ def write(
     digest = hashlib.sha256(shared).digest()
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, spaces_dropped).encode
+        encode_all = encoder(tokenizer, spaces_dropped).encode_all
         end = end_id.to_bytes(4, "little")
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(shared), write_dict_id=False)
-        for part in slices(batches):
+        for part in together(batches, "text"):
+            doc_ids, texts = (part.column(c).to_pylist() for c in ("doc_id", "text"))
             out = []
-            for doc_id, text in part:
-                ids = encode(text) + end
+            for doc_id, ids in zip(doc_ids, encode_all(texts)):
+                ids += end
                 out.append((doc_id, len(ids) // 4, zlib.crc32(ids), compressor.compress(_serialized(ids, width))))
             columns = list(zip(*out))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]

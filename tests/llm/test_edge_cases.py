@@ -13,8 +13,9 @@ from collections import Counter
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 import corpus_pipeline
 from ledgerline.llm import (
@@ -251,6 +252,60 @@ def test_new_words_of_letters_take_the_short_way(monkeypatch, path, dropped):
     assert made.encode(text) == made._plain(text)
 
 
+@pytest.mark.parametrize("path, dropped", [(BYTE, False), (WORD, True)])
+def test_texts_encoded_together_have_the_same_ids(monkeypatch, path, dropped):
+    draw = random.Random(4)
+    texts = ["", " ", "\n", "a  b", "a\n\nb", "a\n b", "it's 'll don't", "x\x0b y", "a\tb c", "  a", "a ", "É ́x", "ª, µ. º!",
+             "a\r\nb", "a.b!! c,", "...", "İ Σς,", "a\n", "日本 語。 日本,", "a<|endoftext|> b", "b" * 90 + ", c", "plain words, plain"]
+    texts += ["".join(draw.choices("ab .,\n\t'é　\x85\x1f!", k=30)) for _ in range(300)]
+    texts += ["\n".join(_words(i, 30) + "." for i in range(k, k + 3)) for k in range(40)] + [t or "" for _, t, *_ in _rows()]
+    whole, tokenizer = encoding.Encoder(path, dropped, special=True), Tokenizer.from_file(path)
+    for words, long in ((encoding.MAX_WORDS, encoding.LONG_TEXT), (40, 150)):
+        monkeypatch.setattr(encoding, "LONG_TEXT", long)
+        made = encoding.Encoder(path, dropped, special=True, words=words)
+        for _ in range(2):  # new words, then known ones
+            assert made.encode_all(texts) == [whole.encode(t) for t in texts]
+        assert len(made.units) + len(made.units.old) < words + 8192
+    ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert made.encode_all(texts) == [struct.pack(f"<{len(i)}I", *i) for i in ids]
+    assert made.encode_all([]) == [] and made.encode_all([""]) == [b""]
+
+
+def test_new_words_are_asked_for_together(monkeypatch):
+    made, asked = encoding.Encoder(BYTE, False, special=True), []
+    assert made.opens is not None and encoding.Encoder(WORD, True).opens is None
+
+    class Model:
+        def tokenize(self, characters, model=made.model):
+            asked.append(characters)
+            return model.tokenize(characters)
+
+    made.model = Model()
+    words = ["q" + "".join(chr(97 + ord(c) - 48) for c in str(i)) for i in range(1000)]
+    texts = ["\n".join(["On", *words]), "On " + " ".join(w + "," for w in words), "On " + " ".join(words)]
+    assert made.encode_all(texts[1:] * 3) == [made._plain(t) for t in texts[1:] * 3]
+    assert len(asked) < 200  # a word at a time before
+    made.encode_all(texts[1:])
+    assert len(asked) < 200
+
+
+def test_words_are_not_merged_with_each_other(tmp_path):
+    vocabulary = {c: i for i, c in enumerate(["a", "b", "Ġ", "Ċ", "aĠ", "Ġa", "Ġb"])}
+    merges = [("a", "Ġ"), ("Ġ", "a"), ("Ġ", "b")]
+    tokenizer = Tokenizer(models.BPE(vocabulary, merges))
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tokenizer.save(f"{tmp_path}/crossing.json")
+    made = encoding.Encoder(f"{tmp_path}/crossing.json", False)
+    assert made.encode_all(["a a b ab", "b a"]) == [struct.pack("<5I", 0, 5, 6, 5, 1), struct.pack("<2I", 1, 5)]
+
+
+def test_rows_are_taken_together_by_the_bytes_of_their_texts():
+    texts = ["a" * n for n in (3, 0, 4, 30, 1, 1, 8, 0, 9, 12)]
+    batch = pa.record_batch([list(range(10)), texts], names=["doc_id", "text"])
+    parts = [p.column("doc_id").to_pylist() for p in encoding.together(iter([batch, batch.slice(0, 0), batch.slice(8)]), "text", 10)]
+    assert parts == [[0, 1, 2], [3], [4, 5, 6, 7], [8], [9], [8], [9]]
+
+
 def test_components(spark):
     links = [(5, 4), (4, 3), (9, 9), (7, 8), (3, 5)] + [(100 + i, 101 + i) for i in range(50)]
     got = dict(map(tuple, graph.components(spark.createDataFrame(links, "a long, b long")).collect()))
